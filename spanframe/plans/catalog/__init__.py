@@ -2,4 +2,5 @@
 
 from . import (  # noqa: F401
     basics,
+    frames,
 )

@@ -131,3 +131,68 @@ class Fixtures:
         draw = F.when(h % 1000 < 2, F.lit(549)).otherwise(h % 450)
         return j.select("pn_num", "feature_num", "tok_no", "s", "e", "label",
                         ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob"))
+
+
+def md5_unit(*cols) -> "F.Column":
+    """Uniform draw in [0,1) from the first 32 bits of md5(concat_ws('_', cols))."""
+    key = F.concat_ws("_", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+                             for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+class Bindings(Fixtures):
+    """Other relations bound to driver tables (SURVEY 5.3 'other bindings')."""
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        """train LEFT JOIN features LEFT JOIN notes (the reference's wide frame)."""
+        return (self.train.join(self.features_b, ["feature_num", "case_num"], "left")
+                .join(self.notes, ["pn_num", "case_num"], "left"))
+
+    @cached_property
+    def passengers(self) -> DataFrame:
+        t = self.t
+        n_orders = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+        c = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"), "left") \
+            .join(n_orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+        return c.select(
+            F.col("c_custkey").alias("pid"),
+            F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("age"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("c_nationkey").alias("nationkey"),
+            F.col("n_name").alias("nation"),
+            F.when(F.coalesce(F.col("n_orders"), F.lit(0)) > 10, 1).otherwise(0).alias("survived"))
+
+    @cached_property
+    def series(self) -> DataFrame:
+        """Metric series: run = event_type, 1-based dense step, loss = value."""
+        from .ordered import group_index
+
+        e = self.t.events.select(F.col("event_type").alias("run"), "event_id", F.col("value").alias("loss"))
+        return group_index(e, ["run"], ["event_id"], name="step")
+
+    @cached_property
+    def class_scores(self) -> DataFrame:
+        """Long class scores (vec_id, label, cls, score): score = dot(vec, centroid_cls)."""
+        e = self.t.embeddings.select("vec_id", "label", F.posexplode("embedding").alias("dim", "v"))
+        cent = e.groupBy(F.col("label").alias("cls"), "dim").agg(F.avg("v").alias("cv"))
+        j = e.join(bounded_broadcast(cent), "dim")
+        return j.groupBy("vec_id", "label", "cls").agg(F.sum(F.col("v") * F.col("cv")).alias("score"))
+
+    @cached_property
+    def bias_rows(self) -> DataFrame:
+        d = self.t.documents.select("doc_id", "lang")
+        j = self.t.labels.join(d, "doc_id")
+        return j.select(
+            "doc_id",
+            F.col("toxic").cast("double").alias("target"),
+            (F.lit(0.5) * F.col("toxic") + F.lit(0.6) * md5_unit("doc_id")).alias("prediction"),
+            F.when(F.col("lang") == "fr", 1.0).otherwise(0.0).alias("id_fr"),
+            F.when(F.col("lang") == "de", 1.0).otherwise(0.0).alias("id_de"),
+            F.when(F.col("lang") == "es", 1.0).otherwise(0.0).alias("id_es"))
+
+    @cached_property
+    def tweets(self) -> DataFrame:
+        d = self.t.documents.select("doc_id", "text")
+        return self.t.labels.join(d, "doc_id").select(
+            "doc_id", "text", (F.col("quality") * 2 + F.col("toxic")).alias("label"))

@@ -32,6 +32,28 @@ FIXTURE_SQL = {
    where t.tok_no <= 200 and (r.location <> '[]' or r.feature_num % 4 = 0))""",
 }
 
+FIXTURE_SQL.update({
+    "merged": """select * from train left join features using (feature_num, case_num)
+   left join notes using (pn_num, case_num)""",
+    "passengers": """select c.c_custkey pid, case when c.c_acctbal < 0 then null else c.c_acctbal end age,
+   c.c_mktsegment segment, c.c_nationkey nationkey, n.n_name nation,
+   case when coalesce(o.n_orders, 0) > 10 then 1 else 0 end survived
+   from customer c left join nation n on c.c_nationkey = n.n_nationkey
+   left join (select o_custkey, count(*) n_orders from orders group by o_custkey) o on o.o_custkey = c.c_custkey""",
+    "series": """select event_type run, event_id, value loss,
+   row_number() over (partition by event_type order by event_id) step from events""",
+    "class_scores": """with e as (select vec_id, label, unnest(embedding) v, unnest(range(0, len(embedding))) dim from embeddings),
+   c as (select label cls, dim, avg(v) cv from e group by label, dim)
+   select vec_id, label, cls, sum(v * cv) score from e join c using (dim) group by vec_id, label, cls""",
+    "bias_rows": """select l.doc_id, l.toxic::double target,
+   0.5 * l.toxic + 0.6 * (('0x' || substr(md5(l.doc_id::varchar), 1, 8))::bigint / 4294967296.0) prediction,
+   case when d.lang = 'fr' then 1.0 else 0.0 end::double id_fr,
+   case when d.lang = 'de' then 1.0 else 0.0 end::double id_de,
+   case when d.lang = 'es' then 1.0 else 0.0 end::double id_es
+   from labels l join documents d using (doc_id)""",
+    "tweets": """select l.doc_id, d.text, l.quality * 2 + l.toxic label from labels l join documents d using (doc_id)""",
+})
+
 DEPS = {
     "notes": [],
     "features": [],
@@ -39,6 +61,7 @@ DEPS = {
     "occ": ["notes", "features", "tokens"],
     "train": ["notes", "features", "occ"],
     "pred_tok": ["train", "tokens", "occ"],
+    "merged": ["train", "features", "notes"],
 }
 
 

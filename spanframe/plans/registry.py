@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .fixtures import Fixtures
+from .fixtures import Bindings as Fixtures
 
 
 @dataclass
