@@ -196,3 +196,24 @@ class Bindings(Fixtures):
         d = self.t.documents.select("doc_id", "text")
         return self.t.labels.join(d, "doc_id").select(
             "doc_id", "text", (F.col("quality") * 2 + F.col("toxic")).alias("label"))
+
+    @cached_property
+    def note_tok_arrays(self) -> DataFrame:
+        """(pn_num, toks array<struct<s,e>>) built in-row from the note text."""
+        n = self.notes.select("pn_num", segments("pn_history").alias("_segs"))
+        n = n.select("pn_num", "_segs", segment_offsets("_segs").alias("_offs"))
+        w = word_tokens_from(F.col("_segs"), F.col("_offs"))
+        return n.select("pn_num", F.transform(w, lambda t: F.struct(
+            t["s"].alias("s"), (t["s"] + F.length(t["seg"])).cast("int").alias("e"))).alias("toks"))
+
+    @cached_property
+    def train_spans(self) -> DataFrame:
+        """train rows with their parsed span list (``strip_split`` dialect)."""
+        from ..functions.spans import parse_loc_strip_split
+
+        return self.train.select("id", "pn_num", "feature_num", "case_num", "location",
+                                 parse_loc_strip_split("location").alias("spans"))
+
+    @cached_property
+    def rows_with_spans(self) -> DataFrame:
+        return self.train_spans.filter(F.size("spans") > 0)

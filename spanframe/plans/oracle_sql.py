@@ -62,8 +62,15 @@ DEPS = {
     "train": ["notes", "features", "occ"],
     "pred_tok": ["train", "tokens", "occ"],
     "merged": ["train", "features", "notes"],
+    "pieces": ["train"],
 }
 
+FIXTURE_SQL["pieces"] = """select id, pn_num, feature_num, k, split_part(trim(x), ' ', 1)::int rs, split_part(trim(x), ' ', 2)::int re from (
+   select id, pn_num, feature_num, unnest(p) x, unnest(range(1, len(p) + 1)) k from (
+     select id, pn_num, feature_num,
+       list_filter(string_split_regex(translate(location, '[]''', ''), '[,;]'), lambda x: trim(x) <> '') p
+     from train))"""
+
 
 def _order(names):
     out = []
