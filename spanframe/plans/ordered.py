@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .strategy import bounded_broadcast
+from .strategy import bounded_broadcast, checkpoint_table
 
 DEFAULT_BLOCK = 65_536
 
@@ -42,6 +42,11 @@ def group_index(df: DataFrame, group_cols, order_cols, name: str = "idx",
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_loc", F.monotonically_increasing_id()
                      - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    # Range bounds are sampled per exchange (seeded by RDD id): the counting
+    # pass and the numbering pass must read ONE materialised partitioning.
+    # A reliable checkpoint in the shared folder also cuts the lineage, so a
+    # lost executor never re-samples the bounds.
+    r = checkpoint_table(r)
     keys = ["_pid"] + group_cols
     counts = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     wg = W.partitionBy(*group_cols).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1) \
