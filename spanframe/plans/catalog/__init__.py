@@ -6,4 +6,5 @@ from . import (  # noqa: F401
     spans,
     metrics,
     series,
+    vocab,
 )
