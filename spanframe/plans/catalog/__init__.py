@@ -7,4 +7,5 @@ from . import (  # noqa: F401
     metrics,
     series,
     vocab,
+    vectors,
 )
