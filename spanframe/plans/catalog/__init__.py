@@ -10,4 +10,5 @@ from . import (  # noqa: F401
     vectors,
     sampling,
     io,
+    models,
 )
