@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,12 +68,19 @@ class Fixtures:
         """features behind a proven size bound (broadcast dimension)."""
         return bounded_broadcast(self.features)
 
+    @cached_property
+    def _token_base(self) -> DataFrame:
+        """The corpus is tokenised once per session: every later join, window
+        and aggregate reads this persisted table (lost blocks recompute from
+        lineage) instead of re-running the regex and the Arrow prefix sum."""
+        return tokens_of(self.notes, ["pn_num", "case_num"], "pn_history").persist(StorageLevel.MEMORY_AND_DISK)
+
     def tokens_with_case(self) -> DataFrame:
-        return tokens_of(self.notes, ["pn_num", "case_num"], "pn_history")
+        return self._token_base
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return tokens_of(self.notes, ["pn_num"], "pn_history")
+        return self._token_base.select("pn_num", "pos", "token", "s", "e", "tok_no")
 
     @cached_property
     def occ(self) -> DataFrame:
@@ -111,7 +119,8 @@ class Fixtures:
             F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string")).alias("id"),
             "case_num", "pn_num", "feature_num",
             lit_list(F.col("t1"), F.col("t2"), F.col("t3"), " ").alias("annotation"),
-            lit_list(F.col("l1"), F.col("l2"), F.col("l3"), ";").alias("location"))
+            lit_list(F.col("l1"), F.col("l2"), F.col("l3"), ";").alias("location")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def pred_tok(self) -> DataFrame:
@@ -130,7 +139,8 @@ class Fixtures:
         h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
         draw = F.when(h % 1000 < 2, F.lit(549)).otherwise(h % 450)
         return j.select("pn_num", "feature_num", "tok_no", "s", "e", "label",
-                        ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob"))
+                        ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def md5_unit(*cols) -> "F.Column":
