@@ -38,3 +38,29 @@ def exclusive_prefix_sum(lengths: pd.Series) -> pd.Series:
             seg = excl[st:en]
             out.append((seg - seg[0]).astype(np.int32))
     return pd.Series(out)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def word_starts(word_lens: pd.Series, gap_lens: pd.Series, word_first: pd.Series) -> pd.Series:
+    """Start offset of every word from the alternating word/gap run lengths.
+
+    Words and gaps strictly alternate (maximal runs), so with n words the
+    text is W0 G0 W1 G1 ... (word first) or G0 W0 G1 W1 ... (gap first)."""
+    out = []
+    for wl, gl, wf in zip(word_lens, gap_lens, word_first):
+        if wl is None:
+            out.append(None)
+            continue
+        wl = np.asarray(wl, dtype=np.int64)
+        gl = np.asarray(gl if gl is not None else [], dtype=np.int64)
+        n = len(wl)
+        if n == 0:
+            out.append(np.empty(0, np.int32))
+            continue
+        before = np.concatenate([[0], np.cumsum(wl[:-1])])      # word chars before word k
+        if wf:
+            gaps = np.concatenate([[0], np.cumsum(gl[:n - 1])])  # gaps G0..G(k-1)
+        else:
+            gaps = np.cumsum(gl[:n])                             # gaps G0..Gk
+        out.append((before + gaps).astype(np.int32))
+    return pd.Series(out)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrow import exclusive_prefix_sum
+from .arrow import exclusive_prefix_sum, word_starts
 
 # The segment rule used for word tokens with offsets.  A word
 # is a maximal run of Unicode letters/digits; everything else is a gap.
 # The alternation covers the whole text, so segment lengths sum to length().
 SEGMENT_PATTERN = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 WORD_START_PATTERN = r"^[\p{L}\p{N}]"
+WORD_PATTERN = r"[\p{L}\p{N}]+"
+GAP_PATTERN = r"[^\p{L}\p{N}]+"
 
 
 def _c(c) -> Column:
@@ -78,3 +80,18 @@ def word_tokens_from(segs: Column, offs: Column) -> Column:
     z = F.transform(segs, lambda x, i: F.struct(i.alias("pos"), x.alias("seg"),
                                                F.element_at(offs, i + 1).alias("s")))
     return F.filter(z, lambda x: x["seg"].rlike(WORD_START_PATTERN))
+
+
+def words(text) -> Column:
+    return F.regexp_extract_all(_c(text), F.lit(WORD_PATTERN), 0)
+
+
+def word_offsets(text) -> Column:
+    """Word start offsets (Arrow step over the word/gap run lengths).
+
+    Project it into its own column before using it in a higher-order
+    function."""
+    t = _c(text)
+    return word_starts(F.transform(words(t), lambda x: F.length(x)),
+                       F.transform(F.regexp_extract_all(t, F.lit(GAP_PATTERN), 0), lambda x: F.length(x)),
+                       t.rlike(WORD_START_PATTERN))

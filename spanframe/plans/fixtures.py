@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import segment_offsets, segments, word_tokens_from
+from ..functions.text import WORD_START_PATTERN, word_offsets, words
 from ..sources.tables import Tables
 from .strategy import bounded_broadcast
 
@@ -23,20 +23,23 @@ from .strategy import bounded_broadcast
 def tokens_of(df: DataFrame, key_cols, text_col: str) -> DataFrame:
     """Explode a text column into word tokens with offsets (one row per token).
 
-    No exchange: offsets come from an in-row prefix sum, and ``tok_no`` is
-    the rank among the row's word tokens (1-based).
+    No exchange and no per-gap rows: the JVM regex extracts the words, an
+    Arrow step turns word/gap run lengths into start offsets, and only the
+    words are exploded.  ``tok_no`` is the 1-based word rank; ``pos`` is the
+    word's index among all word/gap segments (2k, or 2k+1 when the text
+    starts with a gap).
     """
     keys = [F.col(k) for k in key_cols]
-    segs = df.select(*keys, segments(text_col).alias("_segs"))
-    segs = segs.select(*keys, "_segs", segment_offsets("_segs").alias("_offs"))
-    words = word_tokens_from(F.col("_segs"), F.col("_offs"))
-    return (segs.select(*keys, F.posexplode(words).alias("i", "t"))
-            .select(*keys,
-                    F.col("t.pos").alias("pos"),
-                    F.lower(F.col("t.seg")).alias("token"),
-                    F.col("t.s").alias("s"),
-                    (F.col("t.s") + F.length(F.col("t.seg"))).cast("int").alias("e"),
-                    (F.col("i") + 1).alias("tok_no")))
+    w = df.select(*keys, words(text_col).alias("_w"), word_offsets(text_col).alias("_st"),
+                  F.col(text_col).rlike(WORD_START_PATTERN).alias("_wf"))
+    e = w.select(*keys, "_wf", F.posexplode(F.arrays_zip(F.col("_w").alias("w"), F.col("_st").alias("st")))
+                 .alias("i", "t"))
+    return e.select(*keys,
+                    (F.col("i") * 2 + F.when(F.col("_wf"), 0).otherwise(1)).cast("int").alias("pos"),
+                    F.lower(F.col("t.w")).alias("token"),
+                    F.col("t.st").alias("s"),
+                    (F.col("t.st") + F.length(F.col("t.w"))).cast("int").alias("e"),
+                    (F.col("i") + 1).alias("tok_no"))
 
 
 class Fixtures:
@@ -47,10 +50,19 @@ class Fixtures:
 
     @cached_property
     def notes(self) -> DataFrame:
+        """Notes hash-partitioned by the note key once, right after the scan.
+
+        Tokenisation is the CPU-heavy per-row stage, and every token-level
+        join, window and aggregate downstream is keyed by (pn_num[, ...]):
+        the persisted token table inherits this partitioning, so those
+        operators reuse it instead of re-shuffling the (larger) token table.
+        Column pruning pushes below the exchange, so queries that only need
+        keys never move the text."""
         d = self.t.documents
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return d.select(F.col("doc_id").alias("pn_num"),
                         (F.col("doc_id") % 10).cast("int").alias("case_num"),
-                        F.col("text").alias("pn_history"))
+                        F.col("text").alias("pn_history")).repartition(n, "pn_num")
 
     @cached_property
     def features(self) -> DataFrame:
@@ -210,11 +222,11 @@ class Bindings(Fixtures):
     @cached_property
     def note_tok_arrays(self) -> DataFrame:
         """(pn_num, toks array<struct<s,e>>) built in-row from the note text."""
-        n = self.notes.select("pn_num", segments("pn_history").alias("_segs"))
-        n = n.select("pn_num", "_segs", segment_offsets("_segs").alias("_offs"))
-        w = word_tokens_from(F.col("_segs"), F.col("_offs"))
-        return n.select("pn_num", F.transform(w, lambda t: F.struct(
-            t["s"].alias("s"), (t["s"] + F.length(t["seg"])).cast("int").alias("e"))).alias("toks"))
+        n = self.notes.select("pn_num", words("pn_history").alias("_w"), word_offsets("pn_history").alias("_st"))
+        return n.select("pn_num", F.transform(F.arrays_zip(F.col("_w").alias("w"), F.col("_st").alias("st")),
+                                              lambda t: F.struct(t["st"].alias("s"),
+                                                                 (t["st"] + F.length(t["w"])).cast("int").alias("e")))
+                        .alias("toks"))
 
     @cached_property
     def train_spans(self) -> DataFrame:
