@@ -221,12 +221,15 @@ class Bindings(Fixtures):
 
     @cached_property
     def note_tok_arrays(self) -> DataFrame:
-        """(pn_num, toks array<struct<s,e>>) built in-row from the note text."""
-        n = self.notes.select("pn_num", words("pn_history").alias("_w"), word_offsets("pn_history").alias("_st"))
-        return n.select("pn_num", F.transform(F.arrays_zip(F.col("_w").alias("w"), F.col("_st").alias("st")),
-                                              lambda t: F.struct(t["st"].alias("s"),
-                                                                 (t["st"] + F.length(t["w"])).cast("int").alias("e")))
-                        .alias("toks"))
+        """(pn_num, toks array<struct<s,e>>) in token order.
+
+        Built from the persisted token table, which is already hash-
+        partitioned by pn_num: the per-note grouping needs no exchange and
+        the notes are not tokenised again.  One note's tokens form one group
+        (bounded by the note's length)."""
+        lst = F.sort_array(F.collect_list(F.struct("tok_no", "s", "e")))
+        return self._token_base.groupBy("pn_num").agg(
+            F.transform(lst, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"))).alias("toks"))
 
     @cached_property
     def train_spans(self) -> DataFrame:
