@@ -8,11 +8,15 @@ Spark ML, without a cross join or a one-partition window.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.ordered import global_index
 from ..plans.strategy import bounded_broadcast
 
+# One-hot turns categories into columns; beyond this many the request is
+# refused (an error, not a silent cap) - index/vector encodings apply instead.
+MAX_ONEHOT_CATEGORIES = 10_000
+
 
 def fit_mean(df: DataFrame, col: str) -> float:
     return df.agg(F.avg(col).alias("m")).first()["m"]
@@ -47,12 +51,10 @@ def minmax_scale(df: DataFrame, cols, stats: dict | None = None) -> DataFrame:
 
 
 def category_index(df: DataFrame, col: str) -> DataFrame:
-    """(value, idx) for the distinct values in alphabetical order (0-based).
-
-    The category table is small by nature (distinct values of a categorical
-    column); its rank window runs on that reduced table only."""
+    """(value, idx) for the distinct values in alphabetical order (0-based),
+    ranked with the distributed index (no single-partition window)."""
     cats = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return cats.withColumn("idx", (F.row_number().over(W.orderBy(col)) - 1).cast("int"))
+    return global_index(cats, [col], name="idx").withColumn("idx", F.col("idx").cast("int"))
 
 
 def onehot(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
@@ -60,7 +62,10 @@ def onehot(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
 
     Categories become columns, so they are read once (bounded list)."""
     prefix = prefix or col
-    cats = [r[0] for r in category_index(df, col).orderBy("idx").select(col).collect()]
+    idx = category_index(df, col)
+    if idx.limit(MAX_ONEHOT_CATEGORIES + 1).count() > MAX_ONEHOT_CATEGORIES:
+        raise ValueError(f"{col}: more than {MAX_ONEHOT_CATEGORIES} categories; use label_encode instead")
+    cats = [r[0] for r in idx.orderBy("idx").select(col).collect()]
     return df.withColumns({f"{prefix}_{v}": F.when(F.col(col) == v, 1.0).otherwise(0.0) for v in cats})
 
 

@@ -69,7 +69,9 @@ where feature_text = (select feature_text from features where feature_num = 3)""
 def lookup_feature_text(fx):
     f = fx.features
     probe = f.filter(F.col("feature_num") == 3).select(F.col("feature_text").alias("_probe"))
-    return f.join(F.broadcast(probe.limit(1)), F.col("feature_text") == F.col("_probe")) \
+    from ..strategy import bounded_broadcast
+
+    return f.join(bounded_broadcast(probe), F.col("feature_text") == F.col("_probe")) \
         .select("feature_num", "case_num", "feature_text")
 
 

@@ -159,15 +159,15 @@ CLASSES_SQL = "select 'EMPTY' class union select distinct feature_num::varchar f
 
 @query("class_list_union", with_ctes("features", extra=[("cl", CLASSES_SQL)]) + "select class from cl")
 def class_list_union(fx):
-    empty = fx.features.select(F.lit("EMPTY").alias("class")).limit(1)
-    return empty.union(fx.features.select(F.col("feature_num").cast("string").alias("class"))).distinct()
+    return fx.features.select(F.lit("EMPTY").alias("class")) \
+        .union(fx.features.select(F.col("feature_num").cast("string").alias("class"))).distinct()
 
 
 @query("label_encode", with_ctes("features", extra=[("cl", CLASSES_SQL)]) + """
 select class, (row_number() over (order by class) - 1)::int code from cl""")
 def label_encode(fx):
-    empty = fx.features.select(F.lit("EMPTY").alias("class")).limit(1)
-    classes = empty.union(fx.features.select(F.col("feature_num").cast("string").alias("class"))).distinct()
+    classes = fx.features.select(F.lit("EMPTY").alias("class")) \
+        .union(fx.features.select(F.col("feature_num").cast("string").alias("class"))).distinct()
     return TB.category_index(classes, "class").withColumnRenamed("idx", "code")
 
 

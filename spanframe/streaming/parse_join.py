@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.fixtures import tokens_of
+from ..plans.strategy import bounded_broadcast
 
 
 def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
     the note's case; pure DataFrame -> DataFrame, so it runs on streams."""
     t = tokens_of(notes, ["pn_num", "case_num"], "pn_history")
     f = features.select("feature_num", F.col("case_num").alias("f_case"), "term")
-    j = t.join(F.broadcast(f), (t.case_num == f.f_case) & (t.token == f.term))
+    j = t.join(bounded_broadcast(f), (t.case_num == f.f_case) & (t.token == f.term))
     return j.select("pn_num", "feature_num", "s", "e")
 
 
