@@ -152,7 +152,7 @@ def total_bias_auc(fx):
    0.25 + 0.25 * (case when id_fr >= 0.5 or id_de >= 0.5 or id_es >= 0.5 then 1 else 0 end)
    + 0.25 * (case when target >= 0.5 and (id_fr < 0.5 or id_de < 0.5 or id_es < 0.5) then 1 else 0 end)
    + 0.25 * (case when target < 0.5 and (id_fr >= 0.5 or id_de >= 0.5 or id_es >= 0.5) then 1 else 0 end) w from bias_rows""")]) + """
-select doc_id, round(w, 6) weight, round(1.0 / (select avg(w) from wt), 6) loss_weight from wt""")
+select doc_id, round(w::double, 6) weight, round(1.0 / (select avg(w::double) from wt), 6) loss_weight from wt""")
 def bias_sample_weights(fx):
     from ...operators.bias import sample_weights
 
