@@ -1,9 +1,9 @@
 """The few Arrow-batched helpers.
 
-Spark SQL has no prefix-sum over an array; a window would need a shuffle of
+Spark SQL has no prefix sum over an array; a window would need a shuffle of
 the exploded token table and ``aggregate`` with ``concat`` is quadratic in
-the array length.  A vectorised numpy cumsum over one Arrow batch is O(n)
-and keeps the token table where it was produced (no exchange).
+the array length.  A numpy cumsum per row inside one Arrow batch is O(n) and
+keeps the token table where it was produced (no exchange).
 """
 
 from __future__ import annotations
@@ -14,32 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _ragged(series: pd.Series):
-    arrs = [np.asarray(a, dtype=np.int64) if a is not None else None for a in series]
-    sizes = np.fromiter((0 if a is None else len(a) for a in arrs), dtype=np.int64, count=len(arrs))
-    flat = np.concatenate([a for a in arrs if a is not None and len(a)] or [np.empty(0, np.int64)])
-    return arrs, sizes, flat
-
-
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def exclusive_prefix_sum(lengths: pd.Series) -> pd.Series:
-    """[3, 1, 4] -> [0, 3, 4]: start offset of every segment."""
-    arrs, sizes, flat = _ragged(lengths)
-    excl = np.cumsum(flat) - flat
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    out = []
-    for a, st, en in zip(arrs, starts, ends):
-        if a is None:
-            out.append(None)
-        elif st == en:
-            out.append(np.empty(0, np.int32))
-        else:
-            seg = excl[st:en]
-            out.append((seg - seg[0]).astype(np.int32))
-    return pd.Series(out)
-
-
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def word_starts(word_lens: pd.Series, gap_lens: pd.Series, word_first: pd.Series) -> pd.Series:
     """Start offset of every word from the alternating word/gap run lengths.

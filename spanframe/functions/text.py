@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrow import exclusive_prefix_sum, word_starts
+from .arrow import word_starts
 
 # The segment rule used for word tokens with offsets.  A word
 # is a maximal run of Unicode letters/digits; everything else is a gap.
-# The alternation covers the whole text, so segment lengths sum to length().
+# Words and gaps alternate and cover the whole text.
 SEGMENT_PATTERN = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 WORD_START_PATTERN = r"^[\p{L}\p{N}]"
 WORD_PATTERN = r"[\p{L}\p{N}]+"
@@ -58,30 +58,6 @@ def strip_shift(c) -> Column:
     return F.length(c) - F.length(F.regexp_replace(c, r"^\s+", ""))
 
 
-def segments(text) -> Column:
-    return F.regexp_extract_all(_c(text), F.lit(SEGMENT_PATTERN), 0)
-
-
-def segment_offsets(segs) -> Column:
-    """Start offset of every segment (Arrow prefix sum over the lengths).
-
-    Must be projected into its own column before being used inside a
-    higher-order function (Python UDFs cannot live inside lambdas).
-    """
-    return exclusive_prefix_sum(F.transform(_c(segs), lambda x: F.length(x)))
-
-
-def word_tokens_from(segs: Column, offs: Column) -> Column:
-    """array<struct<pos int, seg string, s int>> of word segments, in order.
-
-    ``pos`` counts all segments (0-based), ``s`` is the 0-based code-point
-    start of the segment in the text.
-    """
-    z = F.transform(segs, lambda x, i: F.struct(i.alias("pos"), x.alias("seg"),
-                                               F.element_at(offs, i + 1).alias("s")))
-    return F.filter(z, lambda x: x["seg"].rlike(WORD_START_PATTERN))
-
-
 def words(text) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(WORD_PATTERN), 0)
 

@@ -61,13 +61,10 @@ def sample_with_replacement(df: DataFrame, key_cols, k: int, seed: int = 0) -> D
     return draws.join(idx, "_row").drop("_row")
 
 
-def batch_ids(df: DataFrame, order_cols, batch_size: int, drop_last: bool = False) -> DataFrame:
-    """Fixed-size batches in a deterministic order; optionally drop the last
-    partial batch."""
+def batch_ids(df: DataFrame, order_cols, batch_size: int) -> DataFrame:
+    """Fixed-size batches in a deterministic order, with a flag for rows in
+    full batches (the ``drop_last`` view keeps ``in_full_batch``)."""
     idx = global_index(df, list(order_cols), name="_row")
+    full = idx.count() // batch_size          # one bounded scalar (the row count)
     out = idx.withColumn("batch_id", F.floor(F.col("_row") / batch_size))
-    if drop_last:
-        total = idx.agg(F.count(F.lit(1)).alias("_n"))
-        full = total.select((F.floor(F.col("_n") / batch_size)).alias("_full"))
-        out = out.join(F.broadcast(full), F.col("batch_id") < F.col("_full"), "left_semi")
-    return out.drop("_row")
+    return out.withColumn("in_full_batch", F.col("batch_id") < F.lit(full)).drop("_row")

@@ -70,9 +70,7 @@ def sample_with_replacement(fx):
 @query("batch_ids", with_ctes("train", extra=[("ix", "select id, row_number() over (order by id) - 1 r from train")]) + """
 select id, r // 64 batch_id, (r // 64 < (select count(*) from train) // 64) in_full_batch from ix""")
 def batch_ids(fx):
-    b = FO.batch_ids(fx.train.select("id"), ["id"], 64)
-    full = FO.batch_ids(fx.train.select("id"), ["id"], 64, drop_last=True).select("id", F.lit(True).alias("f"))
-    return b.join(full, "id", "left").select("id", "batch_id", F.coalesce("f", F.lit(False)).alias("in_full_batch"))
+    return FO.batch_ids(fx.train.select("id"), ["id"], 64).select("id", "batch_id", "in_full_batch")
 
 
 @query("union_oof", with_ctes("pred_tok", "train", extra=[("fo", FOLDS_SQL)]) + """
