@@ -97,11 +97,15 @@ def sort_spans(fx):
 
 
 @query("spans_to_mask", with_ctes("pieces") + """
-select distinct id, unnest(range(rs, re)) c from pieces""")
+select id, min(c)::int start, (max(c) + 1)::int "end" from (
+  select id, c, c - row_number() over (partition by id order by c) g from (
+    select distinct id, unnest(range(rs, re)) c from pieces)) group by id, g""")
 def spans_to_mask(fx):
-    r = fx.rows_with_spans
-    return r.select("id", F.explode(F.flatten(F.transform("spans", lambda x: F.when(
-        x["end"] > x["start"], F.sequence(x["start"], x["end"] - 1)).otherwise(F.array().cast("array<int>"))))).alias("c")).distinct()
+    """The binary char mask of each row, run-length coded as its maximal
+    marked intervals (overlapping or abutting spans merge)."""
+    r = fx.rows_with_spans.select("id", F.explode("spans").alias("sp")) \
+        .select("id", F.col("sp.start").alias("s"), F.col("sp.end").alias("e")).filter(F.col("e") > F.col("s"))
+    return D.char_runs(r, ["id"]).select("id", "start", "end")
 
 
 @query("entities_per_note", with_ctes("pieces") + """
@@ -258,23 +262,25 @@ def decode_class_runs(fx):
 
 # ---- E14, E15, E20: char-level projections ---------------------------------
 
-@query("char_probs", with_ctes("pred_tok") + """
-select pn_num, feature_num, c, arg_max(prob, tok_no) p from (
-  select pn_num, feature_num, tok_no, prob, unnest(range(s, e)) c from pred_tok) group by pn_num, feature_num, c""")
+CHAR_WIN = [("cw", """select pn_num, feature_num, c, arg_max(prob, tok_no) p, max(tok_no) w, arg_max(s, tok_no) ws from (
+   select pn_num, feature_num, tok_no, s, prob, unnest(range(s, e)) c from pred_tok) group by pn_num, feature_num, c""")]
+
+
+@query("char_probs", with_ctes("pred_tok", extra=CHAR_WIN) + """
+select pn_num, feature_num, min(c)::int start, (max(c) + 1)::int "end", min(p) p from cw group by pn_num, feature_num, w""")
 def char_probs(fx):
     return D.char_probs(fx.pred_tok, ROW)
 
 
-@query("char_pred_3class", with_ctes("pred_tok") + """
-select pn_num, feature_num, c, round(1 - prob, 6) p0,
-  round(case when c = s then 0.3 * prob else greatest(0.3 * prob, 0.7 * prob) end, 6) p1,
-  round(case when c = s then 0.7 * prob else least(0.3 * prob, 0.7 * prob) end, 6) p2
-from (select pn_num, feature_num, c, arg_max(prob, tok_no) prob, arg_max(s, tok_no) s from (
-  select pn_num, feature_num, tok_no, s, prob, unnest(range(s, e)) c from pred_tok) group by pn_num, feature_num, c)""")
+@query("char_pred_3class", with_ctes("pred_tok", extra=CHAR_WIN) + """
+select pn_num, feature_num, min(c)::int start, (max(c) + 1)::int "end", round(1 - min(p), 6) p0,
+  round(case when min(c) = min(ws) then 0.3 * min(p) else greatest(0.3 * min(p), 0.7 * min(p)) end, 6) p1,
+  round(case when min(c) = min(ws) then 0.7 * min(p) else least(0.3 * min(p), 0.7 * min(p)) end, 6) p2
+from cw group by pn_num, feature_num, w, (c = ws)""")
 def char_pred_3class(fx):
     p = fx.pred_tok.withColumn("cls3", F.array(1 - F.col("prob"), 0.3 * F.col("prob"), 0.7 * F.col("prob")))
     out = D.char_pred_3class(p, ROW)
-    return out.select(*ROW, "c", *[F.round(c, 6).alias(c) for c in ("p0", "p1", "p2")])
+    return out.select(*ROW, "start", "end", *[F.round(c, 6).alias(c) for c in ("p0", "p1", "p2")])
 
 
 @query("postprocess_spaces", with_ctes("pred_tok", "notes", extra=[

@@ -101,7 +101,9 @@ class Fixtures:
         j = t.join(f, (t.case_num == f.case_num) & (t.token == f.term)).select(
             t.pn_num, t.case_num, f.feature_num, t.s, t.e, t.token)
         w = W.partitionBy("pn_num", "feature_num").orderBy("s")
-        return j.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= 3)
+        # small (term hits only) and read by train, pred_tok and the labels
+        return j.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= 3) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -136,9 +138,10 @@ class Fixtures:
 
     @cached_property
     def pred_tok(self) -> DataFrame:
-        r = self.train.filter((F.col("location") != "[]") | (F.col("feature_num") % 4 == 0)) \
-            .select("pn_num", "feature_num")
-        t = self.tokens.filter(F.col("tok_no") <= 200).select("pn_num", "tok_no", "s", "e")
+        # every annotated row is scored over every token of its note (whole
+        # texts, no row or token subset)
+        r = self.train.select("pn_num", "feature_num")
+        t = self.tokens.select("pn_num", "tok_no", "s", "e")
         o = self.occ.select(F.col("pn_num").alias("opn"), F.col("feature_num").alias("ofn"),
                             F.col("s").alias("os"))
         j = (r.join(t, "pn_num")
