@@ -8,7 +8,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ...functions import spans as S
 from ...functions import text as X
@@ -274,5 +273,3 @@ def strip_note(fx):
     return fx.notes.select("pn_num", X.strip_note("pn_history").alias("stripped"),
                            X.strip_shift("pn_history").cast("int").alias("shift"))
 
-
-_ = T  # typing helpers kept for operator modules

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from ...functions import numeric as N
 from ...operators import tabular as TB
-from ...operators import vocab as V
 from ..oracle_sql import with_ctes
 from ..registry import query
 from ..strategy import bounded_broadcast
-from .vocab import OOV, VOCAB_CTES, _encoded
+from .vocab import VOCAB_CTES, _encoded
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -170,5 +169,3 @@ def label_encode(fx):
         .union(fx.features.select(F.col("feature_num").cast("string").alias("class"))).distinct()
     return TB.category_index(classes, "class").withColumnRenamed("idx", "code")
 
-
-_ = (V, OOV)
