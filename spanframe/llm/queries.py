@@ -7,8 +7,9 @@ the DuckDB twin where SQL can express the whole result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, line_dedup
 from .common import table
 
 
@@ -16,5 +17,32 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate,)}
-ORACLE_SQL: dict[str, str] = {}
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                    F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP4_SQL = """
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+run AS (
+  SELECT doc_id, i, l, lead(l, 1) OVER w AS l1, lead(l, 2) OVER w AS l2, lead(i, 2) OVER w AS last
+  FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY l, l1, l2 ORDER BY doc_id, i) AS copy
+    FROM run WHERE last IS NOT NULL) WHERE copy > 1),
+cut AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM later),
+rest AS (
+  SELECT doc_id, count(*) AS n_lines, count(c.i) AS n_removed,
+         string_agg(l, chr(10) ORDER BY i) FILTER (WHERE c.i IS NULL) AS kept
+  FROM line LEFT JOIN cut c USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN rest USING (doc_id)"""
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_line_dedup)}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
