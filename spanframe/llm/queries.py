@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup
+from . import decontaminate, line_dedup, quality
 from .common import table
 
 
@@ -17,6 +17,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    failed = [F.coalesce(r.rejects, F.lit(False)) for r in quality.base_rules()]
+    return d.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_word_chars").alias("word_chars"),
+        F.col("_n_symbols").alias("n_symbols"), F.col("_n_dup_lines").alias("n_dup_lines"),
+        F.col("_n_repeat_words").alias("n_repeat_words"), (failed[0] | failed[1]).alias("base_failed"),
+        F.col("_kept").alias("kept"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return d.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
@@ -44,5 +54,5 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN rest USING (doc_id)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op4_line_dedup)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
