@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, quality
+from . import decontaminate, line_dedup, mixing, quality
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_kept").alias("kept"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents"))) \
+        .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return d.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
@@ -54,5 +59,5 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN rest USING (doc_id)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op4_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
