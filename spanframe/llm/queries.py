@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, quality
+from . import decontaminate, language, line_dedup, mixing, quality
 from .common import table
 
 
@@ -38,6 +38,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out(F.col("doc_id"))
+    model = language.fit(docs.filter(~held_out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_margin").alias("margin"), F.col("_rejected").alias("rejected"))
+
+
 OP4_SQL = """
 WITH line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
@@ -59,5 +68,6 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN rest USING (doc_id)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op10_language)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
