@@ -2,15 +2,17 @@
 
 A document leaks an item when one of its item-sized word windows is within
 ``floor((1 - min_similarity) * L)`` word edits of the item (L: words of the
-item).  Words are lower-cased letter/digit runs.  A text shorter than the
-item has one window: the whole text.
+item).  Words are runs of letters, digits and characters beyond ASCII, with A-Z
+lower-cased.  A text shorter than the item has one window: the whole text.
+
 
 * Every window position of every document is considered.  A window within k
   edits of an item shares at least ``L - q + 1 - q*k`` word q-grams with it
   (q-gram lemma), so positions that share fewer with all items of that length
   are skipped; this loses nothing.
-* The CGK random walk turns a window into a string of 3L symbols: at step j
-  it emits the current word and moves on if the random bit (j, word) says so.
+* The CGK random walk turns a window into a string of symbols: at step j it
+  emits the current word and moves on if the random bit (j, word) says so.  Of
+  its 3L steps the first 2L, within which the window ends on average, are kept.
   Edit distance becomes Hamming distance, and sampling a few positions of the
   embedding gives an LSH key.  Walks and samples are repeated until simulated
   pairs *at* the edit bound are found with ``target_recall``.
@@ -24,8 +26,8 @@ broadcast on its own, so its size is bounded whatever the benchmark holds.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +37,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import bound_arrow_batches
 
-TOKEN = re.compile(r"[^\W_]+")
 Q = 3
+# bytes of UTF-8: A-Z to a-z; letters, digits and all bytes beyond ASCII stay; the rest become blanks
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 SAMPLES_PER_WALK = 8
 MAX_WALKS = 64
 
 
-def words_of(text: str | None) -> list[str]:
-    return TOKEN.findall(text.lower()) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    return text.encode().translate(FOLD).split() if text else []
 
 
 def edit_bound(length: int, min_similarity: float) -> int:
@@ -70,13 +73,15 @@ class Matcher:
         self.vocab = {w: i + 1 for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
         self.pad = len(self.vocab) + 1
         self.bits, self.seed = bits, seed
-        by_len: dict[int, list] = {}
-        for item, ws in items:
-            if ws:
-                by_len.setdefault(len(ws), []).append((item, [self.vocab[w] for w in ws]))
-        self.lengths = sorted(by_len)
-        self.ids = [[x for x, _ in by_len[n]] for n in self.lengths]
-        self.items = [np.array([x for _, x in by_len[n]], dtype=np.int64) for n in self.lengths]
+        items = sorted(((x, ws) for x, ws in items if ws), key=lambda r: (len(r[1]), r[1], str(r[0])))
+        self.ids = [x for x, _ in items]
+        size = np.array([len(ws) for _, ws in items], dtype=np.int64)
+        self.lengths = [int(n) for n in np.unique(size)]
+        self.widest = max(self.lengths, default=0)
+        self.class_of = np.searchsorted(self.lengths, size)
+        self.items = np.full((len(items), self.widest), self.pad, dtype=np.int64)
+        for i, (_, ws) in enumerate(items):
+            self.items[i, : len(ws)] = [self.vocab[w] for w in ws]
         self.bound = [edit_bound(n, min_similarity) for n in self.lengths]
         # q-gram threshold of each length; short items fall back to single words
         self.q, self.least = [], []
@@ -85,10 +90,11 @@ class Matcher:
             self.q.append(q)
             self.least.append(max(1, n - q + 1 - q * k))
         self._masks()
-        self._walks = 4
-        if self.lengths:
-            while self._walks < MAX_WALKS and self.simulated_recall() < target_recall:
-                self._walks += 4
+        self.walks: list[tuple] = []
+        while self.lengths and len(self.walks) < MAX_WALKS:
+            self._add_walk()
+            if len(self.walks) % 4 == 0 and self.simulated_recall() >= target_recall:
+                break
 
     # ---- q-gram filter -------------------------------------------------
     def _gram(self, ids: np.ndarray) -> np.ndarray:
@@ -101,14 +107,13 @@ class Matcher:
         self.bit_of = [i // per for i in range(len(self.lengths))]
         grams: dict[int, int] = {}
         self.word_mask = np.zeros(self.pad + 1, dtype=np.uint64)
-        for i, rows in enumerate(self.items):
-            bit = 1 << self.bit_of[i]
-            for row in rows:
-                if self.q[i] == Q:
-                    for g in self._gram(row):
-                        grams[int(g)] = grams.get(int(g), 0) | bit
-                else:
-                    self.word_mask[row] |= np.uint64(bit)
+        for c, row in zip(self.class_of, self.items):
+            bit, row = 1 << self.bit_of[c], row[: self.lengths[c]]
+            if self.q[c] == Q:
+                for g in self._gram(row):
+                    grams[int(g)] = grams.get(int(g), 0) | bit
+            else:
+                self.word_mask[row] |= np.uint64(bit)
         self.has_short = bool(self.word_mask.any())
         self.grams = np.array(sorted(grams), dtype=np.int64)
         self.gram_mask = np.array([grams[int(g)] for g in self.grams], dtype=np.uint64)
@@ -165,87 +170,104 @@ class Matcher:
                 yield c, np.flatnonzero(np.cumsum(mark[:-1]) > 0)
 
     # ---- CGK walk and bit sampling ---------------------------------------
-    def _bit_table(self, c: int, walk: int) -> np.ndarray:
-        rng = np.random.default_rng([self.seed, self.lengths[c], walk])
-        return rng.integers(0, 2, size=(3 * self.lengths[c], self.pad + 1), dtype=np.int8)
+    def _add_walk(self) -> None:
+        """Draw a walk (a code for each symbol, an odd factor for each step) and its samples for each length."""
+        rng = np.random.default_rng([self.seed, len(self.walks)])
+        codes = rng.integers(0, 1 << 63, size=self.pad + 1, dtype=np.uint64)
+        odd = rng.integers(0, 1 << 63, size=2 * self.widest, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        at = np.stack([rng.integers(0, 2 * n, size=(SAMPLES_PER_WALK, self.bits)) for n in self.lengths])
+        walk = (codes, odd, at)
+        keys = self._keys(self.items, self.class_of, walk, blank_key=1)
+        tables = []
+        for s in range(SAMPLES_PER_WALK):
+            order = np.argsort(keys[:, s], kind="stable")
+            tables.append((keys[order, s], order))
+        self.walks.append((walk, tables))
 
-    def embed(self, windows: np.ndarray, c: int, walk: int) -> np.ndarray:
-        n = self.lengths[c]
-        bits = self._bit_table(c, walk)
+    def embed(self, windows: np.ndarray, walk: tuple) -> np.ndarray:
+        codes, odd, _ = walk
         padded = np.hstack([windows, np.full((len(windows), 1), self.pad, dtype=windows.dtype)])
-        rows, at = np.arange(len(windows)), np.zeros(len(windows), dtype=np.int64)
-        out = np.empty((len(windows), 3 * n), dtype=np.int64)
-        for j in range(3 * n):
-            out[:, j] = sym = padded[rows, at]
-            at = np.minimum(at + bits[j, sym], n)
-        return out
-
-    def _keys(self, emb: np.ndarray, c: int, walk: int) -> np.ndarray:
-        """(windows, samples) keys; -1 where only padding was sampled."""
-        n = self.lengths[c]
-        rng = np.random.default_rng([self.seed, n, walk, 1])
-        keys = np.empty((len(emb), SAMPLES_PER_WALK), dtype=np.int64)
-        for s in range(SAMPLES_PER_WALK):
-            picked = emb[:, rng.integers(0, 2 * n, size=self.bits)]
-            key = np.zeros(len(emb), dtype=np.int64)
-            for b in range(self.bits):
-                key = key * (self.pad + 1) + picked[:, b]
-            keys[:, s] = np.where((picked == self.pad).all(axis=1), -1, key)
-        return keys
-
-    def _item_keys(self, c: int, walk: int) -> np.ndarray:
-        cache = self.__dict__.setdefault("_item_cache", {})
-        if (c, walk) not in cache:
-            cache[c, walk] = self._keys(self.embed(self.items[c], c, walk), c, walk)
-        return cache[c, walk]
-
-    def candidates(self, windows: np.ndarray, c: int) -> np.ndarray:
-        """(windows, items) boolean: some repeated bit sample agrees."""
-        found = np.zeros((len(windows), len(self.items[c])), dtype=bool)
-        for walk in range(self._walks):
-            keys, of_items = self._keys(self.embed(windows, c, walk), c, walk), self._item_keys(c, walk)
-            for s in range(SAMPLES_PER_WALK):
-                found |= (keys[:, s, None] == of_items[None, :, s]) & (keys[:, s, None] >= 0)
-        return found
-
-    def simulated_recall(self, pairs: int = 200) -> float:
-        """Share of simulated windows at exactly the edit bound that collide with their item."""
+        flat, coded = padded.ravel(), codes[padded].ravel()
+        base = np.arange(len(windows)) * padded.shape[1]
+        at, last = base.copy(), base + padded.shape[1] - 1
+        out = np.empty((2 * self.widest, len(windows)), dtype=np.int64)
+        for j in range(2 * self.widest):
+            out[j] = flat[at]
+            at = np.minimum(at + ((coded[at] * odd[j]) >> np.uint64(63)).astype(np.int64), last)
+        return out.T
+
+    def _keys(self, windows: np.ndarray, cls: np.ndarray, walk: tuple, blank_key: int) -> np.ndarray:
+        """(windows, samples) keys of the sampled symbols and the length class; ``blank_key`` for padding alone."""
+        emb = self.embed(windows, walk)
+        picked = emb[np.arange(len(windows))[:, None, None], walk[2][cls]]
+        key = np.repeat(cls[:, None].astype(np.uint64), SAMPLES_PER_WALK, axis=1)
+        for b in range(self.bits):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + picked[:, :, b].astype(np.uint64)
+        blank = (picked == self.pad).all(axis=2)
+        return np.where(blank, np.uint64(blank_key), key)
+
+    def candidates(self, windows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window, item) of one length for which some repeated bit sample agrees."""
+        found = []
+        for walk, tables in self.walks:
+            keys = self._keys(windows, cls, walk, blank_key=2)
+            for s, (sorted_keys, order) in enumerate(tables):
+                lo = np.searchsorted(sorted_keys, keys[:, s], "left")
+                n = np.searchsorted(sorted_keys, keys[:, s], "right") - lo
+                w = np.repeat(np.arange(len(windows)), n)
+                i = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+                found.append(w * len(self.items) + i)
+        pair = np.unique(np.concatenate(found))
+        w, i = pair // len(self.items), pair % len(self.items)
+        same = self.class_of[i] == cls[w]
+        return w[same], i[same]
+
+    def simulated_recall(self, pairs: int = 400) -> float:
+        """Share of simulated windows at the edit bound that collide with their item."""
         rng = np.random.default_rng([self.seed, 99])
-        hit = total = 0
-        per = max(1, pairs // len(self.lengths))
-        for c, n in enumerate(self.lengths):
-            wins, of = [], rng.integers(0, len(self.items[c]), size=per)
-            for r in of:
-                w = list(self.items[c][r])
-                for _ in range(self.bound[c]):  # substitutions spread over the window: the hardest case for a key
-                    w[rng.integers(0, n)] = 0
-                wins.append(w)
-            hit += int(self.candidates(np.array(wins, dtype=np.int64), c)[np.arange(per), of].sum())
-            total += per
-        return hit / total
+        of = rng.integers(0, len(self.items), size=pairs)
+        wins = self.items[of].copy()
+        for r, c in enumerate(self.class_of[of]):  # substitutions by words no item has: nothing left to agree on
+            wins[r, rng.choice(self.lengths[c], size=self.bound[c], replace=False)] = 0
+        w, i = self.candidates(wins, self.class_of[of])
+        return len(np.unique(w[i == of[w]])) / pairs
 
     # ---- scan -----------------------------------------------------------
-    def scan(self, text: str | None) -> list[tuple]:
-        """(item, windows found, first window start, words of the text, least distance, similarity)."""
-        get = self.vocab.get
+    def word_ids(self, text: str | None) -> np.ndarray:
         words = words_of(text)
-        ids = np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
-        out = []
-        for c, at in self.starts(ids):
-            n = self.lengths[c]
-            real = np.minimum(n, len(ids) - at)
-            grid = at[:, None] + np.arange(n)
-            wins = np.where(grid < len(ids), ids[np.minimum(grid, len(ids) - 1)], self.pad)
-            w, i = np.nonzero(self.candidates(wins, c))
-            if not len(w):
-                continue
-            d = edit_distances(self.items[c][i], wins[w], real[w])
+        return np.fromiter(map(self.vocab.get, words, repeat(0)), dtype=np.int64, count=len(words))
+
+    def scan(self, texts: list[str | None], most_windows: int = 20_000) -> Iterator[tuple]:
+        """(index of the text, item, windows found, first window start, least distance, similarity)."""
+        held, n_held = [], 0
+        for r, text in enumerate(texts):
+            ids = self.word_ids(text)
+            for c, at in self.starts(ids):
+                n = self.lengths[c]
+                for part in np.array_split(at, -(-len(at) // most_windows)):
+                    grid = part[:, None] + np.arange(n)
+                    wins = np.full((len(part), self.widest), self.pad, dtype=np.int64)
+                    wins[:, :n] = np.where(grid < len(ids), ids[np.minimum(grid, len(ids) - 1)], self.pad)
+                    held.append((np.full(len(part), r), np.full(len(part), c), part, np.minimum(n, len(ids) - part), wins))
+                    n_held += len(part)
+                    if n_held >= most_windows:
+                        yield from self._verified(held)
+                        held, n_held = [], 0
+        if held:
+            yield from self._verified(held)
+
+    def _verified(self, held: list[tuple]) -> Iterator[tuple]:
+        row, cls, at, real, wins = (np.concatenate(x) for x in zip(*held))
+        w, i = self.candidates(wins, cls)
+        for c in np.unique(cls[w]):
+            n, own = self.lengths[c], cls[w] == c
+            cw, ci = w[own], i[own]
+            d = edit_distances(self.items[ci][:, :n], wins[cw][:, :n], real[cw])
             ok = d <= self.bound[c]
-            for item in np.unique(i[ok]):
-                own = ok & (i == item)
-                best = int(d[own].min())
-                out.append((self.ids[c][item], int(own.sum()), int(at[w[own]].min()), best, 1 - best / n))
-        return out
+            for r, item in sorted(set(zip(row[cw[ok]].tolist(), ci[ok].tolist()))):
+                sel = ok & (row[cw] == r) & (ci == item)
+                best = int(d[sel].min())
+                yield r, self.ids[item], int(sel.sum()), int(at[cw[sel]].min()), best, 1 - best / n
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -274,8 +296,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for b in range(blocks):
         block = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b)
-        rows = sorted(((r.item, words_of(r.text)) for r in block.toLocalIterator()), key=lambda r: (r[1], str(r[0])))
-        matcher = Matcher(rows, min_similarity, target_recall, bits, seed)
+        matcher = Matcher([(r.item, words_of(r.text)) for r in block.toLocalIterator()], min_similarity, target_recall, bits, seed)
         found = _scan(texts, matcher, schema)
         out = found if out is None else out.unionByName(found)
     return out
@@ -289,10 +310,9 @@ def _scan(texts: DataFrame, matcher: Matcher, schema) -> DataFrame:
         m = shared.value
         for batch in batches:
             ids, cols = batch.column(0), [[] for _ in arrow]
-            for r, text in enumerate(batch.column(1)):
-                for found in m.scan(text.as_py()):
-                    for col, v in zip(cols, (ids[r].as_py(), *found)):
-                        col.append(v)
+            for r, *found in m.scan(batch.column(1).to_pylist()):
+                for col, v in zip(cols, (ids[r].as_py(), *found)):
+                    col.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=f.type) for v, f in zip(cols, arrow)], schema=arrow)
