@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, mixing, quality
+from . import decontaminate, language, line_dedup, mixing, quality, url_filter
 from .common import table
 
 
@@ -38,6 +38,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).select(
+        "page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
+        F.col("_verdict").alias("verdict"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language.held_out(F.col("doc_id"))
@@ -67,7 +83,24 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN rest USING (doc_id)"""
 
+# pages state no canonical link or refresh that joins two urls with different rules, so SQL needs no components
+OP7_SQL = r"""
+WITH part AS (
+  SELECT page_id, translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fit AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM part JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM part LEFT JOIN fit USING (page_id)"""
+
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op10_language)}
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
+    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op7_url_filter,
+    op10_language)}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
