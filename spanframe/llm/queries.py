@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, mixing, quality, url_filter
+from . import decontaminate, language, licenses, line_dedup, mixing, quality, url_filter
 from .common import table
 
 
@@ -38,6 +38,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.filter("_findings", lambda f: f["kind"] == "phrase")
+    labels = lambda found: F.array_join(F.array_sort(F.array_distinct(found["label"])), ",")
+    return d.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.size(places).cast("long").alias("n_base"),
+        F.array_min(places["first_word"]).alias("first_word"), F.array_max(places["first_word"]).alias("last_word"),
+        labels(places).alias("base_labels"), labels(F.col("_findings")).alias("labels"),
+        F.coalesce(F.array_max(F.col("_findings")["score"]), F.lit(0.0)).alias("score"))
+
+
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -101,6 +112,6 @@ FROM part LEFT JOIN fit USING (page_id)"""
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op7_url_filter,
+    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op7_url_filter,
     op10_language)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
