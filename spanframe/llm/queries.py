@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, line_dedup, mixing, quality, url_filter
+from . import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality, url_filter
 from .common import table
 
 
@@ -65,6 +65,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_verdict").alias("verdict"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language.held_out(F.col("doc_id"))
@@ -113,5 +117,5 @@ FROM part LEFT JOIN fit USING (page_id)"""
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op7_url_filter,
-    op10_language)}
+    op8_near_dedup, op10_language)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
