@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality, url_filter
+from . import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter
 from .common import table
 
 
@@ -49,6 +49,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.col("_findings")["score"]), F.lit(0.0)).alias("score"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_passages(table(spark, sf_dir, "documents")) \
+        .select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -116,6 +121,6 @@ FROM part LEFT JOIN fit USING (page_id)"""
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op7_url_filter,
-    op8_near_dedup, op10_language)}
+    op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_substring_dedup,
+    op7_url_filter, op8_near_dedup, op10_language)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
