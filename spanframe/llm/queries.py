@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter
+from . import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality, secret_scan, substring_dedup, url_filter
 from .common import table
 
 
@@ -74,6 +74,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "start", "length", F.sha2("token", 256).alias("token_sha256"), "score", "is_secret")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language.held_out(F.col("doc_id"))
@@ -122,5 +127,5 @@ FROM part LEFT JOIN fit USING (page_id)"""
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_substring_dedup,
-    op7_url_filter, op8_near_dedup, op10_language)}
+    op7_url_filter, op8_near_dedup, op9_secret_scan, op10_language)}
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
