@@ -1,16 +1,38 @@
 """Corpus pipeline: the stages from raw documents to a mixed training set.
 
-``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)``
-and returns the documents it keeps, with the columns of ``documents``; the last
-returns the mix.
+``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)``,
+works on all rows of ``docs`` and returns what is kept, with the columns of
+``documents``; the last returns the mix.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spanframe.llm import language, mixing
 from spanframe.llm.common import materialise, table
 from spanframe.llm.decontaminate import drop_leaks
+from spanframe.llm.line_dedup import dedup_lines
+from spanframe.llm.near_dedup import drop_near_duplicates
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is unknown, or told by a narrow margin only, go."""
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
+    return language.identify(docs, model).filter(~F.col("_rejected")).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are deleted; documents of which nothing is left go."""
+    d = dedup_lines(docs)
+    nothing_left = (F.col("_n_removed") > 0) & (F.col("_n_removed") == F.col("_n_lines"))
+    return d.filter(~nothing_left).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays."""
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,11 +40,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: one row for each stretch of a document that a slot of an output shard takes."""
+    _, _, plan = mixing.mix(docs)
+    return mixing.mixed_text(docs, plan)
+
+
 STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
 ]
 
-# the stages sample, walk graphs and compress: SQL cannot express them; see tests/llm
+# compression, graph walks and random draws: SQL cannot express the stages; tests/llm holds brute-force versions
 ORACLE_SQL = None
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key, word_count
+from .common import materialise, text_key, word_array, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ROUNDS = 16
@@ -224,3 +224,23 @@ def taken_words(documents: DataFrame, targets: DataFrame, plan: DataFrame) -> Da
         .join(t, F.col("source").eqNullSafe(F.col("t_source")), "left") \
         .select("id", "th", "source", "size", "source_size", "target",
                 F.floor(F.coalesce(F.col("taken"), F.lit(0)) / per).cast("long").alias("taken"))
+
+
+def mixed_text(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The mix itself: (shard, slot, source, id, at, first_word, n_words, text), one row per segment of a slot.
+
+    A slot's segments in order of ``at`` give its words.  A document's words
+    are split once, and its segments, which are bounded by its length, are cut
+    from them in one row.  Of rows repeated in full, each gives its segments.
+    """
+    segments = plan.groupBy("doc").agg(F.collect_list(F.struct("shard", "slot", "source", "at", "first_word", "n")).alias("_s")) \
+        .select(F.col("doc.id").alias("_id"), F.col("doc.th").alias("_th"), "_s")
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("th"))
+    met = src.join(segments.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))) \
+        .select("id", "_s", word_array(F.col("text")).alias("_w"))
+    cut = F.transform("_s", lambda s: F.struct(
+        s["shard"].alias("shard"), s["slot"].alias("slot"), s["source"].alias("source"), s["at"].alias("at"),
+        s["first_word"].alias("first_word"), s["n"].alias("n_words"),
+        F.array_join(F.slice("_w", s["first_word"].cast("int") + 1, s["n"].cast("int")), " ").alias("text")))
+    return met.select("id", cut.alias("_c")).select("id", F.explode("_c").alias("c")) \
+        .select("c.shard", "c.slot", "c.source", F.col("id").alias(id_col), "c.at", "c.first_word", "c.n_words", "c.text")
