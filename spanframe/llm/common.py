@@ -32,6 +32,22 @@ def text_key(text: Column) -> Column:
     return F.coalesce(F.xxhash64(text), F.lit(0).cast("long"))
 
 
+def packed(docs: DataFrame, **cols: str) -> DataFrame:
+    """``docs`` as one struct column ``_row`` beside copies of the named columns.
+
+    An operator that carries all columns along works on this, so no name it
+    uses inside can clash with a column of the caller.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       *[F.col(c).alias(name) for name, c in cols.items()])
+
+
+def unpacked(frame: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The carried columns in their order, with ``new`` in place of those of the same name, then the rest of ``new``."""
+    kept = [new[c].alias(c) if c in new else F.col("_row").getField(c).alias(c) for c in columns]
+    return frame.select(*kept, *[v.alias(c) for c, v in new.items() if c not in columns])
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 

@@ -100,9 +100,11 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     ``_lang`` is ``und`` where the text is null, has no letter, or nothing was
     learned; ties go to the first language by code point.  ``_rejected`` is
     true for ``und`` and for a margin below ``min_margin``.  All columns of
-    ``docs`` stay, nulls and repeated rows included; an empty table stays empty.
+    ``docs`` stay, nulls and repeated rows included, but for those named like
+    the new ones; an empty table stays empty.
     """
     bound_arrow_batches(docs.sparkSession)
+    docs = docs.drop("_lang", "_score", "_margin", "_rejected")
     schema = StructType([*docs.schema, StructField("_lang", StringType()), StructField("_score", DoubleType()),
                          StructField("_margin", DoubleType())])
     arrow, at = to_arrow_schema(schema), docs.columns.index(text_col)

@@ -184,10 +184,11 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     ``_findings`` is an array of (label, kind, first_word, n_words, score),
     kind ``phrase`` or ``template``; ``score`` is the share of the passage's
     words found in their places.  A null text is empty: 0 words and an empty
-    array.  Repeated rows are scanned alike, other columns stay as they are,
-    and an empty table stays empty.
+    array.  Repeated rows are scanned alike; other columns stay as they are,
+    but for those named like the new ones; an empty table stays empty.
     """
     bound_arrow_batches(docs.sparkSession)
+    docs = docs.drop("_n_words", "_findings")
     phrases = PHRASES if phrases is None else phrases
     words = sorted({w for t in templates for w in words_of(t.text)})
     df = document_frequency(docs, words, text_col)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key
+from .common import materialise, packed, text_key, unpacked
 
 
 def _named(prefixes: DataFrame, key: list[str]) -> DataFrame:
@@ -91,21 +91,19 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", tex
     Empty tables give empty results; other columns are carried along.
     """
     runs = repeated_runs(docs, min_lines, id_col, text_col)
-    cuts = runs.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("first_line", "n_lines"))).alias("_cuts")) \
-        .withColumnsRenamed({"id": "_cut_id", "th": "_cut_th"})
+    cuts = runs.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("first_line", "n_lines"))).alias("cuts")) \
+        .withColumnsRenamed({"id": "cut_id", "th": "cut_th"})
     # build on the cuts, so that the texts are shuffled but not sorted
-    joined = docs.withColumn("_th", text_key(F.col(text_col))).join(
-        cuts.hint("shuffle_hash"),
-        F.col(id_col).eqNullSafe(F.col("_cut_id")) & (F.col("_th") == F.col("_cut_th")), "left")
-    split = joined.withColumn("_lines", F.split(F.col(text_col), "\n"))
-    no_cut = F.col("_cuts").isNull()
+    d = packed(docs, id=id_col, text=text_col).withColumn("th", text_key(F.col("text"))).join(
+        cuts.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("th") == F.col("cut_th")), "left")
+    d = d.withColumn("lines", F.split(F.col("text"), "\n"))
+    no_cut = F.col("cuts").isNull()
     # kept ranges are the gaps between the cuts: linear in the lines
-    begins = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: (c["first_line"] + c["n_lines"]).cast("int")))
-    ends = F.concat(F.transform("_cuts", lambda c: c["first_line"].cast("int")), F.array(F.size("_lines")))
-    kept = F.flatten(F.zip_with(begins, ends, lambda b, e: F.slice(F.col("_lines"), b + 1, e - b)))
-    removed = F.aggregate("_cuts", F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])
-    return split.withColumns({
-        "_n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")).cast("long"),
-        "_n_removed": F.when(no_cut, F.lit(0).cast("long")).otherwise(removed),
-        text_col: F.when(no_cut, F.col(text_col)).otherwise(F.array_join(kept, "\n")),
-    }).drop("_th", "_cut_id", "_cut_th", "_cuts", "_lines")
+    begins = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: (c["first_line"] + c["n_lines"]).cast("int")))
+    ends = F.concat(F.transform("cuts", lambda c: c["first_line"].cast("int")), F.array(F.size("lines")))
+    kept = F.flatten(F.zip_with(begins, ends, lambda b, e: F.slice(F.col("lines"), b + 1, e - b)))
+    removed = F.aggregate("cuts", F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])
+    return unpacked(d, docs.columns, **{
+        text_col: F.when(no_cut, F.col("text")).otherwise(F.array_join(kept, "\n")),
+        "_n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long"),
+        "_n_removed": F.when(no_cut, F.lit(0).cast("long")).otherwise(removed)})

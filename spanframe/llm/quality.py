@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, word_array
+from .common import materialise, packed, unpacked, word_array
 
 SHINGLE = 5
+COUNTS = ("_n_words", "_word_chars", "_n_symbols", "_n_lines", "_n_dup_lines", "_n_repeat_words")
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -145,8 +146,9 @@ def judge(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = No
           sample_rows: int = 2000) -> DataFrame:
     """``docs`` with the counts of ``text_statistics`` and the verdict ``_kept``.
 
-    A null or empty text has no words and is rejected as too short.  All
-    columns of ``docs`` stay, null ids included; its names must not begin with
-    an underscore where they equal one of the counts.
+    ``rules`` read the counts and the text, as ``text``.  A null or empty text
+    has no words and is rejected as too short.  All columns of ``docs`` stay,
+    null ids included; one named like a count or the verdict is replaced.
     """
-    return cascade(text_statistics(docs, text_col), default_rules(text_col) if rules is None else rules, sample_rows)
+    d = cascade(text_statistics(packed(docs, text=text_col)), default_rules() if rules is None else rules, sample_rows)
+    return unpacked(d, docs.columns, **{c: F.col(c) for c in (*COUNTS, "_kept")})

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import bound_arrow_batches, materialise, text_key
+from .common import bound_arrow_batches, materialise, packed, text_key, unpacked
 
 MIN_LEN = 12
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{MIN_LEN},}}=*(?![A-Za-z0-9+/_-])")
@@ -142,7 +142,7 @@ def candidates(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", t
                     known = dict(zip(FEATURES, x))
                     if FORMATS.match(token) or (known["named"] and known["assigned"] and known["coverage"] < 0.3):
                         label = 1.0
-                    elif HARMLESS.match(token) or known["in_path"] or known["coverage"] > 0.8:
+                    elif HARMLESS.match(token) or known["in_path"] or known["coverage"] > 0.5:
                         label = 0.0
                     else:
                         label = None
@@ -212,12 +212,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with each secret replaced by ``mark``; all columns stay."""
     found = scan_secrets(docs, id_col, text_col, **options).filter("is_secret").groupBy("id", "th").agg(
-        F.sort_array(F.collect_set(F.struct("start", "length"))).alias("_cuts")) \
-        .withColumnsRenamed({"id": "_r_id", "th": "_r_th"})
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["start"] + c["length"]))
-    ends = F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length(text_col).cast("long")))
-    parts = F.zip_with(begins, ends, lambda b, e: F.substring(F.col(text_col), (b + 1).cast("int"), (e - b).cast("int")))
-    met = docs.withColumn("_th", text_key(F.col(text_col))).join(
-        found.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_r_id")) & (F.col("_th") == F.col("_r_th")), "left")
-    return met.withColumn(text_col, F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join(parts, mark))) \
-        .select(*docs.columns)
+        F.sort_array(F.collect_set(F.struct("start", "length"))).alias("cuts")) \
+        .withColumnsRenamed({"id": "r_id", "th": "r_th"})
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["start"] + c["length"]))
+    ends = F.concat(F.transform("cuts", lambda c: c["start"]), F.array(F.length("text").cast("long")))
+    parts = F.zip_with(begins, ends, lambda b, e: F.substring(F.col("text"), (b + 1).cast("int"), (e - b).cast("int")))
+    met = packed(docs, id=id_col, text=text_col).withColumn("th", text_key(F.col("text"))).join(
+        found.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")), "left")
+    return unpacked(met, docs.columns, **{
+        text_col: F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(parts, mark))})

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, packed, unpacked
 from .components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -130,8 +130,8 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
 
     A null url, or one without ``://``, has an empty host, fits no rule and is
     an alias of itself only (a null one of nothing), hence allowed.  Repeated
-    urls are judged once and alike.  All columns of ``pages`` stay; an empty
-    table stays empty.
+    urls are judged once and alike.  All columns of ``pages`` stay, but for
+    those named like the new ones; an empty table stays empty.
     """
     links = page_links(pages, url_col, html_col) if html_col else None
     if redirects is not None:
@@ -154,10 +154,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
         urls = urls.withColumn("alias", F.col("node"))
     shared = urls.filter(F.col("rule_verdict").isNotNull()).groupBy("alias") \
         .agg(F.min("rule_verdict").alias("shared"))  # "allow" comes before "block"
-    verdicts = urls.join(shared, "alias", "left").select(
-        F.col("url").alias("_url"), F.col("host").alias("_host"), F.col("path").alias("_path"),
-        F.col("rule").alias("_rule"), F.col("alias").alias("_alias"),
-        F.coalesce("rule_verdict", "shared", F.lit("allow")).alias("_verdict"))
-    return pages.join(verdicts, pages[url_col] == verdicts["_url"], "left").drop("_url").withColumns({
-        "_host": F.coalesce("_host", F.lit("")), "_path": F.coalesce("_path", F.lit("")),
-        "_verdict": F.coalesce("_verdict", F.lit("allow"))})
+    verdicts = urls.join(shared, "alias", "left").withColumn("verdict", F.coalesce("rule_verdict", "shared", F.lit("allow")))
+    return unpacked(packed(pages, url=url_col).join(verdicts, "url", "left"), pages.columns,
+                    _host=F.coalesce("host", F.lit("")), _path=F.coalesce("path", F.lit("")), _rule=F.col("rule"),
+                    _alias=F.col("alias"), _verdict=F.coalesce("verdict", F.lit("allow")))
