@@ -1,9 +1,9 @@
 """The few Arrow-batched helpers.
 
-Spark SQL has no prefix sum over an array; a window would need a shuffle of
-the exploded token table and ``aggregate`` with ``concat`` is quadratic in
-the array length.  A numpy cumsum per row inside one Arrow batch is O(n) and
-keeps the token table where it was produced (no exchange).
+Spark SQL has no prefix sum over an array: ``aggregate`` with ``concat`` is
+quadratic in the array length, and a window would sort and shuffle the exploded
+tokens by note.  A numpy cumsum per row inside one Arrow batch is O(n), and
+only segment lengths cross to Python.
 """
 
 from __future__ import annotations
@@ -15,26 +15,17 @@ from pyspark.sql import types as T
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def word_starts(word_lens: pd.Series, gap_lens: pd.Series, word_first: pd.Series) -> pd.Series:
-    """Start offset of every word from the alternating word/gap run lengths.
-
-    Words and gaps strictly alternate (maximal runs), so with n words the
-    text is W0 G0 W1 G1 ... (word first) or G0 W0 G1 W1 ... (gap first)."""
+def running_starts(lens: pd.Series) -> pd.Series:
+    """Start offset of every segment from the segment lengths (exclusive prefix sum)."""
     out = []
-    for wl, gl, wf in zip(word_lens, gap_lens, word_first):
-        if wl is None:
-            out.append(None)
-            continue
-        wl = np.asarray(wl, dtype=np.int64)
-        gl = np.asarray(gl if gl is not None else [], dtype=np.int64)
-        n = len(wl)
-        if n == 0:
-            out.append(np.empty(0, np.int32))
-            continue
-        before = np.concatenate([[0], np.cumsum(wl[:-1])])      # word chars before word k
-        if wf:
-            gaps = np.concatenate([[0], np.cumsum(gl[:n - 1])])  # gaps G0..G(k-1)
-        else:
-            gaps = np.cumsum(gl[:n])                             # gaps G0..Gk
-        out.append((before + gaps).astype(np.int32))
+    for x in lens:
+        x = None if x is None else np.asarray(x, dtype=np.int32)
+        out.append(x if x is None or not len(x) else np.concatenate([[0], np.cumsum(x[:-1], dtype=np.int32)]))
     return pd.Series(out)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def count_at_most(values: pd.Series, bounds: pd.Series) -> pd.Series:
+    """For each bound, how many of the ascending ``values`` are <= it (binary search)."""
+    return pd.Series([None if v is None or b is None else np.searchsorted(v, b, side="right").astype(np.int32)
+                      for v, b in zip(values, bounds)])

@@ -63,6 +63,16 @@ def log_softmax(arr) -> Column:
     return F.transform(a, lambda x: x - lse)
 
 
+def nll(log_probs, label) -> Column:
+    """Negative log-likelihood of the class ``label`` (0-based) in an array of log-probabilities."""
+    return -F.get(_c(log_probs), _c(label))
+
+
+def cross_entropy(logits, label) -> Column:
+    """Cross-entropy of the class ``label`` (0-based) in an array of logits."""
+    return nll(log_softmax(logits), label)
+
+
 def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -88,10 +98,6 @@ def denormalize_clip(a, mean: float, std: float) -> Column:
     return F.transform(_c(a), lambda x: F.least(F.greatest(x * std + mean, F.lit(0.0)), F.lit(1.0)))
 
 
-def round6(c) -> Column:
-    return F.round(_c(c).cast("double"), 6)
-
-
 def format_minutes(sec) -> Column:
     """``asMinutes``: ``'%dm %ds'`` of whole minutes and remaining seconds."""
     s = _c(sec)
@@ -99,20 +105,24 @@ def format_minutes(sec) -> Column:
     return F.format_string("%dm %ds", m.cast("long"), F.floor(s - m * 60).cast("long"))
 
 
-def cosine_warmup_lr(step, base_lr: float, warmup: int, total: int, cycles: float = 0.5) -> Column:
+def time_since(elapsed_sec, share) -> Column:
+    """``timeSince``: elapsed time and what remains at this pace, from the share done."""
+    s = _c(elapsed_sec)
+    return F.format_string("%s (remain %s)", format_minutes(s), format_minutes(s / _c(share) - s))
+
+
+def cosine_warmup_lr(step, base_lr: float, warmup: int, total, cycles: float = 0.5) -> Column:
     """Linear warm-up then cosine decay (as a function of the step)."""
     st = _c(step).cast("double")
-    prog = (st - warmup) / F.greatest(F.lit(1.0), F.lit(float(total - warmup)))
+    prog = (st - warmup) / F.greatest(F.lit(1.0), _c(total) - float(warmup))
     cos = F.greatest(F.lit(0.0), 0.5 * (1.0 + F.cos(F.lit(math.pi) * 2.0 * cycles * prog)))
-    return F.when(st < warmup, st / F.greatest(F.lit(1.0), F.lit(float(warmup))) * base_lr) \
-        .otherwise(cos * base_lr)
+    return F.when(st < warmup, st / F.lit(float(max(1, warmup))) * base_lr).otherwise(cos * base_lr)
 
 
-def linear_warmup_lr(step, base_lr: float, warmup: int, total: int) -> Column:
+def linear_warmup_lr(step, base_lr: float, warmup: int, total) -> Column:
     st = _c(step).cast("double")
-    dec = F.greatest(F.lit(0.0), (total - st) / F.greatest(F.lit(1.0), F.lit(float(total - warmup))))
-    return F.when(st < warmup, st / F.greatest(F.lit(1.0), F.lit(float(warmup))) * base_lr) \
-        .otherwise(dec * base_lr)
+    dec = F.greatest(F.lit(0.0), (_c(total) - st) / F.greatest(F.lit(1.0), _c(total) - float(warmup)))
+    return F.when(st < warmup, st / F.lit(float(max(1, warmup))) * base_lr).otherwise(dec * base_lr)
 
 
 def step_decay_lr(epoch, base_lr: float, step_size: int, gamma: float) -> Column:

@@ -49,12 +49,20 @@ def parse_loc_sorted(c) -> Column:
     return F.transform(ordered, lambda s: span(s["start"], s["end"]))
 
 
+# A Python string literal in either quote style, escapes included
+STRING_LITERAL = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+
+
 def parse_string_list(c) -> Column:
-    """Python list literal of strings (``['a b', 'c']``) -> array<string>.
+    """Python list literal of strings (``['a b', "c's"]``) -> array<string>.
 
-    Literal syntax without embedded quotes, as in annotation/location
-    columns; never evaluated as code."""
-    return F.from_json(F.translate(_c(c), "'", '"'), "array<string>")
+    Both quote styles and backslash escapes are read; never evaluated as code.
+    A null literal gives null, a literal without strings an empty list."""
+    items = F.regexp_extract_all(_c(c), F.lit(STRING_LITERAL), 0)
+    inner = F.transform(items, lambda x: F.substring(x, F.lit(2), F.length(x) - 2))
+    return F.transform(inner, lambda x: F.when(F.contains(x, F.lit("\\")), F.regexp_replace(
+        F.regexp_replace(F.regexp_replace(x, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"),
+                         r"(?<!\\)((?:\\\\)*)\\t", "$1\t"), r"\\(.)", "$1")).otherwise(x))
 
 
 def parse_loc_literal(c) -> Column:
@@ -87,11 +95,6 @@ def format_spans(c, sep: str = ";") -> Column:
         " ", s["start"].cast("string"), s["end"].cast("string"))), sep)
 
 
-def spans_cover(spans: Column, i: Column) -> Column:
-    """True when char ``i`` lies inside any span of the list."""
-    return F.exists(spans, lambda s: (i >= s["start"]) & (i < s["end"]))
-
-
 def overlap_ratio(ts: Column, te: Column, rs: Column, re: Column) -> Column:
     """Overlap ratio with the reference's +1 convention:
     max(min(te,re)+1 - max(ts,rs), 0) / (te+1-ts)."""

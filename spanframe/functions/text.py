@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrow import word_starts
-
 # The segment rule used for word tokens with offsets.  A word
 # is a maximal run of Unicode letters/digits; everything else is a gap.
 # Words and gaps alternate and cover the whole text.
 SEGMENT_PATTERN = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 WORD_START_PATTERN = r"^[\p{L}\p{N}]"
 WORD_PATTERN = r"[\p{L}\p{N}]+"
-GAP_PATTERN = r"[^\p{L}\p{N}]+"
 
 
 def _c(c) -> Column:
@@ -58,16 +55,6 @@ def strip_shift(c) -> Column:
     return F.length(c) - F.length(F.regexp_replace(c, r"^\s+", ""))
 
 
-def words(text) -> Column:
-    return F.regexp_extract_all(_c(text), F.lit(WORD_PATTERN), 0)
-
-
-def word_offsets(text) -> Column:
-    """Word start offsets (Arrow step over the word/gap run lengths).
-
-    Project it into its own column before using it in a higher-order
-    function."""
-    t = _c(text)
-    return word_starts(F.transform(words(t), lambda x: F.length(x)),
-                       F.transform(F.regexp_extract_all(t, F.lit(GAP_PATTERN), 0), lambda x: F.length(x)),
-                       t.rlike(WORD_START_PATTERN))
+def segments(text) -> Column:
+    """Alternating word and gap segments that cover the text."""
+    return F.regexp_extract_all(_c(text), F.lit(SEGMENT_PATTERN), 1)

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordered import global_index
-from ..plans.strategy import bounded_broadcast
+from ..plans.ordered import global_index, group_index
 
 
 def md5_bucket(key: Column, modulo: int = 100) -> Column:
@@ -23,13 +22,45 @@ def seeded_key(cols, seed: int) -> Column:
     return F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in cols], F.lit(str(seed))))
 
 
+def _deal(sizes: list[tuple[int, int]], k: int) -> list[tuple[int, list[int], list[int]]]:
+    """Folds of the groups of each size, largest size first: (size, prefix, cycle).
+
+    Each group goes to the lightest fold (the first of equals).  Once the loads
+    are within one group of each other, groups of one size go round the folds
+    in a fixed order, so a size needs its irregular beginning and one cycle.
+    """
+    load, out = [0] * k, []
+    for size, count in sizes:
+        prefix: list[int] = []
+        while len(prefix) < count and max(load) - min(load) > size:
+            f = load.index(min(load))
+            load[f] += size
+            prefix.append(f)
+        cycle = sorted(range(k), key=lambda f: (load[f], f))
+        rounds, rest = divmod(count - len(prefix), k)
+        load = [x + rounds * size for x in load]
+        for f in cycle[:rest]:
+            load[f] += size
+        out.append((size, prefix, cycle))
+    return out
+
+
 def group_kfold(df: DataFrame, group: str, k: int = 5) -> DataFrame:
-    """Group-disjoint folds: groups ranked by (size desc, key), dealt round
-    robin.  The group table is ranked with the distributed index."""
+    """Group-disjoint folds of even size: groups by (size desc, key), each to
+    the lightest fold.
+
+    Only the table (size, number of groups) reaches the driver - it has at most
+    as many rows as there are distinct sizes; groups are numbered inside their
+    size with the distributed index."""
     groups = df.groupBy(group).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = global_index(groups, [F.desc("_cnt"), F.col(group)], name="_rk")
-    folds = ranked.select(group, (F.col("_rk") % k).alias("fold"))
-    return df.join(bounded_broadcast(folds), group)
+    sizes = [(r["_cnt"], r["n"]) for r in groups.groupBy("_cnt").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("_cnt")).collect()]
+    plan = df.sparkSession.createDataFrame(_deal(sizes, k), "_size long, _prefix array<int>, _cycle array<int>")
+    ranked = group_index(groups, ["_cnt"], [group], name="_rk", base=0)
+    cycle_at = F.pmod(F.col("_rk") - F.size("_prefix"), F.lit(k)).cast("int")
+    fold = F.coalesce(F.get("_prefix", F.col("_rk").cast("int")), F.get("_cycle", cycle_at)).cast("long")
+    folds = ranked.join(plan, F.col("_cnt") == F.col("_size")).select(F.col(group).alias("_g"), fold.alias("fold"))
+    return df.join(folds, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def split_hash(df: DataFrame, key: str, train_pct: int = 80) -> DataFrame:

@@ -16,13 +16,12 @@ def keep_only(df: DataFrame, keep) -> DataFrame:
     return df.drop(*[c for c in df.columns if c not in set(keep)])
 
 
-def columns_by_dtype(df: DataFrame, label: str | None = None) -> DataFrame:
-    """(column_name, kind) with kind categorical for strings, numeric else.
-
-    Built from the schema (metadata), not from rows."""
-    rows = [(f.name, "categorical" if isinstance(f.dataType, T.StringType) else "numeric")
-            for f in df.schema.fields if f.name != label]
-    return df.sparkSession.createDataFrame(rows, "column_name string, kind string")
+def split_by_dtype(df: DataFrame, label: str | None = None, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(numeric, categorical) column frames without ``label``; ``key`` is in both."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (label, key)]
+    rest = [c for c in df.columns if c not in text and c not in (label, key)]
+    lead = [key] if key else []
+    return df.select(*lead, *rest), df.select(*lead, *text)
 
 
 def rows_with_positive(df: DataFrame, keys, label: str) -> DataFrame:

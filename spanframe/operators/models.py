@@ -34,8 +34,7 @@ def tabular_mlp(train: DataFrame, test: DataFrame, label: str, numeric, categori
     prep = Pipeline(stages=stages).fit(train)
     d = len(prep.transform(train.limit(1)).first()["features"])
     mlp = MultilayerPerceptronClassifier(layers=[d, hidden, 2], labelCol=label, seed=seed, maxIter=max_iter)
-    model = Pipeline(stages=stages + [mlp]).fit(train)
-    return model.transform(test)
+    return mlp.fit(prep.transform(train)).transform(prep.transform(test))
 
 
 def text_classifier(train: DataFrame, test: DataFrame, text: str, label: str, vocab: int = 5000,
@@ -69,6 +68,3 @@ def batch_score(tokens: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame
 
     return tokens.mapInPandas(run, schema)
 
-
-def positive_rate(df: DataFrame, prob: str = "prob") -> DataFrame:
-    return df.agg(F.avg(F.when(F.col(prob) >= 0.5, 1.0).otherwise(0.0)).alias("rate"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ordered import global_index
-from ..plans.strategy import bounded_broadcast
 
 # One-hot turns categories into columns; beyond this many the request is
 # refused (an error, not a silent cap) - index/vector encodings apply instead.
@@ -72,11 +71,12 @@ def onehot(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
 def label_encode(df: DataFrame, col: str, name: str = "code") -> DataFrame:
     """Sorted-classes label encoding (values compared as strings)."""
     idx = category_index(df.select(F.col(col).cast("string").alias(col)), col)
-    return df.join(bounded_broadcast(idx.withColumnRenamed("idx", name)),
+    return df.join(idx.withColumnRenamed("idx", name),
                    F.col(col).cast("string") == idx[col], "left").drop(idx[col])
 
 
 def onehot_array(label, n: int):
     """Class id -> length-n one-hot array<int>."""
     lab = F.col(label) if isinstance(label, str) else label
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i == lab, 1).otherwise(0))
+    last = (F.lit(n) if isinstance(n, int) else n) - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.when(i == lab, 1).otherwise(0))

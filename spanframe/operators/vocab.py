@@ -1,7 +1,6 @@
 """Vocabularies and id encodings.
 
-* A top-K vocabulary is bounded by K, so it is the one side we broadcast
-  (behind the bounded check); the full vocabulary is joined by shuffle.
+* A top-K vocabulary is bounded by K; the planner broadcasts it from its bytes.
 * Per-note id sequences are built from the note's own token rows (bounded
   by one note), truncated *before* collecting.
 """
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
 from ..plans.ordered import global_index
-from ..plans.strategy import bounded_broadcast
 
 PAD, CLS, SEP = 0, 1, 2
 ID_SHIFT = 3
@@ -45,7 +43,7 @@ def first_seen_index(tokens: DataFrame, col: str = "token") -> DataFrame:
 
 def encode(tokens: DataFrame, vocab: DataFrame, oov: int, col: str = "token") -> DataFrame:
     """Vocabulary lookup with an OOV default (left join on the bounded vocab)."""
-    v = bounded_broadcast(vocab.select(col, "idx"))
+    v = vocab.select(col, "idx")
     return tokens.join(v, col, "left").withColumn("idx", F.coalesce(F.col("idx"), F.lit(oov)).cast("int"))
 
 
@@ -67,16 +65,14 @@ def single_encoding(ids: Column, max_len: int) -> Column:
     return zero_pad(body, max_len)
 
 
-def pair_encoding(first: Column, second: Column, max_len: int) -> Column:
-    """(CLS + first + SEP + second)[:max_len-1] + SEP + PAD to max_len."""
-    body = F.concat(F.array(F.lit(CLS)), first, F.array(F.lit(SEP)), second)
-    return zero_pad(F.concat(F.slice(body, 1, max_len - 1), F.array(F.lit(SEP))), max_len)
+def pair_ids(first: str, second: str, separators: int) -> Column:
+    """CLS + first + SEP (one or two) + second + SEP; padding is left to the reader."""
+    return F.concat(F.array(F.lit(CLS)), F.col(first), F.array(*[F.lit(SEP)] * separators), F.col(second), F.array(F.lit(SEP)))
 
 
-def pair_token_types(n_first: Column, n_real: Column, max_len: int) -> Column:
-    """0 for CLS/first/SEP, 1 for the second sequence and its SEP, 0 on PAD."""
-    return F.transform(F.sequence(F.lit(0), F.lit(max_len - 1)),
-                       lambda i: F.when((i >= n_first + 2) & (i < n_real), 1).otherwise(0))
+def pair_token_types(n_first: Column, n_second: Column) -> Column:
+    """0 for CLS, first and SEP; 1 for the second sequence and its SEP."""
+    return F.concat(F.array_repeat(F.lit(0), n_first + 2), F.array_repeat(F.lit(1), n_second + 1))
 
 
 def attention_mask(ids: Column) -> Column:

@@ -31,10 +31,12 @@ def project_keep_only(fx):
 
 
 @query("project_by_dtype", with_ctes("passengers") + """
-select column_name, case when column_type = 'VARCHAR' then 'categorical' else 'numeric' end kind
-from (describe select * from passengers) where column_name <> 'survived'""")
+select pid, age, nationkey, segment, nation from passengers""")
 def project_by_dtype(fx):
-    return FR.columns_by_dtype(fx.passengers, label="survived")
+    """The numeric and the categorical columns as frames of their own (the label
+    left out), put side by side again."""
+    numeric, categorical = FR.split_by_dtype(fx.passengers, label="survived", key="pid")
+    return numeric.join(categorical, "pid")
 
 
 @query("filter_nonempty_spans", with_ctes("train", extra=[("p", PARSED)]) + """
@@ -68,9 +70,8 @@ where feature_text = (select feature_text from features where feature_num = 3)""
 def lookup_feature_text(fx):
     f = fx.features
     probe = f.filter(F.col("feature_num") == 3).select(F.col("feature_text").alias("_probe"))
-    from ..strategy import bounded_broadcast
 
-    return f.join(bounded_broadcast(probe), F.col("feature_text") == F.col("_probe")) \
+    return f.join(probe, F.col("feature_text") == F.col("_probe")) \
         .select("feature_num", "case_num", "feature_text")
 
 
@@ -148,7 +149,7 @@ def split_row_id(fx):
 select t.id, t.feature_num, t.case_num, f.feature_text from train t
 left join features f on t.feature_num = f.feature_num and t.case_num = f.case_num""")
 def join_features_left(fx):
-    return fx.train.join(fx.features_b, ["feature_num", "case_num"], "left") \
+    return fx.train.join(fx.features, ["feature_num", "case_num"], "left") \
         .select("id", "feature_num", "case_num", "feature_text")
 
 
@@ -165,7 +166,7 @@ join features f on t.feature_num = f.feature_num and t.case_num = f.case_num""")
 def join_inner_chain(fx):
     test = fx.train.select("id", "case_num", "pn_num", "feature_num")
     return (test.join(fx.notes, ["pn_num", "case_num"])
-            .join(fx.features_b, ["feature_num", "case_num"])
+            .join(fx.features, ["feature_num", "case_num"])
             .select("id", "case_num", "pn_num", "feature_num", "pn_history", "feature_text"))
 
 
@@ -179,10 +180,9 @@ def join_natural_left(fx):
 select e.vec_id, e.label, n.n_name class_name from embeddings e left join nation n on e.label = n.n_nationkey""")
 def label_names(fx):
     e = fx.t.embeddings.select("vec_id", "label")
-    from ..strategy import bounded_broadcast
 
-    names = bounded_broadcast(fx.t.nation.select(F.col("n_nationkey").alias("label"),
-                                                 F.col("n_name").alias("class_name")))
+    names = fx.t.nation.select(F.col("n_nationkey").alias("label"),
+                                                 F.col("n_name").alias("class_name"))
     return e.join(names, "label", "left").select("vec_id", "label", "class_name")
 
 
@@ -232,7 +232,7 @@ def table_shapes(fx):
 select count(*) n_notes, count(distinct pn_history) n_distinct_texts from notes""")
 def distinct_texts(fx):
     return fx.notes.agg(F.count(F.lit(1)).alias("n_notes"),
-                        F.countDistinct("pn_history").alias("n_distinct_texts"))
+                        F.countDistinct(F.sha2("pn_history", 256)).alias("n_distinct_texts"))
 
 
 @query("collect_targets_per_note", with_ctes("train") + """

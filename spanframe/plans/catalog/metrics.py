@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ...functions import numeric as N
 from ...functions.numeric import bce
+from ...functions import spans as S
+from ...operators import decode as D
 from ...operators import folds as FO
 from ...operators import metrics as M
 from ..fixtures import md5_unit
@@ -56,9 +58,7 @@ def group_kfold(fx):
 select t.id, fo.fold, case when fo.fold <> 0 then 'train' else 'valid' end part from train t join fo using (pn_num)""")
 def split_fold_train_valid(fx):
     f = FO.group_kfold(fx.train.select("id", "pn_num"), "pn_num", 5)
-    tr = f.filter(F.col("fold") != 0).withColumn("part", F.lit("train"))
-    va = f.filter(F.col("fold") == 0).withColumn("part", F.lit("valid"))
-    return tr.unionByName(va).select("id", "fold", "part")
+    return f.select("id", "fold", F.when(F.col("fold") != 0, "train").otherwise("valid").alias("part"))
 
 
 @query("cv_scores_rollup", with_ctes("pred_tok", "pieces", "train", extra=CHARSETS + [("fo", FOLDS_SQL)]) + """
@@ -71,9 +71,22 @@ def cv_scores_rollup(fx):
     return M.micro_f1_rollup(counts.join(folds, "pn_num"), "fold")
 
 
-@query("char_prf", with_ctes("pred_tok", extra=[
-    ("pc", "select distinct pn_num, feature_num, unnest(range(s, e)) c from pred_tok where prob >= 0.5"),
-    ("tc", "select distinct pn_num, feature_num, unnest(range(s, e)) c from pred_tok where label = 1"),
+CHAR_PRF_RUNS = [
+    # a run of tokens above the threshold counts only once a token below it follows, and never from or to offset 0;
+    # a run that starts at 0 stays open and takes all later runs with it
+    ("isl", """select *, tok_no - row_number() over (partition by pn_num, feature_num order by tok_no) g
+       from pred_tok where prob > 0.5"""),
+    ("run", "select pn_num, feature_num, min(s) a, max(e) b, max(tok_no) lt from isl group by pn_num, feature_num, g"),
+    ("fin", "select pn_num, feature_num, max(tok_no) last_tok from pred_tok group by pn_num, feature_num"),
+    ("zero", "select distinct pn_num, feature_num from run where a = 0"),
+    ("emit", """select run.* from run join fin using (pn_num, feature_num)
+       where lt < last_tok and b <> 0 and (pn_num, feature_num) not in (select (pn_num, feature_num) from zero)"""),
+    ("pc", "select distinct pn_num, feature_num, unnest(range(a, b)) c from emit"),
+    ("tc", "select distinct pn_num, feature_num, unnest(range(rs, re)) c from pieces"),
+]
+
+
+@query("char_prf", with_ctes("pred_tok", "pieces", extra=CHAR_PRF_RUNS + [
     ("cnt", """select count(*) filter (where p.c is not null and t.c is not null) tp,
        count(*) filter (where t.c is null) fp, count(*) filter (where p.c is null) fn
        from pc p full outer join tc t on p.pn_num = t.pn_num and p.feature_num = t.feature_num and p.c = t.c""")]) + """
@@ -82,9 +95,10 @@ select round(case when tp + fp > 0 then tp / (tp + fp) else 0 end, 6) "precision
   round(case when tp > 0 then 2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn))) else 0 end, 6) f1,
   null::bigint support from cnt""")
 def char_prf(fx):
-    pred = _pred_intervals(fx, F.col("prob") >= 0.5)
-    truth = _pred_intervals(fx, F.col("label") == 1)
-    return M.prf(M.span_overlap_counts(pred, truth, ROW))
+    """Chars of the decoded runs (no-flush rule) against the chars of the true spans."""
+    loc = D.decode_token_runs(fx.pred_tok, ROW, th=0.5).select(*ROW, F.explode(
+        S.parse_loc_prediction("noflush")).alias("sp"))
+    return M.prf(M.span_overlap_counts(loc.select(*ROW, "sp.start", "sp.end"), _truth_intervals(fx), ROW))
 
 
 @query("row_mean_f1", with_ctes("pred_tok") + """
@@ -175,9 +189,10 @@ SOFTMAX_SQL = """select vec_id, label, cls, exp(score - max(score) over (partiti
 
 
 def _softmax_long(fx):
-    w = W.partitionBy("vec_id")
-    c = fx.class_scores.withColumn("_ex", F.exp(F.col("score") - F.max("score").over(w)))
-    return c.select("vec_id", "label", "cls", (F.col("_ex") / F.sum("_ex").over(w)).alias("prob"))
+    """(vec_id, label, cls, prob): softmax inside the row, then exploded."""
+    p = fx.class_scores.select("vec_id", "label", "scores", N.softmax(F.col("scores")["score"]).alias("p"))
+    z = F.zip_with("scores", "p", lambda s, q: F.struct(s["cls"].alias("cls"), q.alias("prob")))
+    return p.select("vec_id", "label", F.explode(z).alias("x")).select("vec_id", "label", "x.cls", "x.prob")
 
 
 @query("pr_curve_per_class", with_ctes("class_scores", extra=[
@@ -253,8 +268,13 @@ RANKED_SQL = """select vec_id, label, cls, row_number() over (partition by vec_i
 
 
 def _ranked(fx):
-    w = W.partitionBy("vec_id").orderBy(F.desc("score"), "cls")
-    return fx.class_scores.withColumn("rk", F.row_number().over(w))
+    """(vec_id, label, ranked): classes of a row by score, ties by class; no shuffle."""
+    order = F.sort_array(F.transform("scores", lambda x: F.struct((-x["score"]).alias("neg"), x["cls"].alias("cls"))))
+    return fx.class_scores.select("vec_id", "label", F.transform(order, lambda x: x["cls"]).alias("ranked"))
+
+
+def _in_top(k):
+    return F.array_contains(F.slice("ranked", 1, k), F.col("label"))
 
 
 @query("topk_accuracy", with_ctes("class_scores", extra=[("r", RANKED_SQL)]) + """
@@ -262,40 +282,34 @@ select round(avg(top1), 6) top1_acc, round(avg(top3), 6) top3_acc from (
   select vec_id, max(case when rk = 1 and cls = label then 1.0 else 0.0 end) top1,
     max(case when rk <= 3 and cls = label then 1.0 else 0.0 end) top3 from r group by vec_id)""")
 def topk_accuracy(fx):
-    r = _ranked(fx)
-    per = r.groupBy("vec_id").agg(
-        F.max(F.when((F.col("rk") == 1) & (F.col("cls") == F.col("label")), 1.0).otherwise(0.0)).alias("top1"),
-        F.max(F.when((F.col("rk") <= 3) & (F.col("cls") == F.col("label")), 1.0).otherwise(0.0)).alias("top3"))
-    return per.agg(F.round(F.avg("top1"), 6).alias("top1_acc"), F.round(F.avg("top3"), 6).alias("top3_acc"))
+    acc = lambda k: F.round(F.avg(F.when(_in_top(k), 1.0).otherwise(0.0)), 6)
+    return _ranked(fx).agg(acc(1).alias("top1_acc"), acc(3).alias("top3_acc"))
 
 
 @query("per_class_accuracy", with_ctes("class_scores", extra=[("r", RANKED_SQL)]) + """
 select label, round(avg(case when cls = label then 1.0 else 0.0 end), 6) accuracy, count(*) n from r where rk = 1 group by label""")
 def per_class_accuracy(fx):
-    r = _ranked(fx).filter(F.col("rk") == 1)
-    return r.groupBy("label").agg(F.round(F.avg(F.when(F.col("cls") == F.col("label"), 1.0).otherwise(0.0)), 6)
-                                  .alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    return _ranked(fx).groupBy("label").agg(
+        F.round(F.avg(F.when(_in_top(1), 1.0).otherwise(0.0)), 6).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
 @query("topk_classes", with_ctes("class_scores", extra=[("r", RANKED_SQL)]) + """
 select vec_id, rk, cls from r where rk <= 3""")
 def topk_classes(fx):
-    return _ranked(fx).filter(F.col("rk") <= 3).select("vec_id", "rk", "cls")
+    top = _ranked(fx).select("vec_id", F.posexplode(F.slice("ranked", 1, 3)).alias("r", "cls"))
+    return top.select("vec_id", (F.col("r") + 1).alias("rk"), "cls")
 
 
 @query("argmax_class", with_ctes("class_scores", extra=[("r", RANKED_SQL)]) + """
 select vec_id, cls pred from r where rk = 1""")
 def argmax_class(fx):
-    return _ranked(fx).filter(F.col("rk") == 1).select("vec_id", F.col("cls").alias("pred"))
+    return _ranked(fx).select("vec_id", F.col("ranked")[0].alias("pred"))
 
 
 @query("misclassified_rows", with_ctes("class_scores", extra=[("r", RANKED_SQL)]) + """
 select vec_id, label from r group by vec_id, label having max(case when rk <= 3 and cls = label then 1 else 0 end) = 0""")
 def misclassified_rows(fx):
-    r = _ranked(fx)
-    hit = r.groupBy("vec_id", "label").agg(F.max(F.when((F.col("rk") <= 3) & (F.col("cls") == F.col("label")), 1)
-                                                 .otherwise(0)).alias("_hit"))
-    return hit.filter(F.col("_hit") == 0).select("vec_id", "label")
+    return _ranked(fx).filter(~_in_top(3)).select("vec_id", "label")
 
 
 @query("softmax_probs", with_ctes("class_scores", extra=[("sm", """select vec_id, label, cls, ex / sum(ex) over (partition by vec_id) prob from (

@@ -66,4 +66,4 @@ join tokens t on t.pn_num = n.pn_num and t.token = f.term""")
 def stream_parse_join(fx):
     schema = fx.t.documents.schema.simpleString().replace("struct<", "").rstrip(">").replace(":", " ")
     out, ck = FS.scratch(fx.spark, "stream-out"), FS.scratch(fx.spark, "stream-ckpt")
-    return run_available_now(fx.spark, fx.sf_dir, "documents.parquet", schema, fx.features, out, ck)
+    return run_available_now(fx.spark, fx.sf_dir, "documents.parquet", schema, fx.features, fx.case_of, out, ck)

@@ -3,9 +3,6 @@ small scalar keys (SURVEY F5, F6, G1, G4-G8, C5, H15, H17)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import numeric as N
@@ -78,8 +75,7 @@ select p.pn_num, p.feature_num, p.tok_no, fo.fold, p.prob from pred_tok p join f
 def union_oof(fx):
     folds = FO.group_kfold(fx.train.select("pn_num").distinct(), "pn_num", 5)
     p = fx.pred_tok.select("pn_num", "feature_num", "tok_no", "prob").join(folds, "pn_num")
-    parts = [p.filter(F.col("fold") == k) for k in range(5)]
-    return reduce(DataFrame.unionByName, parts).select("pn_num", "feature_num", "tok_no", "fold", "prob")
+    return p.select("pn_num", "feature_num", "tok_no", "fold", "prob")
 
 
 TOKEN_RUNS = """select pn_num, feature_num, string_agg(a || ' ' || b, ';' order by a) location from (
@@ -101,11 +97,13 @@ def join_submission_skeleton(fx):
 @query("sigmoid", with_ctes("class_scores") + """
 select vec_id, cls, round(1 / (1 + exp(-(score * 10))), 6) p from class_scores""")
 def sigmoid(fx):
-    return fx.class_scores.select("vec_id", "cls", F.round(N.sigmoid(F.col("score") * 10), 6).alias("p"))
+    return fx.class_scores_long.select("vec_id", "cls", F.round(N.sigmoid(F.col("score") * 10), 6).alias("p"))
 
 
 @query("row_losses", with_ctes("pred_tok") + """
 select pn_num, feature_num, tok_no,
+  round(-ln(case when label = 1 then least(greatest(prob, 1e-7), 1 - 1e-7) else 1 - least(greatest(prob, 1e-7), 1 - 1e-7) end), 6) nll,
+  round(ln(1 + exp(z)) - label * z, 6) cross_entropy,
   round(-(label * ln(least(greatest(prob, 1e-7), 1 - 1e-7)) + (1 - label) * ln(1 - least(greatest(prob, 1e-7), 1 - 1e-7))), 6) bce,
   round(2.0 * label * (greatest(-z, 0) + ln(1 + exp(-abs(z)))) + (1 - label) * (greatest(z, 0) + ln(1 + exp(-abs(z)))), 6) bce_logits
 from (select *, ln(least(greatest(prob, 1e-7), 1 - 1e-7) / (1 - least(greatest(prob, 1e-7), 1 - 1e-7))) z from pred_tok)""")
@@ -113,6 +111,9 @@ def row_losses(fx):
     p = fx.pred_tok
     pc = F.least(F.greatest(F.col("prob"), F.lit(1e-7)), F.lit(1 - 1e-7))
     z = N.logit(pc)
+    classes = F.array(F.lit(0.0), z)  # two-class logits of the row
     return p.select("pn_num", "feature_num", "tok_no",
+                    F.round(N.nll(F.array(F.ln(1 - pc), F.ln(pc)), "label"), 6).alias("nll"),
+                    F.round(N.cross_entropy(classes, "label"), 6).alias("cross_entropy"),
                     F.round(N.bce("prob", "label"), 6).alias("bce"),
                     F.round(N.bce_with_logits(z, F.col("label"), pos_weight=2.0), 6).alias("bce_logits"))

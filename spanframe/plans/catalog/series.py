@@ -14,7 +14,6 @@ from ...functions import numeric as N
 from ..oracle_sql import with_ctes
 from ..ordered import blocked_moving_avg, blocked_running
 from ..registry import query
-from ..strategy import bounded_broadcast
 
 SMOOTH_N = 100
 TUMBLE = 200
@@ -112,25 +111,21 @@ select s.run, s.step,
 from series s join tot t using (run)""")
 def lr_schedule(fx):
     s = fx.series
-    tot = bounded_broadcast(s.groupBy("run").agg(F.max("step").alias("total")))
-    j = s.join(tot, "run")
+    tot = s.groupBy("run").agg(F.max("step").alias("total")).withColumnRenamed("run", "t_run")
+    j = s.join(tot, F.col("run").eqNullSafe(F.col("t_run")))
     epoch = F.floor((F.col("step") - 1) / 1000)
-    total = F.col("total")
-    st = F.col("step").cast("double")
-    prog = (st - 100) / F.greatest(F.lit(1.0), total - 100.0)
-    warm = st / 100.0 * 2e-5
-    cos = F.when(st < 100, warm).otherwise(
-        F.greatest(F.lit(0.0), 0.5 * (1.0 + F.cos(F.lit(3.141592653589793) * 2.0 * 0.5 * prog))) * 2e-5)
-    lin = F.when(st < 100, warm).otherwise(
-        F.greatest(F.lit(0.0), (total - st) / F.greatest(F.lit(1.0), total - 100.0)) * 2e-5)
-    return j.select("run", "step", F.round(cos, 12).alias("lr_cosine"), F.round(lin, 12).alias("lr_linear"),
+    return j.select("run", "step", F.round(N.cosine_warmup_lr("step", 2e-5, 100, "total"), 12).alias("lr_cosine"),
+                    F.round(N.linear_warmup_lr("step", 2e-5, 100, "total"), 12).alias("lr_linear"),
                     F.round(N.step_decay_lr(epoch, 0.01, 3, 0.5), 12).alias("lr_step"),
                     F.round(N.exp_decay_lr(epoch, 1e-3, 0.6), 12).alias("lr_exp"))
 
 
 @query("format_minutes", """
-select event_id, format('{:d}m {:d}s', floor(value)::bigint, floor(value * 60 - floor(value) * 60)::bigint) elapsed
-from events""")
+with t as (select event_id, value * 60 s, value * 60 / ((event_id % 9 + 1) / 10.0) - value * 60 r from events)
+select event_id, format('{:d}m {:d}s', floor(s / 60)::bigint, floor(s - floor(s / 60) * 60)::bigint) elapsed,
+  format('{:d}m {:d}s (remain {:d}m {:d}s)', floor(s / 60)::bigint, floor(s - floor(s / 60) * 60)::bigint,
+    floor(r / 60)::bigint, floor(r - floor(r / 60) * 60)::bigint) since from t""")
 def format_minutes(fx):
-    e = fx.t.events
-    return e.select("event_id", N.format_minutes(F.col("value") * 60).alias("elapsed"))
+    sec = F.col("value") * 60
+    share = (F.col("event_id") % 9 + 1) / F.lit(10.0)
+    return fx.t.events.select("event_id", N.format_minutes(sec).alias("elapsed"), N.time_since(sec, share).alias("since"))

@@ -294,14 +294,15 @@ def char_pred_3class(fx):
        and substr(clean, a, 1) = ' ' then 0 else 1 end nw from j"""),
     ("g", """select *, sum(nw) over (partition by pn_num, feature_num order by a rows between unbounded preceding
        and current row) grp from m""")]) + """
-select pn_num, feature_num, string_agg(s || ' ' || e, ';' order by s) location from (
+select w.pn_num, w.feature_num, coalesce(l.location, '') location from (select distinct pn_num, feature_num from pred_tok) w
+left join (select pn_num, feature_num, string_agg(s || ' ' || e, ';' order by s) location from (
   select pn_num, feature_num, min(a) s, max(b) e from g group by pn_num, feature_num, grp)
-group by pn_num, feature_num""")
+  group by pn_num, feature_num) l using (pn_num, feature_num)""")
 def postprocess_spaces(fx):
+    rows = fx.train.select(*ROW).join(fx.notes.select("pn_num", clean_spaces("pn_history").alias("clean")), "pn_num")
     pos = fx.pred_tok.filter(F.col("prob") >= 0.5).select(*ROW, "s", "e")
-    runs = D.char_runs(pos, ROW)
-    packed = runs.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
-    txt = fx.notes.select("pn_num", clean_spaces("pn_history").alias("clean"))
-    j = packed.join(txt, "pn_num")
-    pp = j.select(*ROW, D.postprocess_spaces_udf("clean", "runs").alias("pp"))
-    return pp.select(*ROW, S.format_spans("pp").alias("location"))
+    packed = D.char_runs(pos, ROW).groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    j = D.clean_blank_edges(rows.join(packed, ROW, "left"), "clean", "runs", "pp")
+    scored = fx.tokens.select("pn_num").distinct()  # a note without tokens has no scores
+    return j.join(scored, "pn_num", "left_semi").select(
+        *ROW, F.coalesce(S.format_spans("pp"), F.lit("")).alias("location"))

@@ -10,8 +10,7 @@ from ...functions import numeric as N
 from ...operators import tabular as TB
 from ..oracle_sql import with_ctes
 from ..registry import query
-from ..strategy import bounded_broadcast
-from .vocab import VOCAB_CTES, _encoded
+from .vocab import VOCAB_CTES, encoded_tokens
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -24,17 +23,29 @@ def _vsum(c):
     return F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 6)
 
 
+def _unknown(fx):
+    """The vector of an id without one: zeros of the table's width."""
+    return F.array_repeat(F.lit(0.0), fx.t.embeddings.agg(F.max(F.size("embedding"))).scalar())
+
+
 def _token_vectors(fx):
-    e = _encoded(fx).select("pn_num", "tok_no", "idx")
-    return e.join(bounded_broadcast(_emb(fx)), F.col("idx") == F.col("vec_id"))
+    e = encoded_tokens(fx).select("pn_num", "tok_no", "idx")
+    j = e.join(_emb(fx), F.col("idx") == F.col("vec_id"), "left")
+    return j.withColumn("vec", F.coalesce("vec", _unknown(fx)))
 
 
 EMB_CTES = VOCAB_CTES + [
     ("emb", "select vec_id, list_transform(embedding, lambda x: x::double) vec from embeddings"),
-    ("tv", "select e.pn_num, e.tok_no, m.vec_id, m.vec from enc e join emb m on e.idx = m.vec_id"),
+    ("unk", "select list_transform(range((select max(len(embedding)) from embeddings)), lambda x: 0.0::double) z"),
+    ("tv", """select e.pn_num, e.tok_no, m.vec_id, coalesce(m.vec, (select z from unk)) vec
+       from enc e left join emb m on e.idx = m.vec_id"""),
 ]
 
 
+def _feature_vectors(fx):
+    return _emb(fx).select(F.col("vec_id").alias("feature_num"), F.col("vec").alias("fvec"))
+
+
 @query("embed_lookup", with_ctes("tokens", extra=EMB_CTES) + """
 select pn_num, tok_no, vec_id, len(vec)::int n_dims, round(list_reduce(vec, lambda a, b: a + b), 6) vsum from tv""")
 def embed_lookup(fx):
@@ -61,40 +72,44 @@ def sentence_embedding_mean(fx):
 
 
 @query("concat_feature_token_vec", with_ctes("tokens", "pred_tok", extra=EMB_CTES) + """
-select p.pn_num, p.feature_num, p.tok_no, len(list_concat(tv.vec, f.vec))::int n_dims,
-  round(list_reduce(list_concat(tv.vec, f.vec), lambda a, b: a + b), 6) vsum
-from pred_tok p join tv using (pn_num, tok_no) join emb f on f.vec_id = p.feature_num""")
+select pn_num, feature_num, tok_no, len(v)::int n_dims, round(list_reduce(v, lambda a, b: a + b), 6) vsum from (
+  select p.pn_num, p.feature_num, p.tok_no, list_concat(tv.vec, coalesce(f.vec, (select z from unk))) v
+  from pred_tok p join tv using (pn_num, tok_no) left join emb f on f.vec_id = p.feature_num)""")
 def concat_feature_token_vec(fx):
     tv = _token_vectors(fx).select("pn_num", "tok_no", "vec")
-    fv = bounded_broadcast(_emb(fx).select(F.col("vec_id").alias("feature_num"), F.col("vec").alias("fvec")))
-    j = fx.pred_tok.select("pn_num", "feature_num", "tok_no").join(tv, ["pn_num", "tok_no"]).join(fv, "feature_num")
+    j = fx.pred_tok.select("pn_num", "feature_num", "tok_no").join(tv, ["pn_num", "tok_no"]) \
+        .join(_feature_vectors(fx), "feature_num", "left").withColumn("fvec", F.coalesce("fvec", _unknown(fx)))
     cat = F.concat("vec", "fvec")
     return j.select("pn_num", "feature_num", "tok_no", F.size(cat).alias("n_dims"), _vsum(cat).alias("vsum"))
 
 
 @query("cosine_similarity", with_ctes("tokens", "train", extra=EMB_CTES + [
     ("nm", NOTE_MEAN_SQL), ("nv", "select pn_num, list(mean order by dim) mv from nm group by pn_num")]) + """
-select t.id, round(list_cosine_similarity(nv.mv, f.vec), 6) cos from train t join nv using (pn_num)
-join emb f on f.vec_id = t.feature_num""")
+select t.id, case when list_sum(list_transform(nv.mv, lambda x: x * x)) > 0 and f.vec is not null
+  then round(list_cosine_similarity(nv.mv, f.vec), 6) end cos
+from train t left join nv using (pn_num) left join emb f on f.vec_id = t.feature_num""")
 def cosine_similarity(fx):
     m = _note_means(fx)
-    fv = bounded_broadcast(_emb(fx).select(F.col("vec_id").alias("feature_num"), F.col("vec").alias("fvec")))
-    j = fx.train.select("id", "pn_num", "feature_num").join(m, "pn_num").join(fv, "feature_num")
-    return j.select("id", F.round(N.cosine_similarity("mean_vec", "fvec"), 6).alias("cos"))
+    j = fx.train.select("id", "pn_num", "feature_num").join(m, "pn_num", "left") \
+        .join(_feature_vectors(fx), "feature_num", "left")
+    size = N.norm2("mean_vec") * N.norm2("fvec")  # an unknown vector has no direction: null
+    return j.select("id", F.when(size > 0, F.round(N.dot("mean_vec", "fvec") / size, 6)).alias("cos"))
 
 
 @query("layer_concat_sum", """
-select vec_id, dim, round(sum(x), 6) v from (
-  select vec_id, unnest(embedding)::double x, (unnest(range(0, len(embedding))) % 16)::int dim from embeddings)
-group by vec_id, dim""")
+with e as (select vec_id, embedding v, len(embedding) // 4 w from embeddings)
+select vec_id, dim::int dim, round(v[dim + 1]::double + v[w + dim + 1]::double + v[2 * w + dim + 1]::double + v[3 * w + dim + 1]::double, 6) v,
+  (4 * w)::int n_concat, round(list_reduce(list_transform(v[1:4 * w], lambda x: x::double), lambda a, b: a + b), 6) concat_sum
+from (select *, unnest(range(0, w)) dim from e)""")
 def layer_concat_sum(fx):
-    """The 64-dim vector read as 4 layers of 16: concat of the last four layers
-    is the vector itself; their element-wise sum is 16-dim."""
-    e = _emb(fx)
-    layers = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.slice("vec", k * 16 + 1, 16))
-    summed = F.aggregate(F.slice(layers, 2, 3), F.element_at(layers, 1), lambda acc, l: N.vec_add(acc, l))
-    return e.select("vec_id", F.posexplode(summed).alias("dim", "v")).select(
-        "vec_id", "dim", F.round("v", 6).alias("v"))
+    """The vector read as four layers of a quarter of its width: their
+    concatenation (its length and sum) and their element-wise sum."""
+    e = _emb(fx).withColumn("w", F.floor(F.size("vec") / 4).cast("int"))
+    layers = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.slice("vec", k * F.col("w") + 1, F.col("w")))
+    e = e.withColumn("layers", layers).withColumn("cat", F.flatten("layers"))
+    summed = F.aggregate(F.slice("layers", 2, 3), F.element_at("layers", 1), lambda acc, x: N.vec_add(acc, x))
+    return e.select("vec_id", F.posexplode(summed).alias("dim", "v"), F.size("cat").alias("n_concat"),
+                    _vsum(F.col("cat")).alias("concat_sum")).withColumn("v", F.round("v", 6))
 
 
 @query("normalize_vec", """
@@ -145,11 +160,13 @@ def concat_columns(fx):
 
 
 @query("onehot_label", with_ctes("tweets") + """
-select doc_id, label, array_to_string(list_transform(range(4), lambda i: case when i = label then 1 else 0 end), ',') onehot
+select doc_id, label, array_to_string(list_transform(range((select max(label) + 1 from tweets)), lambda i: case when i = label then 1 else 0 end), ',') onehot
 from tweets""")
 def onehot_label(fx):
     t = fx.tweets.select("doc_id", "label")
-    arr = TB.onehot_array("label", 4)
+    # as many classes as the data has
+    t = t.withColumn("n_classes", t.agg(F.max("label") + 1).scalar())
+    arr = TB.onehot_array("label", F.col("n_classes"))
     return t.select("doc_id", "label", F.array_join(F.transform(arr, lambda x: x.cast("string")), ",").alias("onehot"))
 
 

@@ -31,7 +31,7 @@ def _vocab(fx):
     return V.top_k(V.word_freq(fx.tokens), K)
 
 
-def _encoded(fx):
+def encoded_tokens(fx):
     return V.encode(fx.tokens.select("pn_num", "tok_no", "token"), _vocab(fx), OOV) \
         .withColumn("tid", F.col("idx") + V.ID_SHIFT)
 
@@ -84,7 +84,7 @@ def vocab_first_seen(fx):
 
 @query("encode_vocab", with_ctes("tokens", extra=VOCAB_CTES) + "select pn_num, tok_no, idx from enc")
 def encode_vocab(fx):
-    return _encoded(fx).select("pn_num", "tok_no", "idx")
+    return encoded_tokens(fx).select("pn_num", "tok_no", "idx")
 
 
 @query("encode_vocab_strict", with_ctes("tokens", extra=[("fs", FIRST_SEEN)]) + """
@@ -92,9 +92,11 @@ select count(*) n_tokens, count(fs.idx) n_encoded, count(*) - count(fs.idx) n_lo
 from tokens t left join fs using (token)""")
 def encode_vocab_strict(fx):
     full = V.first_seen_index(fx.tokens)
-    j = fx.tokens.select("token").join(full, "token", "left")
-    return j.agg(F.count(F.lit(1)).alias("n_tokens"), F.count("idx").alias("n_encoded"),
-                 (F.count(F.lit(1)) - F.count("idx")).alias("n_lost"))
+    words = fx.tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # one row a word before the join
+    j = words.join(full, "token", "left")
+    known = F.coalesce(F.sum(F.when(F.col("idx").isNotNull(), F.col("n"))), F.lit(0))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return j.agg(total.alias("n_tokens"), known.alias("n_encoded"), (total - known).alias("n_lost"))
 
 
 @query("decode_vocab", with_ctes("tokens", extra=VOCAB_CTES) + """
@@ -102,9 +104,8 @@ select e.pn_num, string_agg(coalesce(v.token, '[UNK]'), ' ' order by e.tok_no) d
 from enc e left join vk v using (idx) group by e.pn_num""")
 def decode_vocab(fx):
     inv = _vocab(fx).select("idx", F.col("token").alias("word"))
-    from ..strategy import bounded_broadcast
 
-    e = _encoded(fx).select("pn_num", "tok_no", "idx").join(bounded_broadcast(inv), "idx", "left") \
+    e = encoded_tokens(fx).select("pn_num", "tok_no", "idx").join(inv, "idx", "left") \
         .withColumn("word", F.coalesce("word", F.lit("[UNK]")))
     lst = F.sort_array(F.collect_list(F.struct("tok_no", "word")))
     return e.groupBy("pn_num").agg(F.array_join(F.transform(lst, lambda x: x["word"]), " ").alias("decoded"))
@@ -115,19 +116,22 @@ def tokenize_distinct_join(fx):
     """Tokenise each distinct text once (dedup on a text digest), join back."""
     n = fx.notes.select("pn_num", F.sha2("pn_history", 256).alias("h"), "pn_history")
     distinct = n.select("h", "pn_history").dropDuplicates(["h"])
-    toks = tokens_of(distinct, ["h"], "pn_history")
-    return n.select("pn_num", "h").join(toks, "h").select("pn_num", "tok_no", "token", "s", "e")
+    # one row a text until it is back with its notes, then exploded: a much-copied text is split by AQE as rows, not tokens
+    packed = tokens_of(distinct, ["h"], "pn_history").groupBy("h").agg(
+        F.collect_list(F.struct("tok_no", "token", "s", "e")).alias("t"))
+    return n.select("pn_num", "h").join(packed, "h").select("pn_num", F.inline("t"))
 
 
 @query("cached_vocab", with_ctes("tokens", extra=VOCAB_CTES[:2]) + "select token, cnt, idx from vk")
 def cached_vocab(fx):
-    """Compute-or-load: the vocabulary is materialised once per input and K
-    in the shared checkpoint folder and re-read afterwards."""
-    import hashlib
-
-    root = ensure_checkpoint_dir(fx.spark)
-    key = hashlib.md5(f"vocab|{fx.sf_dir}|{K}|v1".encode()).hexdigest()
-    path = f"{root.rstrip('/')}/cache/vocab_{key}"
+    """Compute-or-load: the vocabulary is materialised once per input content
+    and K in the shared checkpoint folder and re-read afterwards.  The content
+    key is made of the input files' names, sizes and modification times, as
+    Spark's file source lists them, so changed data is computed anew."""
+    files = fx.t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    one = F.concat_ws("|", *[F.col(c).cast("string") for c in files.columns])
+    key = files.agg(F.md5(F.array_join(F.array_sort(F.collect_list(F.md5(one))), ","))).first()[0]
+    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/cache/vocab_{K}_{key}"
     try:
         return fx.spark.read.parquet(path)
     except AnalysisException:
@@ -141,63 +145,83 @@ SEQ_CTES = VOCAB_CTES + [
          '-', ' ')), '{WORD}') w from features)"""),
     ("fenc", f"""select feature_num, list(coalesce(v.idx, {OOV}) + 3 order by tok_no) fids
        from fw left join vk v using (token) group by feature_num"""),
-    ("nseq", "select pn_num, list(idx + 3 order by tok_no) nids from enc where tok_no <= 64 group by pn_num"),
-    ("pair", """select t.id, coalesce(f.fids, []) fids,
-       list_concat(list_slice(list_concat([1], coalesce(f.fids, []), [2], n.nids), 1, 63), [2]) body
+    ("nseq", """select pn_num, list(e.idx + 3 order by e.tok_no) nids, list(t.s order by e.tok_no) ss, list(t.e order by e.tok_no) es
+       from enc e join tokens t using (pn_num, tok_no) group by pn_num"""),
+    ("len", """select max(len(regexp_extract_all(pn_history, '[\\p{L}\\p{N}]+'))) + (select max(len(fids)) from fenc) + 3 max_len from notes"""),
+    ("pair", """select t.id, coalesce(f.fids, []) fids, n.nids, n.ss, n.es, (select max_len from len) max_len
        from train t left join fenc f using (feature_num) join nseq n using (pn_num)"""),
 ]
 
 
-def _pairs(fx, max_len=64):
-    from ..strategy import bounded_broadcast
-
+def _pairs(fx):
+    """(id, fids, nids, ss, es, max_len): feature and note ids of each row, the
+    note's offsets, and the length that holds every pair whole: longest note +
+    longest feature + 3 specials, taken from the data."""
     f = fx.features.select("feature_num", F.posexplode(F.regexp_extract_all(
         F.lower(norm_feature_text("feature_text")), F.lit(WORD), 0)).alias("p", "token"))
     f = V.encode(f.withColumn("tok_no", F.col("p") + 1), _vocab(fx), OOV).withColumn("tid", F.col("idx") + V.ID_SHIFT)
     fids = V.id_sequences(f, "feature_num").withColumnRenamed("ids", "fids")
-    nids = V.id_sequences(_encoded(fx), "pn_num", max_tokens=max_len).withColumnRenamed("ids", "nids")
-    t = fx.train.select("id", "pn_num", "feature_num").join(bounded_broadcast(fids), "feature_num", "left") \
-        .join(nids, "pn_num")
-    t = t.withColumn("fids", F.coalesce("fids", F.array().cast("array<int>")))
-    body = F.concat(F.slice(F.concat(F.array(F.lit(V.CLS)), "fids", F.array(F.lit(V.SEP)), "nids"), 1, max_len - 1),
-                    F.array(F.lit(V.SEP)))
-    return t.select("id", "fids", body.alias("body"))
+    lst = F.sort_array(F.collect_list(F.struct("tok_no", "tid", "s", "e")))
+    enc = V.encode(fx.tokens, _vocab(fx), OOV).withColumn("tid", F.col("idx") + V.ID_SHIFT)
+    notes = enc.groupBy("pn_num").agg(lst.alias("t")).select(
+        "pn_num", F.col("t")["tid"].alias("nids"), F.col("t")["s"].alias("ss"), F.col("t")["e"].alias("es"))
+    longest = fx.notes.agg(F.max(F.regexp_count("pn_history", F.lit(WORD)))).scalar() \
+        + fids.agg(F.max(F.size("fids"))).scalar() + 3
+    t = fx.train.select("id", "pn_num", "feature_num").join(fids, "feature_num", "left").join(notes, "pn_num")
+    return t.select("id", F.coalesce("fids", F.array().cast("array<int>")).alias("fids"), "nids", "ss", "es",
+                    longest.cast("int").alias("max_len"))
 
 
 @query("encode_pair", with_ctes("tokens", "features", "train", extra=SEQ_CTES) + """
-select id, array_to_string(list_concat(body, list_transform(range(64 - len(body)), lambda x: 0)), ' ') input_ids,
-  array_to_string(list_transform(range(64), lambda i: case when i >= len(fids) + 2 and i < len(body) then 1 else 0 end), ' ')
-    token_type_ids, len(body)::int n_real from pair""")
+select id, array_to_string(list_concat([1], fids, [2], nids, [2]), ' ') input_ids,
+  array_to_string(list_concat(list_transform(range(len(fids) + 2), lambda x: 0), list_transform(range(len(nids) + 1), lambda x: 1)), ' ')
+    token_type_ids, (len(fids) + len(nids) + 3)::int n_real, (max_len - len(fids) - len(nids) - 3)::int n_pad,
+  array_to_string(list_concat([1], fids, [2, 2], nids, [2]), ' ') input_ids_two_sep,
+  array_to_string(list_concat(list_transform(range(len(fids) + 3), lambda x: '0 0'),
+    list_transform(list_zip(ss, es), lambda x: x[1] || ' ' || x[2]), ['0 0']), ';') offsets_two_sep,
+  (max_len + 1 - len(fids) - len(nids) - 4)::int n_pad_two_sep from pair""")
 def encode_pair(fx):
+    """Both separator modes: CLS first SEP second SEP with segment types, and CLS
+    first SEP SEP second SEP with all-zero types and the parallel offsets.  The
+    padding is a run of one value, given by its length (``n_pad``) up to the
+    data's ``max_len``; nothing is truncated."""
     p = _pairs(fx)
-    return p.select("id", V.ints_to_text(V.zero_pad(F.col("body"), 64)).alias("input_ids"),
-                    V.ints_to_text(V.pair_token_types(F.size("fids"), F.size("body"), 64)).alias("token_type_ids"),
-                    F.size("body").cast("int").alias("n_real"))
+    one, two = V.pair_ids("fids", "nids", 1), V.pair_ids("fids", "nids", 2)
+    zero = F.lit("0 0")
+    offs = F.concat(F.array_repeat(zero, F.size("fids") + 3), F.zip_with(
+        "ss", "es", lambda s, e: F.concat_ws(" ", s.cast("string"), e.cast("string"))), F.array(zero))
+    return p.select("id", V.ints_to_text(one).alias("input_ids"),
+                    V.ints_to_text(V.pair_token_types(F.size("fids"), F.size("nids"))).alias("token_type_ids"),
+                    F.size(one).alias("n_real"), (F.col("max_len") - F.size(one)).alias("n_pad"),
+                    V.ints_to_text(two).alias("input_ids_two_sep"), F.array_join(offs, ";").alias("offsets_two_sep"),
+                    (F.col("max_len") + 1 - F.size(two)).alias("n_pad_two_sep"))
 
 
 @query("ignore_mask", with_ctes("tokens", "features", "train", extra=SEQ_CTES) + """
-select id, array_to_string(list_transform(range(64), lambda i: case when i >= len(fids) + 2 and i < len(body) - 1
-  then 0 else -1 end), ' ') mask, (len(body) - len(fids) - 3)::int n_kept from pair""")
+select id, array_to_string(list_concat(list_transform(range(len(fids) + 2), lambda x: -1), list_transform(range(len(nids)), lambda x: 0), [-1]), ' ') mask,
+  array_to_string(list_concat(list_transform(range(len(fids) + 2), lambda x: -100), list_transform(range(len(nids)), lambda x: 0), [-100]), ' ') mask100,
+  len(nids)::int n_kept, (max_len - len(fids) - len(nids) - 3)::int n_pad from pair""")
 def ignore_mask(fx):
+    """Masks over the real positions; the ``n_pad`` padded ones hold the ignore value too."""
     from ...operators.labels import ignore_mask as mask_expr
 
     p = _pairs(fx)
-    n_first = F.size("fids")
-    m = mask_expr(n_first, F.size("body"), -1)
-    m = F.concat(m, F.array_repeat(F.lit(-1), F.lit(64) - F.size("body")))
-    return p.select("id", V.ints_to_text(m).alias("mask"),
-                    (F.size("body") - n_first - 3).cast("int").alias("n_kept"))
+    total = F.size("fids") + F.size("nids") + 3
+    return p.select("id", V.ints_to_text(mask_expr(F.size("fids"), total, -1)).alias("mask"),
+                    V.ints_to_text(mask_expr(F.size("fids"), total, -100)).alias("mask100"),
+                    F.size("nids").alias("n_kept"), (F.col("max_len") - total).alias("n_pad"))
 
 
 @query("encode_single_mask", with_ctes("tokens", extra=VOCAB_CTES + [
     ("seq", "select pn_num, list(idx + 3 order by tok_no) ids from enc where tok_no <= 510 group by pn_num")]) + """
 select pn_num, array_to_string(list_concat([1], ids, [2], list_transform(range(510 - len(ids)), lambda x: 0)), ' ') input_ids,
+  array_to_string(list_concat(list_transform(range(len(ids) + 2), lambda x: 1), list_transform(range(510 - len(ids)), lambda x: 0)), ' ') attention_mask,
   (len(ids) + 2)::int n_attention from seq""")
 def encode_single_mask(fx):
-    s = V.id_sequences(_encoded(fx), "pn_num", max_tokens=510)
+    s = V.id_sequences(encoded_tokens(fx), "pn_num", max_tokens=510)
     enc = V.single_encoding(F.col("ids"), 512)
     mask = V.attention_mask(enc)
-    return s.select("pn_num", V.ints_to_text(enc).alias("input_ids"),
+    return s.select("pn_num", V.ints_to_text(enc).alias("input_ids"), V.ints_to_text(mask).alias("attention_mask"),
                     F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("n_attention"))
 
 
@@ -207,7 +231,7 @@ select pn_num, array_to_string(list_concat(l, list_transform(range(250 - len(l))
   len(l)::int n_nonzero from (
   select pn_num, list_transform(string_split(ids, ' ')[1:250], lambda x: x::int) l from txt)""")
 def pad_id_sequences(fx):
-    s = V.id_sequences(_encoded(fx), "pn_num").select("pn_num", V.ints_to_text(F.col("ids")).alias("txt"))
+    s = V.id_sequences(encoded_tokens(fx), "pn_num", max_tokens=250).select("pn_num", V.ints_to_text(F.col("ids")).alias("txt"))
     ids = F.transform(F.slice(F.split("txt", " "), 1, 250), lambda x: x.cast("int"))
     return s.select("pn_num", V.ints_to_text(V.zero_pad(ids, 250)).alias("padded"),
                     F.size(ids).cast("int").alias("n_nonzero"))

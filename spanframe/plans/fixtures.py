@@ -10,32 +10,32 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD_START_PATTERN, word_offsets, words
+from ..functions.arrow import running_starts
+from ..functions.text import WORD_START_PATTERN, segments
 from ..sources.tables import Tables
-from .strategy import bounded_broadcast
+
+FEATURES_PER_CASE = 4
 
 
 def tokens_of(df: DataFrame, key_cols, text_col: str) -> DataFrame:
     """Explode a text column into word tokens with offsets (one row per token).
 
-    No exchange and no per-gap rows: the JVM regex extracts the words, an
-    Arrow step turns word/gap run lengths into start offsets, and only the
-    words are exploded.  ``tok_no`` is the 1-based word rank; ``pos`` is the
-    word's index among all word/gap segments (2k, or 2k+1 when the text
-    starts with a gap).
+    A map without an exchange: one JVM regex pass cuts the text into
+    alternating word and gap segments, an Arrow step turns their lengths into
+    start offsets, and only the words are exploded.  ``tok_no`` is the 1-based
+    word rank; ``pos`` is the word's index among all segments (2k, or 2k+1 when
+    the text starts with a gap).
     """
     keys = [F.col(k) for k in key_cols]
-    w = df.select(*keys, words(text_col).alias("_w"), word_offsets(text_col).alias("_st"),
-                  F.col(text_col).rlike(WORD_START_PATTERN).alias("_wf"))
-    e = w.select(*keys, "_wf", F.posexplode(F.arrays_zip(F.col("_w").alias("w"), F.col("_st").alias("st")))
-                 .alias("i", "t"))
-    return e.select(*keys,
-                    (F.col("i") * 2 + F.when(F.col("_wf"), 0).otherwise(1)).cast("int").alias("pos"),
+    first = F.col(text_col).rlike(WORD_START_PATTERN)
+    w = df.select(*keys, segments(text_col).alias("_g"), F.when(first, 0).otherwise(1).alias("_o"))
+    w = w.withColumn("_l", F.transform("_g", lambda x: F.length(x))).withColumn("_st", running_starts("_l"))
+    pairs = F.arrays_zip(F.col("_g").alias("w"), F.col("_st").alias("st"))
+    e = w.select(*keys, "_o", F.posexplode(F.filter(pairs, lambda x, i: i % 2 == F.col("_o"))).alias("i", "t"))
+    return e.select(*keys, (F.col("i") * 2 + F.col("_o")).cast("int").alias("pos"),
                     F.lower(F.col("t.w")).alias("token"),
                     F.col("t.st").alias("s"),
                     (F.col("t.st") + F.length(F.col("t.w"))).cast("int").alias("e"),
@@ -43,119 +43,94 @@ def tokens_of(df: DataFrame, key_cols, text_col: str) -> DataFrame:
 
 
 class Fixtures:
+    """Relations of one query.  Nothing is cached or collected: each query
+    plans its own reads, so filters and column lists reach the scans."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
 
+    def case_of(self, key: str):
+        """Case of a note or feature: about FEATURES_PER_CASE features share
+        one, so the pairs of a note stay constant while the catalogue grows."""
+        n = self.t.benchmark.agg(F.greatest(F.lit(1), F.expr(f"count(1) div {FEATURES_PER_CASE}"))).scalar()
+        return F.pmod(F.col(key), n).cast("int")
+
     @cached_property
     def notes(self) -> DataFrame:
-        """Notes hash-partitioned by the note key once, right after the scan.
-
-        Tokenisation is the CPU-heavy per-row stage, and every token-level
-        join, window and aggregate downstream is keyed by (pn_num[, ...]):
-        the persisted token table inherits this partitioning, so those
-        operators reuse it instead of re-shuffling the (larger) token table.
-        Column pruning pushes below the exchange, so queries that only need
-        keys never move the text."""
-        d = self.t.documents
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return d.select(F.col("doc_id").alias("pn_num"),
-                        (F.col("doc_id") % 10).cast("int").alias("case_num"),
-                        F.col("text").alias("pn_history")).repartition(n, "pn_num")
+        """Notes as a plain scan; no exchange."""
+        return self.t.documents.select(F.col("doc_id").alias("pn_num"), self.case_of("doc_id").alias("case_num"),
+                                       F.col("text").alias("pn_history"))
 
     @cached_property
     def features(self) -> DataFrame:
         b = self.t.benchmark
         words = F.split(F.col("text"), " ")
         return b.select(
-            F.col("item_id").alias("feature_num"),
-            (F.col("item_id") % 10).cast("int").alias("case_num"),
+            F.col("item_id").alias("feature_num"), self.case_of("item_id").alias("case_num"),
             F.concat(F.array_join(F.slice(words, 1, 2), "-"), F.lit("-OR-"),
                      F.try_element_at(words, F.lit(3))).alias("feature_text"),
             F.lower(F.regexp_extract(F.col("text"), r"\p{L}+", 0)).alias("term"))
 
     @cached_property
-    def features_b(self) -> DataFrame:
-        """features behind a proven size bound (broadcast dimension)."""
-        return bounded_broadcast(self.features)
-
-    @cached_property
-    def _token_base(self) -> DataFrame:
-        """The corpus is tokenised once per session: every later join, window
-        and aggregate reads this persisted table (lost blocks recompute from
-        lineage) instead of re-running the regex and the Arrow prefix sum."""
-        return tokens_of(self.notes, ["pn_num", "case_num"], "pn_history").persist(StorageLevel.MEMORY_AND_DISK)
-
     def tokens_with_case(self) -> DataFrame:
-        return self._token_base
+        return tokens_of(self.notes, ["pn_num", "case_num"], "pn_history")
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return self._token_base.select("pn_num", "pos", "token", "s", "e", "tok_no")
+        return tokens_of(self.notes, ["pn_num"], "pn_history")
 
     @cached_property
-    def occ(self) -> DataFrame:
-        f = self.features_b.select("feature_num", "case_num", F.col("term"))
-        t = self.tokens_with_case()
-        j = t.join(f, (t.case_num == f.case_num) & (t.token == f.term)).select(
-            t.pn_num, t.case_num, f.feature_num, t.s, t.e, t.token)
-        w = W.partitionBy("pn_num", "feature_num").orderBy("s")
-        # small (term hits only) and read by train, pred_tok and the labels
-        return j.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= 3) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+    def hits(self) -> DataFrame:
+        """(pn_num, feature_num, hits array<struct<s,e,token>>): all tokens of
+        the note that equal the feature's term, in order."""
+        f = self.features.select("feature_num", "case_num", F.col("term"))
+        t = self.tokens_with_case
+        j = t.join(f, (t.case_num == f.case_num) & (t.token == f.term))
+        return j.groupBy("pn_num", "feature_num").agg(
+            F.sort_array(F.collect_list(F.struct(t.s, t.e, t.token))).alias("hits"))
 
     @cached_property
-    def train(self) -> DataFrame:
-        o = self.occ
-        loc = F.concat_ws(" ", F.col("s").cast("string"), F.col("e").cast("string"))
-
-        def kth(k, v):
-            return F.max(F.when(F.col("k") == k, v))
-
-        agg = o.groupBy("pn_num", "feature_num").agg(
-            F.max("k").alias("kmax"),
-            kth(1, F.col("token")).alias("t1"), kth(2, F.col("token")).alias("t2"),
-            kth(3, F.col("token")).alias("t3"),
-            kth(1, loc).alias("l1"), kth(2, loc).alias("l2"), kth(3, loc).alias("l3"))
+    def _annotated(self) -> DataFrame:
+        """Every note with every feature of its case, and the packed hits."""
         nf = self.notes.select("pn_num", "case_num").join(
-            self.features_b.select("feature_num", "case_num"), "case_num")
-        j = nf.join(agg, ["pn_num", "feature_num"], "left")
-        km = F.col("kmax")
+            self.features.select("feature_num", "case_num"), "case_num")
+        return nf.join(self.hits, ["pn_num", "feature_num"], "left")
 
-        def lit_list(a, b, c, sep):
-            return (F.when(km.isNull(), F.lit("[]"))
-                    .when(km == 1, F.concat(F.lit("['"), a, F.lit("']")))
-                    .when(km == 2, F.concat(F.lit("['"), a, F.lit(sep), b, F.lit("']")))
-                    .otherwise(F.concat(F.lit("['"), a, F.lit(sep), b, F.lit("', '"), c, F.lit("']"))))
+    @cached_property
+    def train(self) -> DataFrame:
+        """Annotation rows: hits in order, two to an annotation (its pieces)."""
+        n = F.size("hits")
+        parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 2).cast("int")),
+                            lambda i: F.slice("hits", (i * 2 + 1).cast("int"), 2))
 
-        return j.select(
+        def literal(piece, sep):
+            item = F.transform(parts, lambda p: F.array_join(F.transform(p, piece), sep))
+            return F.when(F.col("hits").isNull(), F.lit("[]")) \
+                .otherwise(F.concat(F.lit("['"), F.array_join(item, "', '"), F.lit("']")))
+
+        return self._annotated.select(
             F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string")).alias("id"),
             "case_num", "pn_num", "feature_num",
-            lit_list(F.col("t1"), F.col("t2"), F.col("t3"), " ").alias("annotation"),
-            lit_list(F.col("l1"), F.col("l2"), F.col("l3"), ";").alias("location")) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+            literal(lambda h: h["token"], " ").alias("annotation"),
+            literal(lambda h: F.concat_ws(" ", h["s"].cast("string"), h["e"].cast("string")), ";").alias("location"))
 
     @cached_property
     def pred_tok(self) -> DataFrame:
-        # every annotated row is scored over every token of its note (whole
-        # texts, no row or token subset)
-        r = self.train.select("pn_num", "feature_num")
+        """Every annotated row scored over every token of its note.  The label
+        comes from the row's packed hits, so the only join is on the note."""
+        starts = F.coalesce(F.transform("hits", lambda h: h["s"]), F.array().cast("array<int>"))
+        r = self._annotated.select("pn_num", "feature_num", starts.alias("starts"))
         t = self.tokens.select("pn_num", "tok_no", "s", "e")
-        o = self.occ.select(F.col("pn_num").alias("opn"), F.col("feature_num").alias("ofn"),
-                            F.col("s").alias("os"))
-        j = (r.join(t, "pn_num")
-             .join(o, (F.col("pn_num") == F.col("opn")) & (F.col("feature_num") == F.col("ofn"))
-                   & (F.col("s") == F.col("os")), "left")
-             .select("pn_num", "feature_num", "tok_no", "s", "e",
-                     F.when(F.col("os").isNull(), 0).otherwise(1).alias("label")))
+        j = r.join(t, "pn_num").select("pn_num", "feature_num", "tok_no", "s", "e", F.when(
+            F.array_contains("starts", F.col("s")), 1).otherwise(0).alias("label"))
         key = F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string"),
                           F.col("tok_no").cast("string"))
         h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
         draw = F.when(h % 1000 < 2, F.lit(549)).otherwise(h % 450)
         return j.select("pn_num", "feature_num", "tok_no", "s", "e", "label",
-                        ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob")) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+                        ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob"))
 
 
 def md5_unit(*cols) -> "F.Column":
@@ -171,14 +146,14 @@ class Bindings(Fixtures):
     @cached_property
     def merged(self) -> DataFrame:
         """train LEFT JOIN features LEFT JOIN notes (the reference's wide frame)."""
-        return (self.train.join(self.features_b, ["feature_num", "case_num"], "left")
+        return (self.train.join(self.features, ["feature_num", "case_num"], "left")
                 .join(self.notes, ["pn_num", "case_num"], "left"))
 
     @cached_property
     def passengers(self) -> DataFrame:
         t = self.t
         n_orders = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
-        c = t.customer.join(bounded_broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"), "left") \
+        c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left") \
             .join(n_orders, F.col("c_custkey") == F.col("o_custkey"), "left")
         return c.select(
             F.col("c_custkey").alias("pid"),
@@ -198,11 +173,25 @@ class Bindings(Fixtures):
 
     @cached_property
     def class_scores(self) -> DataFrame:
-        """Long class scores (vec_id, label, cls, score): score = dot(vec, centroid_cls)."""
-        e = self.t.embeddings.select("vec_id", "label", F.posexplode("embedding").alias("dim", "v"))
-        cent = e.groupBy(F.col("label").alias("cls"), "dim").agg(F.avg("v").alias("cv"))
-        j = e.join(bounded_broadcast(cent), "dim")
-        return j.groupBy("vec_id", "label", "cls").agg(F.sum(F.col("v") * F.col("cv")).alias("score"))
+        """(vec_id, label, scores array<struct<cls, score>> by class): dot product
+        of the vector with each class centroid.
+
+        The centroids are one row (classes x dimensions), a scalar subquery, so
+        scoring is a map over the vectors without a shuffle."""
+        e = self.t.embeddings.select("vec_id", "label", "embedding")
+        dims = e.select("label", F.posexplode("embedding").alias("dim", "v")) \
+            .groupBy("label", "dim").agg(F.avg("v").alias("cv"))
+        cent = dims.groupBy("label").agg(F.transform(
+            F.sort_array(F.collect_list(F.struct("dim", "cv"))), lambda x: x["cv"]).alias("cv"))
+        all_cent = cent.agg(F.sort_array(F.collect_list(F.struct(F.col("label").alias("cls"), "cv"))).alias("c")).scalar()
+        scores = F.transform("_c", lambda c: F.struct(c["cls"].alias("cls"), F.aggregate(
+            F.zip_with("embedding", c["cv"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda x, y: x + y).alias("score")))
+        return e.withColumn("_c", all_cent).select("vec_id", "label", scores.alias("scores"))
+
+    @cached_property
+    def class_scores_long(self) -> DataFrame:
+        return self.class_scores.select("vec_id", "label", F.explode("scores").alias("x")) \
+            .select("vec_id", "label", "x.cls", "x.score")
 
     @cached_property
     def bias_rows(self) -> DataFrame:
@@ -224,14 +213,9 @@ class Bindings(Fixtures):
 
     @cached_property
     def note_tok_arrays(self) -> DataFrame:
-        """(pn_num, toks array<struct<s,e>>) in token order.
-
-        Built from the persisted token table, which is already hash-
-        partitioned by pn_num: the per-note grouping needs no exchange and
-        the notes are not tokenised again.  One note's tokens form one group
-        (bounded by the note's length)."""
+        """(pn_num, toks array<struct<s,e>>) in token order; one group is one note."""
         lst = F.sort_array(F.collect_list(F.struct("tok_no", "s", "e")))
-        return self._token_base.groupBy("pn_num").agg(
+        return self.tokens.groupBy("pn_num").agg(
             F.transform(lst, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"))).alias("toks"))
 
     @cached_property

@@ -6,25 +6,30 @@ all dependencies in order, ready to prefix a ``SELECT``.
 
 from __future__ import annotations
 
+from .fixtures import FEATURES_PER_CASE
+
+# about FEATURES_PER_CASE features share a case, whatever the size of the catalogue
+CASES = f"(select greatest(1, count(*) // {FEATURES_PER_CASE}) from benchmark)"
+
 FIXTURE_SQL = {
-    "notes": "select doc_id pn_num, (doc_id % 10)::int case_num, text pn_history from documents",
-    "features": """select item_id feature_num, (item_id % 10)::int case_num,
+    "notes": f"select doc_id pn_num, (doc_id % {CASES})::int case_num, text pn_history from documents",
+    "features": f"""select item_id feature_num, (item_id % {CASES})::int case_num,
   concat(array_to_string(string_split(text,' ')[1:2],'-'),'-OR-',string_split(text,' ')[3]) feature_text,
-  lower(regexp_extract(text, '\\p{L}+')) term from benchmark""",
+  lower(regexp_extract(text, '\\p{{L}}+')) term from benchmark""",
     "tokens": """select pn_num, pos, lower(seg) token, s::int s, (s+length(seg))::int e, row_number() over (partition by pn_num order by pos) tok_no from (
    select *, coalesce(sum(length(seg)) over (partition by pn_num order by pos rows between unbounded preceding and 1 preceding),0) s
    from (select pn_num, unnest(a) seg, (generate_subscripts(a,1)-1)::int pos from (select pn_num, regexp_extract_all(pn_history,'([\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+)') a from notes)))
    where regexp_matches(seg,'^[\\p{L}\\p{N}]')""",
-    "occ": """select * from (select n.pn_num, n.case_num, f.feature_num, t.s, t.e, t.token, row_number() over (partition by n.pn_num, f.feature_num order by t.s) k
-   from notes n join features f on n.case_num=f.case_num join tokens t on t.pn_num=n.pn_num and t.token=f.term) where k<=3""",
+    "occ": """select n.pn_num, n.case_num, f.feature_num, t.s, t.e, t.token,
+      row_number() over (partition by n.pn_num, f.feature_num order by t.s) k
+   from notes n join features f on n.case_num=f.case_num join tokens t on t.pn_num=n.pn_num and t.token=f.term""",
+    "lits": """select pn_num, feature_num, '[''' || string_agg(a, ''', ''' order by el) || ''']' annotation,
+      '[''' || string_agg(l, ''', ''' order by el) || ''']' location from (
+     select pn_num, feature_num, (k - 1) // 2 el, string_agg(token, ' ' order by k) a, string_agg(s || ' ' || e, ';' order by k) l
+     from occ group by pn_num, feature_num, (k - 1) // 2) group by pn_num, feature_num""",
     "train": """select concat(n.pn_num,'_',f.feature_num) id, n.case_num, n.pn_num, f.feature_num,
-   case when max(o.k) is null then '[]' when max(o.k)=1 then concat('[''', max(case when o.k=1 then o.token end), ''']')
-        when max(o.k)=2 then concat('[''', max(case when o.k=1 then o.token end),' ',max(case when o.k=2 then o.token end), ''']')
-        else concat('[''', max(case when o.k=1 then o.token end),' ',max(case when o.k=2 then o.token end), ''', ''', max(case when o.k=3 then o.token end), ''']') end annotation,
-   case when max(o.k) is null then '[]' when max(o.k)=1 then concat('[''', max(case when o.k=1 then concat(o.s,' ',o.e) end), ''']')
-        when max(o.k)=2 then concat('[''', max(case when o.k=1 then concat(o.s,' ',o.e) end),';',max(case when o.k=2 then concat(o.s,' ',o.e) end), ''']')
-        else concat('[''', max(case when o.k=1 then concat(o.s,' ',o.e) end),';',max(case when o.k=2 then concat(o.s,' ',o.e) end), ''', ''', max(case when o.k=3 then concat(o.s,' ',o.e) end), ''']') end location
-   from notes n join features f on n.case_num=f.case_num left join occ o on o.pn_num=n.pn_num and o.feature_num=f.feature_num group by n.case_num,n.pn_num,f.feature_num""",
+   coalesce(l.annotation, '[]') annotation, coalesce(l.location, '[]') location
+   from notes n join features f on n.case_num=f.case_num left join lits l on l.pn_num=n.pn_num and l.feature_num=f.feature_num""",
     "pred_tok": """select pn_num, feature_num, tok_no, s, e, label, (450*label + case when h % 1000 < 2 then 549 else h % 450 end)/1000.0::double prob from (
    select t.pn_num, r.feature_num, t.tok_no, t.s, t.e, case when o.s is null then 0 else 1 end as label,
      ('0x'||substr(md5(concat(t.pn_num,'_',r.feature_num,'_',t.tok_no)),1,8))::bigint as h
@@ -58,7 +63,8 @@ DEPS = {
     "features": [],
     "tokens": ["notes"],
     "occ": ["notes", "features", "tokens"],
-    "train": ["notes", "features", "occ"],
+    "lits": ["occ"],
+    "train": ["notes", "features", "lits"],
     "pred_tok": ["train", "tokens", "occ"],
     "merged": ["train", "features", "notes"],
     "pieces": ["train"],
@@ -87,6 +93,6 @@ def _order(names):
 
 def with_ctes(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     """WITH-clause for fixture relations plus extra (name, sql) CTEs."""
-    parts = [f"{n} AS ({FIXTURE_SQL[n]})" for n in _order(names)]
-    parts += [f"{n} AS ({q})" for n, q in (extra or [])]
+    parts = [f"{n} AS MATERIALIZED ({FIXTURE_SQL[n]})" for n in _order(names)]
+    parts += [f"{n} AS MATERIALIZED ({q})" for n, q in (extra or [])]
     return ("WITH " + ",\n".join(parts) + "\n") if parts else ""

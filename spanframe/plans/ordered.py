@@ -19,25 +19,31 @@ tie-breaker); then every number is deterministic under recomputation.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .strategy import bounded_broadcast, checkpoint_table
+from .strategy import checkpoint_table
 
 DEFAULT_BLOCK = 65_536
 
 
-def _nparts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner equi-join that also matches null keys; the right keys are dropped."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
 
 
 def group_index(df: DataFrame, group_cols, order_cols, name: str = "idx",
-                base: int = 1, partitions: int | None = None) -> DataFrame:
-    """Row number inside each group (``base``-based) without a per-group task."""
+                base: int = 1) -> DataFrame:
+    """Row number inside each group (``base``-based) without a per-group task.
+
+    Null is a group like any other."""
     group_cols, order_cols = list(group_cols), list(order_cols)
-    n = partitions or _nparts(df)
-    r = (df.repartitionByRange(n, *(group_cols + order_cols))
+    r = (df.repartitionByRange(*(group_cols + order_cols))
          .sortWithinPartitions(*(group_cols + order_cols))
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_loc", F.monotonically_increasing_id()
@@ -52,15 +58,14 @@ def group_index(df: DataFrame, group_cols, order_cols, name: str = "idx",
     wg = W.partitionBy(*group_cols).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1) \
         if group_cols else W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wg), F.lit(0))).drop("_n")
-    out = r.join(bounded_broadcast(offs), keys)
+    out = _join_keys(r, offs, keys)
     return (out.withColumn(name, (F.col("_off") + F.col("_loc") - F.col("_first") + base).cast("long"))
             .drop("_pid", "_loc", "_off", "_first"))
 
 
-def global_index(df: DataFrame, order_cols, name: str = "idx", base: int = 0,
-                 partitions: int | None = None) -> DataFrame:
+def global_index(df: DataFrame, order_cols, name: str = "idx", base: int = 0) -> DataFrame:
     """Dense position in a total order (``base``-based), computed distributed."""
-    return group_index(df, [], order_cols, name=name, base=base, partitions=partitions)
+    return group_index(df, [], order_cols, name=name, base=base)
 
 
 def blocked_running(df: DataFrame, group_cols, step_col: str, value_col: str,
@@ -81,7 +86,7 @@ def blocked_running(df: DataFrame, group_cols, step_col: str, value_col: str,
     hi = -1 if exclusive else 0
     wi = W.partitionBy(*group_cols, "_blk").orderBy(step_col).rowsBetween(W.unboundedPreceding, hi)
     d = d.withColumn("_in", agg(value_col).over(wi))
-    d = d.join(bounded_broadcast(prior), group_cols + ["_blk"])
+    d = _join_keys(d, prior, group_cols + ["_blk"])
     both = F.when(F.col("_prior").isNull(), F.col("_in")) \
         .when(F.col("_in").isNull(), F.col("_prior")) \
         .otherwise(comb(F.col("_prior"), F.col("_in")))
@@ -90,9 +95,10 @@ def blocked_running(df: DataFrame, group_cols, step_col: str, value_col: str,
 
 def blocked_moving_avg(df: DataFrame, group_cols, step_col: str, value_col: str,
                        n: int, name: str, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Mean of the last ``n`` rows (``valid`` mode: only rows with step >= n)."""
-    if n - 1 >= block:
-        raise ValueError("window longer than a block")
+    """Mean of the last ``n`` rows (``valid`` mode: only rows with step >= n).
+
+    Blocks are at least two windows long."""
+    block = max(block, 2 * n)
     group_cols = list(group_cols)
     d = df.withColumn("_blk", F.floor((F.col(step_col) - 1) / block)) \
         .withColumn("_own", F.lit(True))

@@ -22,15 +22,6 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-_FIX_CACHE: dict[tuple, Fixtures] = {}
-
-
-def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    k = (id(spark), sf_dir)
-    fx = _FIX_CACHE.get(k)
-    if fx is None or fx.spark is not spark:
-        fx = _FIX_CACHE[k] = Fixtures(spark, sf_dir)
-    return fx
 
 
 def query(key: str, oracle: str | None = None):
@@ -41,7 +32,7 @@ def query(key: str, oracle: str | None = None):
             raise ValueError(f"duplicate query key {key}")
 
         def build(spark: SparkSession, sf_dir: str, _fn=fn) -> DataFrame:
-            return _fn(fixtures(spark, sf_dir))
+            return _fn(Fixtures(spark, sf_dir))
 
         REGISTRY[key] = Query(key, build, oracle)
         return fn

@@ -1,31 +1,17 @@
-"""Physical-strategy helpers a Spark user writes by hand.
+"""Physical-strategy helper: cutting lineage.
 
-* ``bounded_broadcast``: broadcast a side only after proving its size.  The
-  proof is a bounded count (``limit(n+1).count()``), which touches at most
-  n+1 rows of the (small) dimension.  Beyond the bound we hand the side back
-  unhinted and let the planner / AQE pick a sort-merge or shuffled-hash join.
-* ``checkpoint_table``: cut lineage through the shared checkpoint folder
-  (never a machine-local folder, never ``localCheckpoint``).
+Joins carry no broadcast hints: the planner and AQE decide from the bytes of
+the sides, so no plan depends on a row count taken on the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Dimension tables above this many rows are not broadcast by hand.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def checkpoint_table(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (set by the cluster)."""
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (set by the cluster);
+    never a machine-local folder, never ``localCheckpoint``."""
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.fixtures import tokens_of
-from ..plans.strategy import bounded_broadcast
 
 
 def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
@@ -21,15 +20,15 @@ def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
     the note's case; pure DataFrame -> DataFrame, so it runs on streams."""
     t = tokens_of(notes, ["pn_num", "case_num"], "pn_history")
     f = features.select("feature_num", F.col("case_num").alias("f_case"), "term")
-    j = t.join(bounded_broadcast(f), (t.case_num == f.f_case) & (t.token == f.term))
+    j = t.join(f, (t.case_num == f.f_case) & (t.token == f.term))
     return j.select("pn_num", "feature_num", "s", "e")
 
 
 def run_available_now(spark: SparkSession, source_dir: str, file_glob: str, source_schema: str,
-                      features: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
+                      features: DataFrame, case_of, out_dir: str, checkpoint_dir: str) -> DataFrame:
     stream = (spark.readStream.schema(source_schema).option("pathGlobFilter", file_glob)
               .option("maxFilesPerTrigger", 64).parquet(source_dir))
-    notes = stream.select(F.col("doc_id").alias("pn_num"), (F.col("doc_id") % 10).cast("int").alias("case_num"),
+    notes = stream.select(F.col("doc_id").alias("pn_num"), case_of("doc_id").alias("case_num"),
                           F.col("text").alias("pn_history"))
     q = (term_occurrences(notes, features).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_dir).outputMode("append")

@@ -69,11 +69,11 @@ def test_scan_prunes_columns(spark):
 
 
 def test_streaming_matches_batch(spark):
-    from spanframe.plans.registry import fixtures
+    from spanframe.plans.fixtures import Bindings as Fixtures
     from spanframe.streaming.parse_join import term_occurrences
 
     s = E.queries()["stream_parse_join"](spark, SF)
-    fx = fixtures(spark, SF)
+    fx = Fixtures(spark, SF)
     b = term_occurrences(fx.notes, fx.features)
     assert sorted(s.collect()) == sorted(b.collect())
 
@@ -90,3 +90,36 @@ def test_series_windows_are_blocked(spark):
                 # the only run-keyed windows allowed are the block-total scans
                 assert re.search(r"windowspecdefinition\(run#\d+L?, _blk", line) or "_bt" in line or \
                     "_n#" in line, line
+
+
+def test_text_maps_have_no_exchange(spark):
+    q = E.queries()
+    for key in ("clean_spaces", "strip_note"):
+        assert "Exchange hash" not in _plan(q[key](spark, SF)).replace("Subquery", ""), key
+
+
+def test_token_scores_join_on_the_note_only(spark):
+    """No exchange of the (row, token) pairs to attach labels."""
+    plan = _plan(E.queries()["threshold_binary"](spark, SF))
+    assert "tok_no" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_point_lookup_filters_the_scan(spark):
+    plan = _plan(E.queries()["lookup_patient"](spark, SF))
+    assert "EqualTo(doc_id,7)" in plan
+
+
+def test_class_scores_do_not_shuffle_vectors(spark):
+    plan = _plan(E.queries()["argmax_class"](spark, SF))
+    main = plan.split("Subquery")[0]
+    assert "Exchange hash" not in main and "Window" not in main
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from spanframe.session import ensure_checkpoint_dir
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))

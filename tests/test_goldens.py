@@ -103,8 +103,3 @@ def test_norm_feature_text(spark):
     df = spark.createDataFrame([("Last-Pap-smear-I-year-ago",), ("heart-pounding-OR-heart-racing",)], "t string")
     got = [r[0] for r in df.select(norm_feature_text("t")).collect()]
     assert got == ["Last Pap smear 1 year ago", "heart pounding or heart racing"]
-
-
-def test_postprocess_blank_golden():
-    out = D._postprocess_one("a b", [{"start": 0, "end": 1}, {"start": 2, "end": 3}])
-    assert out == [{"start": 0, "end": 3}]
