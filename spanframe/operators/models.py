@@ -16,7 +16,6 @@ from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronCl
 from pyspark.ml.feature import (CountVectorizer, Imputer, MinMaxScaler, OneHotEncoder, RegexTokenizer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def tabular_mlp(train: DataFrame, test: DataFrame, label: str, numeric, categorical,
