@@ -5,9 +5,10 @@ edit distance of their sequences is at most ``1 - min_similarity`` of the
 longer one; classes are the connected components of the links.
 
 * Order MinHash: a shingle is labelled by its occurrence number, so repeats
-  count.  Each of ``tables`` random orders picks the ``picks`` least labelled
-  shingles, and the key keeps them in *text* order: it agrees with high
-  probability only where edit similarity is high.
+  count.  Each of many random orders picks the least labelled shingles, and
+  the key keeps them in *text* order: it agrees with high probability only
+  where edit similarity is high.  Texts that merely share a passage rarely
+  agree on five shingles, so common passages make no large buckets.
 * Equal texts are one node from the start (one row per text, not per copy).
 * A bucket (texts with one key) is not expanded into pairs: a leader is
   compared with all members; then further leaders, one from each component
@@ -21,6 +22,8 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,20 @@ from .components import components
 from .hashing import mix, shingles, word_hashes
 
 K = 5
-TABLES = 16
-PICKS = 2
+
+
+class Sketch(NamedTuple):
+    """``tables`` keys of ``picks`` shingles for texts of ``least`` to ``most`` shingles."""
+
+    picks: int
+    tables: int
+    least: int
+    most: float
+
+
+# Short texts have too few shingles to agree on five.  The ranges overlap so far that
+# two texts whose lengths may differ by a fifth always have one kind of key in common.
+SKETCHES = (Sketch(2, 16, 1, 40), Sketch(5, 40, 32, float("inf")))
 
 
 def occurrence_labels(g: np.ndarray) -> np.ndarray:
@@ -51,24 +66,40 @@ def occurrence_labels(g: np.ndarray) -> np.ndarray:
     return out
 
 
-def order_minhash(g: np.ndarray, tables: int = TABLES, picks: int = PICKS, seed: int = 5) -> np.ndarray:
-    """One 64-bit key for each table."""
-    rng = np.random.default_rng(seed)
-    salt = rng.integers(0, 1 << 63, size=tables, dtype=np.uint64)
-    odd = rng.integers(0, 1 << 63, size=tables, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    label = mix(g + occurrence_labels(g) * np.uint64(0xA0761D6478BD642F))
-    keys = np.zeros(tables, dtype=np.uint64)
-    step = max(1, (1 << 18) // max(1, len(g)))  # bounded memory for long texts
-    for t in range(0, tables, step):
-        rank = (label[None, :] ^ salt[t : t + step, None]) * odd[t : t + step, None]
-        rank ^= rank >> np.uint64(32)
-        least = min(picks, len(g))
-        at = np.sort(np.argpartition(rank, least - 1, axis=1)[:, :least], axis=1)  # text order
-        key = np.zeros(len(at), dtype=np.uint64)
-        for p in range(least):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + g[at[:, p]])
-        keys[t : t + step] = key
-    return keys
+@cache
+def _orders(kind: Sketch) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng([5, kind.picks])
+    salt = rng.integers(0, 1 << 63, size=kind.tables, dtype=np.uint64)
+    return salt, rng.integers(0, 1 << 63, size=kind.tables, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def labelled(g: np.ndarray) -> np.ndarray:
+    """Shingle hashes told apart by their occurrence number: distinct within the text."""
+    return mix(g + occurrence_labels(g) * np.uint64(0xA0761D6478BD642F))
+
+
+def order_minhash(g: np.ndarray) -> np.ndarray:
+    """The 64-bit keys of a text, one for each table of each kind that fits its length."""
+    label, keys = labelled(g), []
+    for kind in SKETCHES:
+        if not kind.least <= len(g) <= kind.most:
+            continue
+        salt, odd = _orders(kind)
+        step = max(1, (1 << 18) // len(g))  # bounded memory for long texts
+        for t in range(0, kind.tables, step):
+            rank = (label[None, :] ^ salt[t : t + step, None]) * odd[t : t + step, None]
+            rank ^= rank >> np.uint64(32)
+            rows, picks = np.arange(len(rank)), min(kind.picks, len(g))
+            at = np.empty((picks, len(rank)), dtype=np.int64)
+            for p in range(picks):
+                at[p] = rank.argmin(axis=1)
+                rank[rows, at[p]] = np.iinfo(np.uint64).max
+            at.sort(axis=0)  # text order
+            key = salt[t : t + step]  # a key of one table never meets one of another
+            for p in range(picks):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + g[at[p]])
+            keys.append(key)
+    return np.concatenate(keys)
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, k: int) -> int:
@@ -125,18 +156,31 @@ def max_edits(na: int, nb: int, min_similarity: float) -> int:
     return int((1 - min_similarity) * max(na, nb) + 1e-9)
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, tables: int = TABLES) -> DataFrame:
-    """(id, node, n, keys): digest of the word sequence, its shingles, its keys; node is null without words."""
+def close(a: np.ndarray, b: np.ndarray, min_similarity: float) -> bool:
+    """Whether two shingle sequences are linked.
+
+    Their edit distance is at least the longer length less the shingles they
+    share, which rejects most false candidates before the alignment."""
+    k = max_edits(len(a), len(b), min_similarity)
+    if abs(len(a) - len(b)) > k:
+        return False
+    shared = len(np.intersect1d(labelled(a), labelled(b), assume_unique=True))
+    return max(len(a), len(b)) - shared <= k and banded_distance(a, b, k) <= k
+
+
+def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, node, n, keys): fingerprint of the text, digest of its words, number of its shingles, its keys;
+    node is null without words."""
     bound_arrow_batches(docs.sparkSession)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = StructType([src.schema["id"], StructField("node", BinaryType()), StructField("n", IntegerType()),
+    src = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+    schema = StructType([src.schema["id"], src.schema["th"], StructField("node", BinaryType()), StructField("n", IntegerType()),
                          StructField("keys", ArrayType(LongType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, sizes, keys = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 h = word_hashes(text.encode()) if text else ()
                 if not len(h):
                     nodes.append(None), sizes.append(0), keys.append(None)
@@ -144,99 +188,91 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, tables: int = TABLES) ->
                 g = shingles(h, K)
                 nodes.append(xxhash.xxh3_128_digest(h.tobytes()))
                 sizes.append(len(g))
-                keys.append(order_minhash(g, tables).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(
-                pa.array(c, type=f.type) for c, f in zip((nodes, sizes, keys), list(arrow)[1:]))], schema=arrow)
+                keys.append(order_minhash(g).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(
+                pa.array(c, type=f.type) for c, f in zip((nodes, sizes, keys), list(arrow)[2:]))], schema=arrow)
 
     return src.mapInArrow(run, schema)
 
 
-def _sequences(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, seq): packed shingle hashes of one document of each wanted node; ``wanted`` has (node, id, th)."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("th"))
-    w = wanted.select("node", F.col("id").alias("w_id"))
-    met = src.join(w.hint("shuffle_hash"), src.id.eqNullSafe(w.w_id)).select("node", "text")
-    schema = StructType([StructField("node", BinaryType()), StructField("seq", BinaryType())])
-    arrow = to_arrow_schema(schema)
+def _verify(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> DataFrame:
+    """The pairs (u, v) whose shingle sequences are close enough; ``texts`` has (node, text).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, seqs = [], []
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = word_hashes(text.encode()) if text else np.zeros(0, dtype=np.uint64)
-                if xxhash.xxh3_128_digest(h.tobytes()) == node:  # another text may have the same id
-                    nodes.append(node)
-                    seqs.append(shingles(h, K).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, type=arrow[0].type), pa.array(seqs, type=arrow[1].type)],
-                                             schema=arrow)
-
-    return met.mapInArrow(run, schema).dropDuplicates(["node"])
-
-
-def _verify(pairs: DataFrame, seqs: DataFrame, min_similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sequences are close enough."""
-    a = seqs.select(F.col("node").alias("u"), F.col("seq").alias("a"))
-    b = seqs.select(F.col("node").alias("v"), F.col("seq").alias("b"))
+    Texts travel, not hashes: they compress, hashes do not."""
+    a = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    b = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
     met = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
     schema = StructType([StructField("u", BinaryType()), StructField("v", BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(a.as_py(), dtype=np.uint64), np.frombuffer(b.as_py(), dtype=np.uint64)
-                k = max_edits(len(x), len(y), min_similarity)
-                keep.append(banded_distance(x, y, k) <= k)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=arrow).filter(pa.array(keep))
+            keep = [close(*(shingles(word_hashes(t.as_py().encode()), K) for t in two), min_similarity)
+                    for two in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=arrow) \
+                .filter(pa.array(keep, type=pa.bool_()))
+
+    return met.mapInArrow(run, schema).distinct()
+
 
-    return met.mapInArrow(run, schema)
+def _pairs(rows: DataFrame, min_similarity: float) -> DataFrame:
+    """Distinct pairs (u, v) of (node, n) and (l_node, l_n) whose lengths allow a link."""
+    longer = F.greatest("n", "l_n")
+    fits = longer - F.least("n", "l_n") <= F.floor((1 - min_similarity) * longer + 1e-9)
+    return rows.filter((F.col("node") != F.col("l_node")) & fits) \
+        .select(F.least("node", "l_node").alias("u"), F.greatest("node", "l_node").alias("v")).distinct()
 
 
-def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-          tables: int = TABLES) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): members (id, node) of every row, verified links (u, v) between nodes of different texts."""
-    members = materialise(sketch(docs, id_col, text_col, tables))
-    texts = members.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("id").alias("id"), F.first("keys").alias("keys"))
-    rows = texts.select("node", F.posexplode("keys").alias("t", "key"))
-    lead = F.min(F.struct(F.xxhash64("node", "t").alias("r"), F.col("node")))
-    shared = rows.groupBy("t", "key").agg(lead["node"].alias("leader"), F.count(F.lit(1)).alias("size")) \
-        .filter(F.col("size") > 1).drop("size")
+    members = materialise(sketch(docs, id_col, text_col))
+    nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(
+        F.min(F.struct("id", "th")).alias("one"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    rows = nodes.select("node", "n", F.explode("keys").alias("key"))
+    # the least node leads: in a group of similar texts most buckets then have the same leader
+    shared = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("size")) \
+        .filter(F.col("size") > 1).select("key", F.col("lead.node").alias("l_node"), F.col("lead.n").alias("l_n"))
     # members of buckets that hold more than one text
-    bucket = materialise(rows.join(shared, ["t", "key"]).select("t", "key", "leader", "node"))
-    wanted = bucket.select("node").distinct().join(texts.select("node", "id"), "node")
-    seqs = materialise(_sequences(docs, wanted, id_col, text_col))
-    pairs = bucket.filter(F.col("node") != F.col("leader")) \
-        .select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
-    tested = materialise(pairs)
-    found = materialise(_verify(tested, seqs, min_similarity))
-    led = bucket.select("t", "key", F.col("leader").alias("node")).distinct()
+    bucket = materialise(rows.join(shared, "key").select("key", "node", "n", "l_node", "l_n"))
+    wanted = bucket.select("node").distinct().join(nodes.select("node", "one"), "node") \
+        .select("node", F.col("one.id").alias("w_id"), F.col("one.th").alias("w_th"))
+    src = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+    texts = materialise(src.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("w_id"))
+                                 & (F.col("th") == F.col("w_th"))).select("node", "text"))
+    tested = materialise(_pairs(bucket, min_similarity))
+    found = materialise(_verify(tested, texts, min_similarity))
+    led = bucket.filter(F.col("node") == F.col("l_node")).select("key", "node").distinct()
+    bucket = bucket.select("key", "node", "n")
     batch = 1
     while True:
-        comp = materialise(components(found))
-        state = bucket.select("t", "key", "node").join(comp, bucket.node == comp.node, "left") \
-            .select("t", "key", bucket["node"], F.coalesce("root", bucket["node"]).alias("root"))
+        comp = components(found).withColumnRenamed("node", "c_node")
+        root = F.coalesce("root", "node").alias("root")
+        state = bucket.join(comp, F.col("node") == F.col("c_node"), "left").select("key", "node", "n", root)
         # components of a bucket that have had no leader in it
-        had = led.join(comp, led.node == comp.node, "left") \
-            .select("t", "key", F.coalesce("root", led["node"]).alias("root")).distinct()
-        waiting = state.join(had, ["t", "key", "root"], "left_anti").groupBy("t", "key", "root") \
-            .agg(F.min("node").alias("leader"))
-        order = W.partitionBy("t", "key").orderBy("leader")
-        chosen = materialise(waiting.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= batch).drop("i"))
+        had = led.join(comp, F.col("node") == F.col("c_node"), "left").select("key", root).distinct()
+        state = materialise(state)
+        waiting = state.join(had, ["key", "root"], "left_anti").groupBy("key", "root") \
+            .agg(F.min(F.struct("node", "n")).alias("lead"))
+        order = W.partitionBy("key").orderBy("lead")
+        chosen = materialise(waiting.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= batch).select(
+            "key", F.col("root").alias("l_root"), F.col("lead.node").alias("l_node"), F.col("lead.n").alias("l_n")))
         if chosen.isEmpty():
             return members.select("id", "node"), found
-        new = state.join(chosen.withColumnRenamed("root", "l_root"), ["t", "key"]).filter(F.col("root") != F.col("l_root")) \
-            .select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
-        new = materialise(new.join(tested, ["u", "v"], "left_anti"))
-        found = materialise(found.unionByName(_verify(new, seqs, min_similarity)))
+        # buckets without a waiting component are done: components only grow
+        state = materialise(state.join(chosen.select("key").distinct(), "key", "left_semi"))
+        apart = state.join(chosen, (state.key == chosen.key) & (F.col("root") != F.col("l_root")) & (
+            F.greatest("n", "l_n") - F.least("n", "l_n") <= F.floor((1 - min_similarity) * F.greatest("n", "l_n") + 1e-9)))
+        new = materialise(_pairs(apart, min_similarity).join(tested, ["u", "v"], "left_anti"))
+        found = materialise(found.unionByName(_verify(new, texts, min_similarity)))
         tested = materialise(tested.unionByName(new))
-        led = materialise(led.unionByName(chosen.select("t", "key", F.col("leader").alias("node"))))
-        batch *= 4
+        led = materialise(led.join(state.select("key").distinct(), "key", "left_semi")
+                          .unionByName(chosen.select("key", F.col("l_node").alias("node"))))
+        bucket = state.select("key", "node", "n")
+        batch *= 8
 
 
-def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-                 tables: int = TABLES) -> DataFrame:
+def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
     """(id, class_id, kept): one row for each row of ``docs``.
 
     ``class_id`` is the least id of the class, ``kept`` is true for that id.
@@ -246,7 +282,7 @@ def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "do
     ids only has a null ``class_id`` and is kept.  Rows that repeat an id
     share its class and are kept together.  An empty table gives none.
     """
-    members, found = links(docs, min_similarity, id_col, text_col, tables)
+    members, found = links(docs, min_similarity, id_col, text_col)
     roots = components(found)
     nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least")) \
         .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
