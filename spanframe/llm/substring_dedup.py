@@ -6,7 +6,7 @@ judged on the input.
 
 1. *Anchors.*  Of the ``anchor``-word runs of each window, the one with the
    least hash (the first on ties) is the window's anchor; equal windows have
-   equal anchors at equal offsets.  About one word in six starts an anchor, so
+   equal anchors at equal offsets.  About one word in seven starts an anchor, so
    far fewer rows than windows are counted.
 2. *Confirm recurring passages.*  Anchors found at two or more positions are
    kept, with their first position, the origin.  Counting combines map-side.
@@ -43,7 +43,7 @@ from .common import bound_arrow_batches, materialise, text_key
 from .hashing import shingles, word_hashes
 
 WINDOW = 20
-ANCHOR = 10
+ANCHOR = 7
 SHARD_WINDOWS = 8192
 SALT_ROWS = 2000
 
