@@ -10,11 +10,13 @@ longer one; classes are the connected components of the links.
   where edit similarity is high.  Texts that merely share a passage rarely
   agree on five shingles, so common passages make no large buckets.
 * Equal texts are one node from the start (one row per text, not per copy).
-* A bucket (texts with one key) is not expanded into pairs: a leader is
-  compared with all members; then further leaders, one from each component
-  that had none, are compared with the members outside their component, until
-  each component of each bucket has had a leader.  The number of pairs is
-  members times leaders, and no bucket is cut off.
+* The least text of a bucket (texts with one key) leads it and is compared with
+  all members, which is linear and joins most near copies.
+* Then all other members of a bucket that are still in different components are
+  compared, each pair in the first bucket it shares.  A bucket is split into
+  chunks of bounded size and each pair of chunks is one piece of work, so texts
+  travel once a chunk pair, not once a pair; chunks of one component never
+  meet.  No pair is left out but by lossless bounds (lengths, shared shingles).
 * Candidates are verified by the exact banded edit distance.
 """
 
@@ -29,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
@@ -39,6 +40,7 @@ from .components import components
 from .hashing import mix, shingles, word_hashes
 
 K = 5
+CHUNK_ROWS, CHUNK_SHINGLES = 512, 1 << 18  # bounds of the members of a bucket that one work unit takes for each side
 
 
 class Sketch(NamedTuple):
@@ -223,6 +225,123 @@ def _pairs(rows: DataFrame, min_similarity: float) -> DataFrame:
         .select(F.least("node", "l_node").alias("u"), F.greatest("node", "l_node").alias("v")).distinct()
 
 
+def _chunk_pairs(rest: DataFrame) -> DataFrame:
+    """``rest`` (key, node, n, root) dealt to work units: (key, unit, side, node, root).
+
+    A component too large for one chunk has chunks of its own, which do not meet
+    one another; the small components of a bucket share chunks by a hash."""
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES)))
+    per = materialise(rest.groupBy("key", "root").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), parts.alias("parts")))
+    many = F.greatest(F.ceil(F.sum("rows") / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES)))
+    large = per.filter(F.col("parts") > 1).select("key", F.col("root").alias("own"), "parts")
+    small = per.filter(F.col("parts") == 1).groupBy("key").agg(many.alias("parts")) \
+        .select("key", F.lit(b"").alias("own"), "parts")
+    chunks = materialise(large.unionByName(small))
+    own = F.when(F.col("parts") > 1, F.col("root")).otherwise(F.lit(b""))
+    rows = rest.join(per.select("key", "root", "parts"), ["key", "root"]).select("key", "node", "root", own.alias("own"))
+    rows = rows.join(chunks, ["key", "own"]).select(
+        "key", "node", "root", "own", F.pmod(F.xxhash64(F.when(F.col("own") == b"", F.col("root")).otherwise(F.col("node"))),
+                                             F.col("parts")).alias("chunk"))
+    each = chunks.select("key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("chunk"))
+    a, b = each.toDF("key", "a_own", "a_chunk"), each.toDF("b_key", "b_own", "b_chunk")
+    units = a.join(b, (F.col("key") == F.col("b_key")) & (
+        (F.col("a_own") < F.col("b_own")) | ((F.col("a_own") == b"") & (F.col("b_own") == b"") & (F.col("a_chunk") <= F.col("b_chunk"))))) \
+        .drop("b_key").withColumn("unit", F.xxhash64("a_own", "a_chunk", "b_own", "b_chunk"))
+    units = materialise(units)
+    same = (F.col("a_own") == F.col("b_own")) & (F.col("a_chunk") == F.col("b_chunk"))
+    sides = units.select("key", F.col("a_own").alias("own"), F.col("a_chunk").alias("chunk"), "unit",
+                         F.when(same, 2).otherwise(0).alias("side")) \
+        .unionByName(units.filter(~same).select("key", F.col("b_own").alias("own"), F.col("b_chunk").alias("chunk"), "unit",
+                                                F.lit(1).alias("side")))
+    return rows.join(sides, ["key", "own", "chunk"]).select("key", "unit", "side", "node", "root")
+
+
+def key_slots(n: int) -> np.ndarray:
+    """Places of the keys of a text of ``n`` shingles among those of all tables of all kinds."""
+    at, out = 0, []
+    for kind in SKETCHES:
+        if kind.least <= n <= kind.most:
+            out.append(np.arange(at, at + kind.tables))
+        at += kind.tables
+    return np.concatenate(out)
+
+
+def chunk_links(key: int, sides: list[int], roots: list[bytes], keys: list[list[int]], texts: list[str],
+                min_similarity: float) -> Iterator[tuple[int, int]]:
+    """Links that join different components between the sides 0 and 1 of a work unit, or within side 2.
+
+    A pair is judged in the first bucket it shares only.  Pairs that links found
+    here have joined are skipped: they are in one component already."""
+    sides = np.array(sides)
+    left, right = (np.flatnonzero(sides == s) for s in ((0, 1) if sides[0] < 2 else (2, 2)))
+    if not len(left) or not len(right):
+        return
+    seqs = [shingles(word_hashes(t.encode()), K) for t in texts]
+    sizes = np.array([len(g) for g in seqs])
+    held = np.zeros((len(seqs), sum(k.tables for k in SKETCHES)), dtype=np.int64)
+    for i, k in enumerate(keys):
+        held[i, key_slots(sizes[i])] = k
+    slot = int(np.flatnonzero(held[0] == key)[0])
+    label = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
+    ranks = np.unique(np.concatenate([labelled(g) for g in seqs]), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    right_ranks = np.concatenate([ranks[ends[j] - sizes[j] : ends[j]] for j in right])
+    right_starts = np.cumsum(sizes[right]) - sizes[right]
+    marked = np.zeros(int(ranks.max()) + 1, dtype=np.int32)
+    for i in left:
+        longer = np.maximum(sizes[i], sizes[right])
+        allowed = ((1 - min_similarity) * longer + 1e-9).astype(np.int64)
+        ok = (label[right] != label[i]) & (longer - np.minimum(sizes[i], sizes[right]) <= allowed)
+        if sides[i] == 2:
+            ok &= right > i
+        if ok.any():
+            ok &= ~((held[right, :slot] == held[i, :slot]) & (held[i, :slot] != 0)).any(axis=1)
+        if not ok.any():
+            continue
+        mine = ranks[ends[i] - sizes[i] : ends[i]]
+        marked[mine] = 1
+        ok &= longer - np.add.reduceat(marked[right_ranks], right_starts) <= allowed
+        marked[mine] = 0
+        for j, k in zip(right[ok], allowed[ok]):
+            if label[i] != label[j] and banded_distance(seqs[i], seqs[j], int(k)) <= k:
+                label[label == label[j]] = label[i]
+                yield int(i), int(j)
+
+
+def _cross_links(rest: DataFrame, texts: DataFrame, min_similarity: float) -> DataFrame:
+    """Links (u, v) between members of one bucket in different components; ``rest`` has (key, node, n, root),
+    ``texts`` (node, text, keys)."""
+    bound_arrow_batches(rest.sparkSession)
+    rows = _chunk_pairs(rest).join(texts, "node").repartition("key", "unit").sortWithinPartitions("key", "unit") \
+        .select("key", "unit", "side", "node", "root", "keys", "text")
+    schema = StructType([StructField("u", BinaryType()), StructField("v", BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def judged(unit: pa.Table) -> pa.RecordBatch:
+        c = [unit.column(i).to_pylist() for i in range(7)]
+        two = [sorted((c[3][i], c[3][j])) for i, j in chunk_links(c[0][0], c[2], c[4], c[5], c[6], min_similarity)]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in two], type=pa.binary()) for k in (0, 1)], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            key, unit = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (unit[1:] != unit[:-1])) + 1
+            for b, e in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if b == e:
+                    continue
+                if held and at != (key[b], unit[b]):
+                    yield judged(pa.Table.from_batches(held))
+                    held = []
+                at = (key[b], unit[b])
+                held.append(batch.slice(b, e - b))
+        if held:
+            yield judged(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(run, schema).distinct()
+
+
 def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): members (id, node) of every row, verified links (u, v) between nodes of different texts."""
     members = materialise(sketch(docs, id_col, text_col))
@@ -239,36 +358,17 @@ def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
     src = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     texts = materialise(src.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("w_id"))
                                  & (F.col("th") == F.col("w_th"))).select("node", "text"))
-    tested = materialise(_pairs(bucket, min_similarity))
-    found = materialise(_verify(tested, texts, min_similarity))
-    led = bucket.filter(F.col("node") == F.col("l_node")).select("key", "node").distinct()
-    bucket = bucket.select("key", "node", "n")
-    batch = 1
-    while True:
-        comp = components(found).withColumnRenamed("node", "c_node")
-        root = F.coalesce("root", "node").alias("root")
-        state = bucket.join(comp, F.col("node") == F.col("c_node"), "left").select("key", "node", "n", root)
-        # components of a bucket that have had no leader in it
-        had = led.join(comp, F.col("node") == F.col("c_node"), "left").select("key", root).distinct()
-        state = materialise(state)
-        waiting = state.join(had, ["key", "root"], "left_anti").groupBy("key", "root") \
-            .agg(F.min(F.struct("node", "n")).alias("lead"))
-        order = W.partitionBy("key").orderBy("lead")
-        chosen = materialise(waiting.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= batch).select(
-            "key", F.col("root").alias("l_root"), F.col("lead.node").alias("l_node"), F.col("lead.n").alias("l_n")))
-        if chosen.isEmpty():
-            return members.select("id", "node"), found
-        # buckets without a waiting component are done: components only grow
-        state = materialise(state.join(chosen.select("key").distinct(), "key", "left_semi"))
-        apart = state.join(chosen, (state.key == chosen.key) & (F.col("root") != F.col("l_root")) & (
-            F.greatest("n", "l_n") - F.least("n", "l_n") <= F.floor((1 - min_similarity) * F.greatest("n", "l_n") + 1e-9)))
-        new = materialise(_pairs(apart, min_similarity).join(tested, ["u", "v"], "left_anti"))
-        found = materialise(found.unionByName(_verify(new, texts, min_similarity)))
-        tested = materialise(tested.unionByName(new))
-        led = materialise(led.join(state.select("key").distinct(), "key", "left_semi")
-                          .unionByName(chosen.select("key", F.col("l_node").alias("node"))))
-        bucket = state.select("key", "node", "n")
-        batch *= 8
+    found = materialise(_verify(_pairs(bucket, min_similarity), texts, min_similarity))
+    comp = components(found).withColumnRenamed("node", "c_node")
+    rest = bucket.filter(F.col("node") != F.col("l_node")).select("key", "node", "n") \
+        .join(comp, F.col("node") == F.col("c_node"), "left") \
+        .select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    apart = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    rest = materialise(rest.join(apart.select("key"), "key", "left_semi"))
+    if rest.isEmpty():
+        return members.select("id", "node"), found
+    whole = texts.join(nodes.select("node", "keys"), "node")
+    return members.select("id", "node"), found.unionByName(materialise(_cross_links(rest, whole, min_similarity)))
 
 
 def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
