@@ -3,7 +3,10 @@
 Each language has a raw-content zstandard dictionary made of its own labelled
 text.  A text is compressed once with each dictionary; the language whose
 dictionary gives the fewest bytes is predicted, and a prediction whose margin
-over the next language is narrow is rejected.  Both sides are lower-cased.
+over the next language is narrow is rejected.  Both sides are lower-cased.  A
+long text is cut into pieces of bounded size, each compressed on its own, and
+the bytes are summed: once a text holds its own vocabulary a dictionary saves
+nothing more, so one pass over the whole would lower the margin with length.
 
 Dictionaries are fitted on a bounded sample (``dict_bytes`` of text for each
 language); predictions read every text in full, in one map pass.
@@ -25,6 +28,7 @@ from .common import bound_arrow_batches
 
 UNKNOWN = "und"
 PIECE_CHARS = 400  # a dictionary mixes pieces of many documents
+JUDGED_CHARS = 4000  # a text is judged in pieces of this size at most
 
 
 def held_out(doc_id: Column) -> Column:
@@ -83,8 +87,11 @@ class Classifier:
         """
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0
-        raw = text.lower().encode()
-        size = np.array([len(c.compress(raw)) for c in self.coders], dtype=np.float64)
+        low = text.lower()
+        n = -(-len(low) // JUDGED_CHARS)
+        cuts = [len(low) * i // n for i in range(n + 1)]  # pieces of even length
+        raw = [low[b:e].encode() for b, e in zip(cuts, cuts[1:])]
+        size = np.array([sum(len(c.compress(r)) for r in raw) for c in self.coders], dtype=np.float64)
         best = int(size.argmin())
         if len(size) == 1:
             return self.langs[0], 1.0, 1.0
