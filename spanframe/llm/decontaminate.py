@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bound_arrow_batches
+from .common import bound_arrow_batches, text_key
 
 Q = 3
 # bytes of UTF-8: A-Z to a-z; letters, digits and all bytes beyond ASCII stay; the rest become blanks
@@ -320,11 +320,15 @@ def _scan(texts: DataFrame, matcher: Matcher, schema) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without those that leak an item; columns unchanged.
 
-    A row with a null id is judged by its own text like any other: ids are
-    compared null-safe, so all rows of an id go if one of them leaks.
+    Each row is judged by its own text, told by id and fingerprint: rows that
+    share an id, null ids included, do not go for one another.
     """
-    found = decontaminate(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["_leak"]), "left_anti")
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th")).alias("_key"),
+                        F.col(text_col).alias("_text"))
+    found = decontaminate(keyed, benchmark, id_col="_key", text_col="_text", **options) \
+        .select(F.col("_key.id").alias("_leak_id"), F.col("_key.th").alias("_leak_th")).distinct()
+    return docs.join(found, docs[id_col].eqNullSafe(found["_leak_id"]) & (text_key(docs[text_col]) == found["_leak_th"]),
+                     "left_anti")

@@ -343,7 +343,7 @@ def _cross_links(rest: DataFrame, texts: DataFrame, min_similarity: float) -> Da
 
 
 def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, links): members (id, node) of every row, verified links (u, v) between nodes of different texts."""
+    """(members, links): members (id, th, node) of every row, verified links (u, v) between nodes of different texts."""
     members = materialise(sketch(docs, id_col, text_col))
     nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(F.struct("id", "th")).alias("one"), F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -366,9 +366,9 @@ def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
     apart = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi"))
     rest = materialise(rest.join(apart.select("key"), "key", "left_semi"))
     if rest.isEmpty():
-        return members.select("id", "node"), found
+        return members.select("id", "th", "node"), found
     whole = texts.join(nodes.select("node", "keys"), "node")
-    return members.select("id", "node"), found.unionByName(materialise(_cross_links(rest, whole, min_similarity)))
+    return members.select("id", "th", "node"), found.unionByName(materialise(_cross_links(rest, whole, min_similarity)))
 
 
 def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
@@ -382,18 +382,33 @@ def near_classes(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "do
     ids only has a null ``class_id`` and is kept.  Rows that repeat an id
     share its class and are kept together.  An empty table gives none.
     """
+    return _judged(docs, min_similarity, id_col, text_col).select("id", "class_id", "kept")
+
+
+def _judged(docs: DataFrame, min_similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, root, class_id, kept) of each row; ``root`` is null for a text without words."""
     members, found = links(docs, min_similarity, id_col, text_col)
     roots = components(found)
     nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least")) \
         .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = nodes.join(least, "root").select("node", "class_id")
+    named = nodes.join(least, "root").select("node", "root", "class_id")
     return members.join(named, "node", "left").select(
-        "id", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        "id", "th", "root", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class; columns unchanged."""
-    gone = near_classes(docs, id_col=id_col, **options).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one text of each class; columns unchanged.
+
+    A row is judged by its id and text, so rows that share an id, null ids
+    included, do not go for one another.  Of several texts of the id that names
+    a class, the one with the least fingerprint stays.  Rows repeated in full
+    stay or go together, and texts without words stay.
+    """
+    rows = materialise(_judged(docs, min_similarity, id_col, text_col).filter(F.col("root").isNotNull())
+                       .select("id", "th", "root", "kept").distinct())
+    one = rows.filter("kept").groupBy("root").agg(F.min("th").alias("least"))
+    gone = rows.join(one, "root").filter(~F.col("kept") | (F.col("th") != F.col("least"))) \
+        .select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th"))
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (text_key(docs[text_col]) == gone["_gone_th"]), "left_anti")
