@@ -231,11 +231,18 @@ def mixed_text(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_co
 
     A slot's segments in order of ``at`` give its words.  A document's words
     are split once, and its segments, which are bounded by its length, are cut
-    from them in one row.  Of rows repeated in full, each gives its segments.
+    from them in one row.  The plan holds the segments of all rows repeated in
+    full, so one of these rows gives them all.
     """
     segments = plan.groupBy("doc").agg(F.collect_list(F.struct("shard", "slot", "source", "at", "first_word", "n")).alias("_s")) \
         .select(F.col("doc.id").alias("_id"), F.col("doc.th").alias("_th"), "_s")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("th"))
+    # only rows repeated in full are shuffled to be made one
+    twins = materialise(src.groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+                        .select(F.col("id").alias("t_id"), F.col("th").alias("t_th")))
+    same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
+    src = src.join(twins, same, "left_anti").unionByName(
+        src.join(twins, same, "left_semi").groupBy("id", "th").agg(F.first("text").alias("text")))
     met = src.join(segments.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))) \
         .select("id", "_s", word_array(F.col("text")).alias("_w"))
     cut = F.transform("_s", lambda s: F.struct(
