@@ -28,7 +28,7 @@ from .common import bound_arrow_batches
 
 UNKNOWN = "und"
 PIECE_CHARS = 400  # a dictionary mixes pieces of many documents
-JUDGED_CHARS = 4000  # a text is judged in pieces of this size at most
+JUDGED_CHARS = 16_000  # a text is judged in pieces of this size at most; in smaller ones the cost of starting each weighs more
 
 
 def held_out(doc_id: Column) -> Column:
@@ -40,27 +40,33 @@ def fit(labelled: DataFrame, dict_bytes: int = 48 * 1024, max_languages: int = 2
         lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, bytes]:
     """Raw-content dictionary of each language: at most ``dict_bytes`` of its labelled text.
 
-    The rows are a hash sample of each language, just large enough; a language
-    with less text gives what it has.  Rows without text or language teach
-    nothing.  More than ``max_languages`` languages are refused: the model is
+    All texts are cut into pieces of even length, ``PIECE_CHARS`` at most, and
+    a hash sample of the pieces of each language, just large enough, makes its
+    dictionary; so a few long texts fill it as well as many short ones.  A
+    language with less text gives what it has.  Rows without text or language
+    teach nothing.  More than ``max_languages`` languages are refused: the model is
     held in memory, and its size is the product of the two bounds.
     """
+    n = F.length("text")
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")) \
         .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = rows.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(PIECE_CHARS))).alias("chars")) \
-        .limit(max_languages + 1).collect()
+    sizes = rows.groupBy("lang").agg(F.sum(n).alias("chars")).limit(max_languages + 1).collect()
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not sizes:
         return {}
-    # share of the rows of a language that fills its dictionary one and a half times
+    # share of the pieces of a language that fills its dictionary one and a half times
     share = F.create_map(*[x for r in sizes for x in (F.lit(r.lang), F.lit(min(1.0, 1.5 * dict_bytes / r.chars)))])
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    n = F.length("text")
-    # a piece from within the text: beginnings are alike where documents share a header
-    start = F.when(n > PIECE_CHARS, F.pmod(F.xxhash64("text", F.lit(3)), n - PIECE_CHARS)).otherwise(0)
-    pieces = rows.filter(draw < share[F.col("lang")]) \
-        .select("lang", draw.alias("draw"), F.substring("text", (start + 1).cast("int"), F.lit(PIECE_CHARS)).alias("piece"))
+    # length, hash and share of a text are made once, in a generated row, not again for each of its pieces
+    once = F.inline(F.array(F.struct(n.cast("long").alias("n"), F.ceil(n / PIECE_CHARS).alias("k"),
+                                     F.xxhash64("id", "text").alias("h"), share[F.col("lang")].alias("share"))))
+    draw = lambda i: F.pmod(F.xxhash64("h", i), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    at = lambda i: F.floor(F.col("n") * i / F.col("k")).cast("int")
+    taken = F.filter(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda i: draw(i) < F.col("share"))
+    piece = F.transform(taken, lambda i: F.struct(
+        draw(i).alias("draw"), F.substring("text", at(i) + 1, at(i + 1) - at(i)).alias("piece")))
+    pieces = rows.select("lang", "text", once).select("lang", piece.alias("p")).select("lang", F.explode_outer("p").alias("p")) \
+        .filter(F.col("p").isNotNull()).select("lang", "p.draw", "p.piece")
     by: dict[str, list[str]] = {r.lang: [] for r in sizes}
     for r in sorted(pieces.collect(), key=lambda r: (r.lang, r.draw, r.piece)):
         by[r.lang].append(r.piece.lower())
