@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key, word_array, word_count
+from .common import BLANKS, WORD, materialise, text_key, word_array, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ROUNDS = 16
 ROWS_PER_BUCKET = 50_000
 SLOTS_PER_BUCKET = 100_000
+RUN_WORDS = 128
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -226,13 +227,21 @@ def taken_words(documents: DataFrame, targets: DataFrame, plan: DataFrame) -> Da
                 F.floor(F.coalesce(F.col("taken"), F.lit(0)) / per).cast("long").alias("taken"))
 
 
+def word_runs(text: Column) -> Column:
+    """The text cut after every ``RUN_WORDS`` words; blanks before the first word are left out."""
+    return F.regexp_extract_all(text, F.lit(rf"(?:{WORD}+(?:{BLANKS}+)?){{1,{RUN_WORDS}}}"), F.lit(0))
+
+
 def mixed_text(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mix itself: (shard, slot, source, id, at, first_word, n_words, text), one row per segment of a slot.
 
-    A slot's segments in order of ``at`` give its words.  A document's words
-    are split once, and its segments, which are bounded by its length, are cut
-    from them in one row.  The plan holds the segments of all rows repeated in
-    full, so one of these rows gives them all.
+    A slot's segments in order of ``at`` give its words.  A document is cut
+    once into runs of ``RUN_WORDS`` words, and a segment splits only the runs
+    that it meets, so the work is linear in the text.  The plan holds the
+    segments of all rows repeated in full, so one of these rows gives them all.
+    Null and empty texts have no segments and give no rows; null ids match null
+    ids; other columns of ``docs`` are not read, whatever their names.  An empty
+    plan or table gives an empty result.
     """
     segments = plan.groupBy("doc").agg(F.collect_list(F.struct("shard", "slot", "source", "at", "first_word", "n")).alias("_s")) \
         .select(F.col("doc.id").alias("_id"), F.col("doc.th").alias("_th"), "_s")
@@ -243,11 +252,20 @@ def mixed_text(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_co
     same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
     src = src.join(twins, same, "left_anti").unionByName(
         src.join(twins, same, "left_semi").groupBy("id", "th").agg(F.first("text").alias("text")))
-    met = src.join(segments.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))) \
-        .select("id", "_s", word_array(F.col("text")).alias("_w"))
+    met = src.join(segments.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    # the runs of words are made in a generated row, so that no segment cuts the text again
+    met = met.select("id", "_s", F.inline(F.array(F.struct(word_runs(F.col("text")).alias("_w")))))
+
+    def words(s):
+        first = F.floor(s["first_word"] / RUN_WORDS)
+        runs = F.transform(F.sequence(first, F.floor((s["first_word"] + s["n"] - 1) / RUN_WORDS)),
+                           lambda i: F.get("_w", i.cast("int")))
+        return F.array_join(F.slice(word_array(F.array_join(runs, " ")),
+                                    (s["first_word"] - first * RUN_WORDS + 1).cast("int"), s["n"].cast("int")), " ")
+
     cut = F.transform("_s", lambda s: F.struct(
         s["shard"].alias("shard"), s["slot"].alias("slot"), s["source"].alias("source"), s["at"].alias("at"),
-        s["first_word"].alias("first_word"), s["n"].alias("n_words"),
-        F.array_join(F.slice("_w", s["first_word"].cast("int") + 1, s["n"].cast("int")), " ").alias("text")))
-    return met.select("id", cut.alias("_c")).select("id", F.explode("_c").alias("c")) \
+        s["first_word"].alias("first_word"), s["n"].alias("n_words"), words(s).alias("text")))
+    # an outer explode: for a plain one Spark would make the array a second time, in a filter on its size
+    return met.select("id", cut.alias("_c")).select("id", F.explode_outer("_c").alias("c")) \
         .select("c.shard", "c.slot", "c.source", F.col("id").alias(id_col), "c.at", "c.first_word", "c.n_words", "c.text")
