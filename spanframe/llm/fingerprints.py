@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -26,14 +27,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..plans.ordered import global_index
 from .common import WORD, bound_arrow_batches, materialise, packed, text_key, unpacked
 
 SAMPLES = 64
 CHUNK_WORDS = 4096  # distinct words of a text that are weighed at a time
-KEPT_WORDS = 1 << 16  # words whose variates a worker keeps
+KEPT_WORDS = 1 << 17  # words whose keys a worker keeps
 _WORDS = re.compile(WORD)
 
 
@@ -44,59 +44,79 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Sampler:
-    """Signatures of weighted bags; one in each Python worker."""
+class Kept:
+    """Rows of float32 for recent words, made by ``fill`` from their hashes; emptied when it is full."""
 
-    def __init__(self, samples: int = SAMPLES, seed: int = 7, kept: int = KEPT_WORDS):
-        self.samples, self.seed, self.kept = samples, seed, max(kept, CHUNK_WORDS)
-        self.at: dict[str, int] = {}
-        self.hash = np.zeros(self.kept, dtype=np.uint64)
-        # per word and draw: gamma r, uniform beta, log of gamma c, and the key of weight 1
-        self.r, self.beta, self.log_c, self.key_1 = (np.zeros((self.kept, samples), dtype=np.float32) for _ in range(4))
-        # five streams of uniforms, and one for the hash of a sample, which must not depend on what made it the sample
-        self.stream = _mixed(np.arange(1, 6 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(6, samples)
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        """Table rows of at most ``CHUNK_WORDS`` distinct words; those missing are added."""
-        new = [w for w in words if w not in self.at]
+    def __init__(self, size: int, widths: int, samples: int, fill):
+        self.size, self.fill, self.at = max(size, CHUNK_WORDS), fill, {}
+        self.hash = np.zeros(self.size, dtype=np.uint64)
+        self.tables = [np.zeros((self.size, samples), dtype=np.float32) for _ in range(widths)]
+
+    def rows(self, words: list[str], seed: int) -> np.ndarray:
+        """Row of each of at most ``CHUNK_WORDS`` distinct words."""
+        at = self.at
+        new = [w for w in words if w not in at]
         if new:
-            if len(self.at) + len(new) > self.kept:
-                self.at.clear()
+            if len(at) + len(new) > self.size:
+                at.clear()
                 new = words
-            rows = np.arange(len(self.at), len(self.at) + len(new))
-            h = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), self.seed) for w in new], dtype=np.uint64)
-            u = _mixed(h[:, None, None] ^ self.stream[None, :5])
-            u = ((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
-            r, c, beta = -np.log(u[:, 0] * u[:, 1]), -np.log(u[:, 2] * u[:, 3]), u[:, 4]
-            self.hash[rows], self.r[rows], self.beta[rows], self.log_c[rows] = h, r, beta, np.log(c)
-            # from the stored values, so that weight 1 needs no case of its own
-            self.key_1[rows] = self._key(rows, np.zeros((len(new), 1), dtype=np.float32))[0]
-            self.at.update(zip(new, rows.tolist()))
-        return np.fromiter((self.at[w] for w in words), dtype=np.int64, count=len(words))
-
-    def _key(self, rows: np.ndarray, log_weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log of the key, level) of words of the given weights, for all draws."""
-        r, beta = self.r[rows], self.beta[rows]
+            b, e = len(at), len(at) + len(new)
+            h = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in new], dtype=np.uint64)
+            self.hash[b:e] = h
+            for table, values in zip(self.tables, self.fill(h)):
+                table[b:e] = values
+            at.update(zip(new, range(b, e)))
+        return np.array(list(map(at.__getitem__, words)), dtype=np.int64)
+
+
+class Sampler:
+    """Signatures of weighted bags; one in each Python worker.
+
+    Most words of a text stand in it once; of these only the key is kept.
+    """
+
+    def __init__(self, samples: int = SAMPLES, seed: int = 7, kept: int = KEPT_WORDS):
+        self.samples, self.seed = samples, seed
+        # two streams of variates, and one for the hash of a sample, which must not depend on what made it the sample
+        self.stream = _mixed(np.arange(1, 3 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(3, samples)
+        self.once = Kept(kept, 1, samples, lambda h: [self._key(*self._variates(h), np.float32(0))[0]])
+        self.often = Kept(kept // 8, 3, samples, self._variates)
+
+    def _variates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(gamma r, log of gamma c, uniform beta) of words for all draws; a Gamma(2, 1) is -log of two uniforms."""
+        bits = [_mixed(h[:, None] ^ s) for s in self.stream[:2]]
+        unit = lambda x, n: (x.astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -n)
+        low = np.uint64((1 << 23) - 1)  # 23 bits and a half fit float32, so no uniform rounds up to 1
+        a, c = (-np.log(unit(x >> np.uint64(41), 23) * unit((x >> np.uint64(18)) & low, 23)) for x in bits)
+        return a, np.log(c), unit(bits[0] & np.uint64((1 << 18) - 1), 18)
+
+    def _key(self, r: np.ndarray, log_c: np.ndarray, beta: np.ndarray, log_weight) -> tuple[np.ndarray, np.ndarray]:
+        """(log of the key, level) of words of the given weights."""
         level = np.floor(log_weight / r + beta)
-        return self.log_c[rows] - r * (level - beta + 1), level
+        return log_c - r * (level - beta + 1), level
 
     def sign(self, weights: dict[str, int]) -> np.ndarray:
         """16-bit signature of a bag of words; zeros for an empty bag."""
         out = np.zeros(self.samples, dtype=np.uint16)
         least = np.full(self.samples, np.inf, dtype=np.float32)
-        words, weight = list(weights), np.fromiter(weights.values(), dtype=np.float64, count=len(weights))
+        once = [w for w, n in weights.items() if n == 1]
+        often = [w for w, n in weights.items() if n != 1]
         draws = np.arange(self.samples)
-        for k in range(0, len(words), CHUNK_WORDS):
-            rows, w = self._rows(words[k : k + CHUNK_WORDS]), weight[k : k + CHUNK_WORDS]
-            key, heavy = self.key_1[rows], np.flatnonzero(w != 1)
-            level = np.zeros(key.shape, dtype=np.int32)
-            if len(heavy):
-                key[heavy], level[heavy] = self._key(rows[heavy], np.log(w[heavy]).astype(np.float32)[:, None])
-            first = key.argmin(axis=0)
-            better = key[first, draws] < least
-            mark = self.hash[rows[first]] + level[first, draws].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            out = np.where(better, (_mixed(mark ^ self.stream[5]) >> np.uint64(48)).astype(np.uint16), out)
-            least = np.where(better, key[first, draws], least)
+        for kept, words in ((self.once, once), (self.often, often)):
+            for k in range(0, len(words), CHUNK_WORDS):
+                part = words[k : k + CHUNK_WORDS]
+                rows = kept.rows(part, self.seed)
+                if kept is self.once:
+                    key, level = kept.tables[0][rows], None
+                else:
+                    log_weight = np.log(np.array([weights[w] for w in part], dtype=np.float64)).astype(np.float32)
+                    key, level = self._key(*(t[rows] for t in kept.tables), log_weight[:, None])
+                first = key.argmin(axis=0)
+                key, mark = key[first, draws], kept.hash[rows[first]]
+                if level is not None:
+                    mark = mark + level[first, draws].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                sample = (_mixed(mark ^ self.stream[2]) >> np.uint64(48)).astype(np.uint16)
+                out, least = np.where(key < least, sample, out), np.minimum(key, least)
         return out
 
     def sign_text(self, text: str | None) -> np.ndarray:
@@ -114,21 +134,6 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.size(same) / F.lit(float(samples))
 
 
-def _map_arrow(df: DataFrame, schema: StructType, rows) -> DataFrame:
-    """``rows(sampler, batch)`` gives the new columns' values of a batch, one tuple a row; the other columns stay."""
-    arrow = to_arrow_schema(schema)
-    keep = [c for c in df.columns if c in schema.names]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler()
-        for batch in batches:
-            found = list(zip(*rows(sampler, batch))) or [()] * (len(schema) - len(keep))
-            new = [pa.array(x, type=f.type) for x, f in zip(found, list(arrow)[len(keep):])]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep] + new, schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def fingerprint(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_fingerprint``, four hex digits for each of ``SAMPLES`` draws.
 
@@ -140,20 +145,37 @@ def fingerprint(docs: DataFrame, text_col: str = "text") -> DataFrame:
     bound_arrow_batches(docs.sparkSession)
     d = packed(docs, text=text_col)
     schema = StructType([d.schema["_row"], StructField("fingerprint", StringType())])
-    d = _map_arrow(d, schema, lambda s, b: [(to_text(s.sign_text(t)),) for t in b.column("text").to_pylist()])
-    return unpacked(d, docs.columns, _fingerprint=F.col("fingerprint"))
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler()
+        for batch in batches:
+            found = [to_text(sampler.sign_text(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(found, pa.string())], schema=arrow)
+
+    return unpacked(d.mapInArrow(run, schema), docs.columns, _fingerprint=F.col("fingerprint"))
 
 
-def next_documents(keys: DataFrame) -> DataFrame:
-    """(id, th, prev_id, prev_th, prev_chars): the document before each in descending order of id, in a ring.
+def key_bounds(keys: DataFrame, buckets: int) -> list[tuple]:
+    """Keys (known, id, th) that cut the order of ``keys`` into about ``buckets`` parts; the last is the greatest key.
 
-    ``keys`` has (id, th, n_chars), distinct by (id, th).
+    They come from a hash sample of some 25 keys a bucket, as Spark's own
+    range partitioning would take, and only set how even the buckets are.
     """
-    at = materialise(global_index(keys, [F.col("id").desc_nulls_last(), "th"], name="at"))
-    n = at.count()
-    prev = at.select(F.pmod(F.col("at") + 1, F.lit(max(n, 1))).alias("at"), F.col("id").alias("prev_id"),
-                     F.col("th").alias("prev_th"), F.col("n_chars").alias("prev_chars"))
-    return materialise(at.join(prev, "at").drop("at", "n_chars"))
+    n, greatest = keys.agg(F.count(F.lit(1)), F.max(F.struct("id", "th"))).first()
+    if not n:
+        return []
+    share = min(1.0, 25 * buckets / n)
+    drawn = keys.filter(F.pmod(F.xxhash64("id", "th", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = sorted(_order(r.id, r.th) for r in drawn.select("id", "th").collect())
+    step = max(1, len(found) // buckets)
+    last = _order(*greatest)
+    return sorted({k for k in found[step - 1 :: step] if k < last}) + [last]
+
+
+def _order(id_, th: int) -> tuple:
+    """Sort key in Spark's order: null ids first."""
+    return (id_ is not None, 0 if id_ is None else id_, th)
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,47 +193,58 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty and blank texts have the fingerprint of no words and are alike.  An
     empty table gives no rows; other columns are not read.
 
-    Whole texts are shuffled once, by (id, hash); of the next document only the
-    part that the edit needs, a third at most, travels.
+    Whole texts are shuffled once, into buckets of neighbouring ids whose
+    bounds are keys of documents.  A document on a bound goes into two buckets,
+    so each bucket holds the next document of all its own, and one pass over a
+    sorted bucket, with one text kept in memory, gives the result.
     """
     spark = docs.sparkSession
     bound_arrow_batches(spark)
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("th", text_key(F.col("text")))
-    counted = src.select("id", "th", F.length("text").cast("long").alias("n_chars")).groupBy("id", "th") \
-        .agg(F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("rows"))
-    keys = materialise(counted)
-    met = lambda a, b: F.col("id").eqNullSafe(F.col(a)) & (F.col("th") == F.col(b))
+    keys = materialise(src.select("id", "th").groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows")))
     # rows repeated in full are made one, and only they are shuffled for it
     twins = keys.filter(F.col("rows") > 1).select(F.col("id").alias("t_id"), F.col("th").alias("t_th"), "rows")
-    pair = met("t_id", "t_th")
+    pair = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
     ones = src.join(twins, pair, "left_anti").unionByName(
         src.join(twins, pair, "left_semi").groupBy("id", "th").agg(F.first("text").alias("text")).select("id", "text", "th"))
-    ring = next_documents(keys.select("id", "th", "n_chars")).withColumnsRenamed({"id": "r_id", "th": "r_th"})
-    asked = ones.join(ring.hint("shuffle_hash"), met("r_id", "r_th"))
-    schema = StructType([*[StructField(c, LongType() if c.endswith("th") else src.schema["id"].dataType) for c in ("prev_id", "prev_th")],
-                         StructField("head", StringType()), StructField("next_fingerprint", StringType())])
-
-    def heads(s: Sampler, b: pa.RecordBatch):
-        for text, n in zip(b.column("text").to_pylist(), b.column("prev_chars").to_pylist()):
-            yield text[: n // 3], to_text(s.sign_text(text))
-
-    head = _map_arrow(asked.select("prev_id", "prev_th", "prev_chars", "text"), schema, heads)
-    both = ones.join(head, met("prev_id", "prev_th")).select("id", "th", "text", "head", "next_fingerprint")
-
-    def judged(s: Sampler, b: pa.RecordBatch):
-        for text, head, after in zip(*(b.column(c).to_pylist() for c in ("text", "head", "next_fingerprint"))):
-            edited = text[: len(text) - len(text) // 3] + head
-            own, changed = s.sign_text(text), s.sign_text(edited)
-            following = np.frombuffer(bytes.fromhex(after), dtype=">u2")
-            yield (len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(own), to_text(changed),
-                   float((own == changed).mean()), float((own == following).mean()))
-
-    out = StructType([src.schema["id"], StructField("th", LongType())]) \
+    bounds = spark.sparkContext.broadcast(key_bounds(keys, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def buckets(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        """Own bucket, and the one after it for a document on the bound."""
+        out, all_ = [], bounds.value
+        for i, th in zip(ids.to_pylist(), hashes.to_pylist()):
+            key = _order(i, th)
+            k = bisect_left(all_, key)
+            out.append([k, (k + 1) % len(all_)] if all_[k] == key else [k])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    dealt = ones.select("id", "th", "text", F.posexplode(buckets("id", "th")).alias("guest", "bucket")) \
+        .withColumn("own", F.col("guest") == 0).drop("guest") \
+        .repartition("bucket").sortWithinPartitions("bucket", "own", F.col("id").asc_nulls_first(), "th")
+    schema = StructType([src.schema["id"], StructField("th", LongType())]) \
         .add("n_chars", "long").add("edited_sha256", "string").add("fingerprint", "string") \
         .add("edited_fingerprint", "string").add("near_edited", "double").add("near_next", "double")
-    found = _map_arrow(both, out, judged)
+    arrow = to_arrow_schema(schema)
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler, after, after_sign = Sampler(), None, None  # the row before in the bucket is the next document
+        for batch in batches:
+            out = []
+            for id_, th, text, own in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text", "own"))):
+                sign = sampler.sign_text(text)
+                if own:
+                    edited = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+                    changed = sampler.sign_text(edited)
+                    out.append((id_, th, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(sign),
+                                to_text(changed), float((sign == changed).mean()), float((sign == after_sign).mean())))
+                after, after_sign = text, sign
+            columns = zip(*out) if out else [[]] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(columns, arrow)], schema=arrow)
+
+    found = dealt.mapInArrow(judge, schema)
     # each row repeated in full comes back as often as it was
-    return found.join(twins, met("t_id", "t_th"), "left") \
-        .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("rows", F.lit(1).cast("long"))))) \
+    one = F.lit(1).cast("long")
+    return found.join(twins, pair, "left").withColumn("_n", F.explode(F.sequence(one, F.coalesce("rows", one)))) \
         .select("id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

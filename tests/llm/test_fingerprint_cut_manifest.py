@@ -124,7 +124,9 @@ def test_fingerprints_query(spark, docs):
         assert text.setdefault(t, r.fingerprint) == r.fingerprint
         off += [r.near_edited - jaccard(t, edited(t, after)), r.near_next - jaccard(t, after)]
         assert r.near_next == same(r.fingerprint, got[j].fingerprint) and r.near_edited == same(r.fingerprint, r.edited_fingerprint)
-    assert len(set(text.values())) == len(text)
+    owner = {}
+    for t, f in text.items():  # texts that differ share a fingerprint only if they are all but equal
+        assert jaccard(owner.setdefault(f, t), t) > 0.9
     assert abs(np.mean(off)) < 0.01 and np.std(off) < 0.06 and max(map(abs, off)) < 0.27
 
 
