@@ -203,8 +203,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("th", text_key(F.col("text")))
     keys = materialise(src.select("id", "th").groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows")))
-    # rows repeated in full are made one, and only they are shuffled for it
-    twins = keys.filter(F.col("rows") > 1).select(F.col("id").alias("t_id"), F.col("th").alias("t_th"), "rows")
+    # rows repeated in full are made one, and only they are shuffled for it; a table of their own tells Spark its size
+    twins = materialise(keys.filter(F.col("rows") > 1).select(F.col("id").alias("t_id"), F.col("th").alias("t_th"), "rows"))
     pair = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
     ones = src.join(twins, pair, "left_anti").unionByName(
         src.join(twins, pair, "left_semi").groupBy("id", "th").agg(F.first("text").alias("text")).select("id", "text", "th"))
