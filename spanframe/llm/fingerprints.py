@@ -33,7 +33,7 @@ from .common import WORD, bound_arrow_batches, materialise, packed, text_key, un
 
 SAMPLES = 64
 CHUNK_WORDS = 4096  # distinct words of a text that are weighed at a time
-KEPT_WORDS = 1 << 17  # words whose keys a worker keeps
+KEPT_WORDS = 1 << 16  # words whose keys a worker keeps
 _WORDS = re.compile(WORD)
 
 
@@ -55,18 +55,20 @@ class Kept:
     def rows(self, words: list[str], seed: int) -> np.ndarray:
         """Row of each of at most ``CHUNK_WORDS`` distinct words."""
         at = self.at
-        new = [w for w in words if w not in at]
-        if new:
+        rows = list(map(at.get, words))
+        if None in rows:
+            new = [w for w, r in zip(words, rows) if r is None]
             if len(at) + len(new) > self.size:
                 at.clear()
                 new = words
             b, e = len(at), len(at) + len(new)
-            h = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in new], dtype=np.uint64)
+            h = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in new], dtype=np.uint64)
             self.hash[b:e] = h
             for table, values in zip(self.tables, self.fill(h)):
                 table[b:e] = values
             at.update(zip(new, range(b, e)))
-        return np.array(list(map(at.__getitem__, words)), dtype=np.int64)
+            rows = list(map(at.__getitem__, words))
+        return np.array(rows, dtype=np.int64)
 
 
 class Sampler:
@@ -84,11 +86,20 @@ class Sampler:
 
     def _variates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(gamma r, log of gamma c, uniform beta) of words for all draws; a Gamma(2, 1) is -log of two uniforms."""
-        bits = [_mixed(h[:, None] ^ s) for s in self.stream[:2]]
-        unit = lambda x, n: (x.astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -n)
-        low = np.uint64((1 << 23) - 1)  # 23 bits and a half fit float32, so no uniform rounds up to 1
-        a, c = (-np.log(unit(x >> np.uint64(41), 23) * unit((x >> np.uint64(18)) & low, 23)) for x in bits)
-        return a, np.log(c), unit(bits[0] & np.uint64((1 << 18) - 1), 18)
+        # the hash is mixed already: an odd multiple of it for each draw, folded and multiplied once more
+        bits = []
+        for odd in self.stream[:2] | np.uint64(1):
+            x = h[:, None] * odd
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0x9E3779B97F4A7C15)
+            bits.append(x)
+        half, low = np.float32(0.5), np.uint64((1 << 23) - 1)  # 23 bits and a half fit float32, so no uniform rounds up to 1
+        a, c = (np.float32(46 * np.log(2)) - np.log(((x >> np.uint64(41)).astype(np.float32) + half)
+                                                    * (((x >> np.uint64(18)) & low).astype(np.float32) + half)) for x in bits)
+        beta = ((bits[0] & np.uint64((1 << 18) - 1)).astype(np.float32) + half) * np.float32(2.0 ** -18)
+        # rounding may bring a variate to 0 or just below it
+        tiny = np.float32(1e-6)
+        return np.maximum(a, tiny), np.log(np.maximum(c, tiny)), beta
 
     def _key(self, r: np.ndarray, log_c: np.ndarray, beta: np.ndarray, log_weight) -> tuple[np.ndarray, np.ndarray]:
         """(log of the key, level) of words of the given weights."""
