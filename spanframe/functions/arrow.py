@@ -3,29 +3,71 @@
 Spark SQL has no prefix sum over an array: ``aggregate`` with ``concat`` is
 quadratic in the array length, and a window would sort and shuffle the exploded
 tokens by note.  A numpy cumsum per row inside one Arrow batch is O(n), and
-only segment lengths cross to Python.
+only segment lengths cross to Python.  Painting intervals over one another
+needs a mutable row of pieces; it is a small loop per row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def running_starts(lens: pd.Series) -> pd.Series:
-    """Start offset of every segment from the segment lengths (exclusive prefix sum)."""
-    out = []
-    for x in lens:
-        x = None if x is None else np.asarray(x, dtype=np.int32)
-        out.append(x if x is None or not len(x) else np.concatenate([[0], np.cumsum(x[:-1], dtype=np.int32)]))
-    return pd.Series(out)
+BOUNDS = T.StructType([T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("s", "e")])
+
+
+def _lists(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, row offsets) of a list<int> array, its slice applied."""
+    off = texts.offsets.to_numpy()
+    return texts.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]].astype(np.int64), off - off[0]
+
 
+@F.arrow_udf(BOUNDS)
+def word_bounds(lens: pa.Array, first: pa.Array) -> pa.Array:
+    """Start and end of every word, from the lengths of the segments of a text.
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def count_at_most(values: pd.Series, bounds: pd.Series) -> pd.Series:
-    """For each bound, how many of the ascending ``values`` are <= it (binary search)."""
-    return pd.Series([None if v is None or b is None else np.searchsorted(v, b, side="right").astype(np.int32)
-                      for v, b in zip(values, bounds)])
+    Words and gaps alternate; ``first`` is the index of the first word.  One
+    cumulative sum over the batch, less the sum before each row."""
+    null = lens.is_null()
+    values, off = _lists(lens.fill_null([]))
+    ends = np.cumsum(values)
+    before = np.concatenate([[0], ends])[off[:-1]]
+    size = np.diff(off)
+    row = np.repeat(np.arange(len(size)), size)
+    word = (np.arange(len(values)) - off[:-1][row]) % 2 == first.to_numpy(zero_copy_only=False)[row]
+    e = (ends - before[row])[word]
+    s = e - values[word]
+    counts = np.concatenate([[0], np.cumsum(np.bincount(row[word], minlength=len(size)))]).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(counts), pa.array(x.astype(np.int32)), mask=null) for x in (s, e)]
+    return pa.StructArray.from_arrays(lists, ["s", "e"])
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "end", "item")])))
+def paint(s: pa.Array, e: pa.Array) -> pa.Array:
+    """Intervals painted in order, a later one over an earlier one: disjoint pieces (start, end, item).
+
+    ``item`` is the index of the interval that is seen.  The tail of an interval
+    comes back after one nested in it ends; empty intervals paint nothing."""
+    out = []
+    for b, f in zip(s.to_pylist(), e.to_pylist()):
+        if b is None or f is None:
+            out.append(None)
+            continue
+        b, f = np.array(b, dtype=np.int64), np.array(f, dtype=np.int64)
+        item = np.flatnonzero(f > b)
+        b, f = b[item], f[item]
+        if len(item) and (b[1:] < f[:-1]).any():
+            # elementary pieces between all ends; the last painter of each is found from the last interval backwards
+            cut = np.unique(np.concatenate([b, f]))
+            lo, hi = np.searchsorted(cut, b), np.searchsorted(cut, f)
+            owner = np.full(len(cut) - 1, -1)
+            for k in range(len(item)):
+                owner[lo[k]:hi[k]] = item[k]
+            edge = np.flatnonzero(np.diff(owner, prepend=-2) != 0)
+            stop = np.append(edge[1:], len(owner))
+            seen = owner[edge] >= 0
+            b, f, item = cut[edge][seen], cut[stop][seen], owner[edge][seen]
+        out.append([{"start": x, "end": y, "item": k} for x, y, k in zip(b.tolist(), f.tolist(), item.tolist())])
+    return pa.array(out, pa.list_(pa.struct([(c, pa.int32()) for c in ("start", "end", "item")])))

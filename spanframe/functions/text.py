@@ -44,15 +44,20 @@ def clean_spaces(c) -> Column:
     return F.translate(_c(c), "\n\t\r", "   ")
 
 
+# The characters that Python's str.strip() takes for white space
+PYTHON_BLANKS = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                 "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_note(c) -> Column:
-    """Python ``str.strip()`` on whitespace."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: Unicode white space goes at both ends."""
+    return F.btrim(_c(c), F.lit(PYTHON_BLANKS))
 
 
 def strip_shift(c) -> Column:
     """Number of leading blanks removed by :func:`strip_note` (offset shift)."""
     c = _c(c)
-    return F.length(c) - F.length(F.regexp_replace(c, r"^\s+", ""))
+    return F.length(c) - F.length(F.ltrim(c, F.lit(PYTHON_BLANKS)))
 
 
 def segments(text) -> Column:

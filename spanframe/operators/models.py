@@ -8,14 +8,18 @@ long token tables with an injected scorer through ``mapInPandas``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import (CountVectorizer, Imputer, MinMaxScaler, OneHotEncoder, RegexTokenizer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def tabular_mlp(train: DataFrame, test: DataFrame, label: str, numeric, categorical,
@@ -47,6 +51,44 @@ def text_classifier(train: DataFrame, test: DataFrame, text: str, label: str, vo
     return Pipeline(stages=stages).fit(train).transform(test)
 
 
+def cross_validated(rows: DataFrame, fold: str, fit: Callable[[DataFrame], object],
+                    score: Callable[[object, DataFrame], DataFrame], folds, train: DataFrame | None = None,
+                    at_a_time: int = 4) -> DataFrame:
+    """Out-of-fold scores of all rows: for each of ``folds`` a model is fitted
+    on the rows of the other folds and scores the rows of this one.
+
+    ``fit`` takes the training rows, ``score`` the model and the rows left out.
+    ``train`` may give other training rows than those scored, such as counts of
+    equal rows with a weight; it needs the column ``fold`` too.  The fits are
+    independent jobs, ``at_a_time`` of which are submitted side by side.  Rows
+    of a null fold are in no fold: they train every model and are not scored.
+    ``model_folds`` lists the folds that taught a row's model.
+    """
+    train = rows if train is None else train
+    folds = list(folds)
+
+    def one(k):
+        rest = train.filter(~F.col(fold).eqNullSafe(F.lit(k)))
+        out = score(fit(rest), rows.filter(F.col(fold) == k))
+        return out.withColumn("model_folds", F.array(*[F.lit(x) for x in folds if x != k]).cast("array<bigint>"))
+
+    with ThreadPoolExecutor(at_a_time) as pool:
+        return reduce(DataFrame.unionByName, pool.map(one, folds))
+
+
+def naive_bayes(train: DataFrame, features, label: str = "label", weight: str = "n") -> NaiveBayesModel:
+    """Bernoulli naive Bayes (smoothing 1) on 0/1 columns of weighted rows."""
+    d = VectorAssembler(inputCols=list(features), outputCol="_x").transform(train)
+    return NaiveBayes(modelType="bernoulli", smoothing=1.0, featuresCol="_x", labelCol=label, weightCol=weight).fit(d)
+
+
+def positive_share(model, rows: DataFrame, features, name: str = "prob") -> DataFrame:
+    """``rows`` with the model's probability of label 1."""
+    d = VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)
+    out = model.setFeaturesCol("_x").setProbabilityCol("_p").setRawPredictionCol("_r").setPredictionCol("_y").transform(d)
+    return out.withColumn(name, F.get(vector_to_array("_p"), F.lit(1))).drop("_x", "_p", "_r", "_y")
+
+
 def length_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
     """Deterministic stand-in scorer: sigmoid(token length - 5)."""
     out = pdf[["pn_num", "feature_num", "tok_no", "s", "e"]].copy()

@@ -47,6 +47,38 @@ def encode(tokens: DataFrame, vocab: DataFrame, oov: int, col: str = "token") ->
     return tokens.join(v, col, "left").withColumn("idx", F.coalesce(F.col("idx"), F.lit(oov)).cast("int"))
 
 
+def encode_strict(tokens: DataFrame, vocab: DataFrame, col: str = "token") -> DataFrame:
+    """Vocabulary lookup in which an unknown word is an error: the query fails
+    when it meets one, and names it.  Null is a word that no vocabulary holds."""
+    v = vocab.select(F.col(col).alias("_v"), "idx")
+    unknown = F.raise_error(F.concat(F.lit("not in the vocabulary: "), F.coalesce(F.col(col), F.lit("null"))))
+    return tokens.join(v, F.col(col) == F.col("_v"), "left").drop("_v") \
+        .withColumn("idx", F.coalesce(F.col("idx").cast("long"), unknown.cast("long")))
+
+
+def truncated_pair(first: Column, second: Column, starts: Column, ends: Column, separators: int, max_len: int) -> Column:
+    """struct<input_ids, token_type_ids, offset_mapping> of exactly ``max_len``.
+
+    CLS + first + SEP (one or two) + second, cut at ``max_len - 1``, then a
+    closing SEP and padding.  Types are 0 up to the separators and 1 after them
+    (all 0 with two separators); offsets are (0, 0) but for the second
+    sequence, and all three are cut and padded together."""
+    head = F.concat(F.array(F.lit(CLS)), first, F.array(*[F.lit(SEP)] * separators))
+    n_head = F.size(head)
+    body = F.slice(F.concat(head, second), 1, max_len - 1)
+    n_real = F.size(body) + 1
+    pad = F.lit(max_len) - n_real
+    zero = F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))
+    pairs = F.zip_with(starts, ends, lambda s, e: F.struct(s.cast("int").alias("s"), e.cast("int").alias("e")))
+    offsets = F.slice(F.concat(F.array_repeat(zero, n_head), pairs), 1, max_len - 1)
+    second_type = F.lit(1 if separators == 1 else 0)
+    types = F.concat(F.array_repeat(F.lit(0), F.least(n_head, n_real)),
+                     F.array_repeat(second_type, F.greatest(n_real - n_head, F.lit(0))), F.array_repeat(F.lit(0), pad))
+    return F.struct(F.concat(body, F.array(F.lit(SEP)), F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),
+                    types.alias("token_type_ids"),
+                    F.concat(offsets, F.array_repeat(zero, pad + 1)).alias("offset_mapping"))
+
+
 def id_sequences(encoded: DataFrame, key: str, max_tokens: int | None = None,
                  id_col: str = "tid") -> DataFrame:
     """Per key: ids in token order (optionally the first ``max_tokens``)."""

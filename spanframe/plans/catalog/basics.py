@@ -30,7 +30,7 @@ def flagship_labelled_tokens_per_case(fx):
     overlap labels -> per-case labelled-token counts and class ratio."""
     from ...operators.labels import label_overlap90
 
-    lab = label_overlap90(fx.rows_with_spans, fx.tokens)
+    lab = label_overlap90(fx.packed_with_spans)
     cases = fx.train.select("id", "case_num")
     return (lab.join(cases, "id").groupBy("case_num")
             .agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("score").cast("long").alias("n_pos"),

@@ -267,8 +267,9 @@ def clean_spaces(fx):
 
 
 @query("strip_note", with_ctes("notes") + """
-select pn_num, regexp_replace(pn_history, '^\\s+|\\s+$', '', 'g') stripped,
-  (length(pn_history) - length(regexp_replace(pn_history, '^\\s+', '')))::int shift from notes""")
+select pn_num, trim(pn_history, b) stripped, (length(pn_history) - length(ltrim(pn_history, b)))::int shift
+from notes, (select array_to_string(list_transform([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194,
+  8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288], lambda c: chr(c::int)), '') b)""")
 def strip_note(fx):
     return fx.notes.select("pn_num", X.strip_note("pn_history").alias("stripped"),
                            X.strip_shift("pn_history").cast("int").alias("shift"))

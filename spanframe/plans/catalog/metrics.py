@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ...functions import numeric as N
 from ...functions.numeric import bce
 from ...functions import spans as S
-from ...operators import decode as D
 from ...operators import folds as FO
 from ...operators import metrics as M
+from ...operators import packed as PK
 from ..fixtures import md5_unit
 from ..oracle_sql import with_ctes
 from ..registry import query
@@ -18,13 +18,14 @@ ROW = ["pn_num", "feature_num"]
 IDENTITIES = ["id_fr", "id_de", "id_es"]
 
 
-def _pred_intervals(fx, cond):
-    return fx.pred_tok.filter(cond).select(*ROW, F.col("s").alias("start"), F.col("e").alias("end"))
+def row_counts(rows, pred, truth="spans"):
+    """(pn_num, feature_num, tp, fp, fn): chars of two span lists of a packed row."""
+    return rows.select(*ROW, PK.overlap_lengths(F.col(pred), F.col(truth)).alias("c")).select(*ROW, "c.tp", "c.fp", "c.fn")
 
 
-def _truth_intervals(fx):
-    return fx.rows_with_spans.select(*ROW, F.explode("spans").alias("sp")) \
-        .select(*ROW, F.col("sp.start").alias("start"), F.col("sp.end").alias("end"))
+def _char_counts(fx):
+    """Chars of the tokens at or above 0.5 against the chars of the true spans; tokens, scores and truth are in one row."""
+    return row_counts(PK.char_runs(fx.scored, lambda x: x["prob"] >= 0.5, "pred"), "pred")
 
 
 FOLDS_SQL = """select pn_num, (row_number() over (order by cnt desc, pn_num) - 1) % 5 fold
@@ -44,8 +45,7 @@ select tp, fp, fn, round(case when 2 * tp + fp + fn > 0 then 2.0 * tp / (2 * tp
   select count(*) filter (where ip and it) tp, count(*) filter (where ip and not it) fp,
          count(*) filter (where it and not ip) fn from cj)""")
 def char_micro_f1(fx):
-    counts = M.span_overlap_counts(_pred_intervals(fx, F.col("prob") >= 0.5), _truth_intervals(fx), ROW)
-    return M.micro_f1(counts)
+    return M.micro_f1(_char_counts(fx))
 
 
 @query("group_kfold", with_ctes("train", extra=[("fo", FOLDS_SQL)]) + """
@@ -66,7 +66,7 @@ select fold, tp, fp, fn, round(case when 2 * tp + fp + fn > 0 then 2.0 * tp / (2
   select fo.fold, count(*) filter (where ip and it) tp, count(*) filter (where ip and not it) fp,
          count(*) filter (where it and not ip) fn from cj join fo using (pn_num) group by rollup(fo.fold))""")
 def cv_scores_rollup(fx):
-    counts = M.span_overlap_counts(_pred_intervals(fx, F.col("prob") >= 0.5), _truth_intervals(fx), ROW)
+    counts = _char_counts(fx)
     folds = FO.group_kfold(fx.train.select("pn_num").distinct(), "pn_num", 5)
     return M.micro_f1_rollup(counts.join(folds, "pn_num"), "fold")
 
@@ -96,9 +96,8 @@ select round(case when tp + fp > 0 then tp / (tp + fp) else 0 end, 6) "precision
   null::bigint support from cnt""")
 def char_prf(fx):
     """Chars of the decoded runs (no-flush rule) against the chars of the true spans."""
-    loc = D.decode_token_runs(fx.pred_tok, ROW, th=0.5).select(*ROW, F.explode(
-        S.parse_loc_prediction("noflush")).alias("sp"))
-    return M.prf(M.span_overlap_counts(loc.select(*ROW, "sp.start", "sp.end"), _truth_intervals(fx), ROW))
+    loc = PK.decode_tokens(fx.scored, th=0.5).withColumn("pred", S.parse_loc_prediction("noflush"))
+    return M.prf(row_counts(loc, "pred"))
 
 
 @query("row_mean_f1", with_ctes("pred_tok") + """

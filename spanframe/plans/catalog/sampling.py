@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import numeric as N
-from ...operators import decode as D
 from ...operators import folds as FO
+from ...operators import packed as PK
 from ..oracle_sql import with_ctes
 from ..registry import query
 from .metrics import FOLDS_SQL
@@ -87,8 +87,8 @@ TOKEN_RUNS = """select pn_num, feature_num, string_agg(a || ' ' || b, ';' order
 @query("join_submission_skeleton", with_ctes("pred_tok", "train", extra=[("pr", TOKEN_RUNS)]) + """
 select t.id, coalesce(pr.location, '') location from train t left join pr using (pn_num, feature_num)""")
 def join_submission_skeleton(fx):
-    runs = D.decode_token_runs(fx.pred_tok, ["pn_num", "feature_num"], th=0.5) \
-        .filter(F.col("flush") != "").select("pn_num", "feature_num", F.col("flush").alias("location"))
+    runs = PK.decode_tokens(fx.scored, th=0.5).filter(F.col("flush") != "") \
+        .select("pn_num", "feature_num", F.col("flush").alias("location"))
     sk = fx.train.select("id", "pn_num", "feature_num")
     return sk.join(runs, ["pn_num", "feature_num"], "left").select(
         "id", F.coalesce("location", F.lit("")).alias("location"))

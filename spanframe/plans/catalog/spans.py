@@ -11,6 +11,7 @@ from ...functions import spans as S
 from ...functions.text import clean_spaces
 from ...operators import decode as D
 from ...operators import labels as L
+from ...operators import packed as PK
 from ..oracle_sql import with_ctes
 from ..registry import query
 
@@ -137,21 +138,21 @@ def offsets_flatten_restore(fx):
 select p.id, t.tok_no, max(case when greatest(least(t.e, p.re) + 1 - greatest(t.s, p.rs), 0) / (t.e + 1 - t.s) > 0.9
   then 1 else 0 end) score from pieces p join tokens t using (pn_num) group by p.id, t.tok_no""")
 def label_overlap90(fx):
-    return L.label_overlap90(fx.rows_with_spans, fx.tokens)
+    return L.label_overlap90(fx.packed_with_spans)
 
 
 @query("label_overlap90_per_span", with_ctes("pieces", "tokens") + """
 select p.id, t.tok_no, p.k, case when greatest(least(t.e, p.re) + 1 - greatest(t.s, p.rs), 0) / (t.e + 1 - t.s) > 0.9
   then 1 else 0 end score from pieces p join tokens t using (pn_num)""")
 def label_overlap90_per_span(fx):
-    return L.label_overlap90_per_span(fx.rows_with_spans, fx.tokens)
+    return L.label_overlap90_per_span(fx.packed_with_spans)
 
 
 @query("label_containment", with_ctes("pieces", "tokens") + """
 select p.id, t.tok_no, max(case when t.s >= p.rs and t.e <= p.re then 1 else 0 end) label
 from pieces p join tokens t using (pn_num) group by p.id, t.tok_no""")
 def label_containment(fx):
-    return L.label_containment(fx.rows_with_spans, fx.tokens)
+    return L.label_containment(fx.packed_with_spans)
 
 
 POS_SQL = """select pn_num, tok_no::int p, s ts, e te from tokens
@@ -165,7 +166,7 @@ POS_SQL = """select pn_num, tok_no::int p, s ts, e te from tokens
   c as (select *, coalesce(st, en) st2 from b where en is not null)
 select distinct c.id, pos.p from c join pos on pos.pn_num = c.pn_num and pos.p >= c.st2 and pos.p < c.en""")
 def label_boundary(fx):
-    return L.label_boundary(fx.rows_with_spans, fx.note_tok_arrays)
+    return L.label_boundary(fx.packed_with_spans)
 
 
 CLASS_SQL = """select * from (select *, max(label) over (partition by pn_num) m from (
@@ -176,7 +177,7 @@ CLASS_SQL = """select * from (select *, max(label) over (partition by pn_num) m
 @query("label_feature_class", with_ctes("pieces", "tokens", extra=[("cls", CLASS_SQL)]) + """
 select pn_num, tok_no, label from cls""")
 def label_feature_class(fx):
-    return L.label_feature_class(fx.rows_with_spans, fx.tokens).select("pn_num", "tok_no", "label")
+    return L.label_feature_class(fx.packed_with_spans).select("pn_num", "tok_no", "label")
 
 
 # ---- E8, E16-E19: decoders --------------------------------------------------
@@ -186,7 +187,9 @@ select pn_num, feature_num, min(tok_no) "first", max(tok_no) "last", count(*) n
   select *, tok_no - row_number() over (partition by pn_num, feature_num order by tok_no) g from pred_tok where prob >= 0.5)
 group by pn_num, feature_num, g""")
 def islands_runs(fx):
-    return D.islands(fx.pred_tok.filter(F.col("prob") >= 0.5), ROW, "tok_no")
+    r = PK.token_runs(fx.scored, lambda x: x["prob"] >= 0.5, "runs").select(*ROW, PK.each("runs").alias("r")).filter("r is not null")
+    return r.select(*ROW, F.col("r.first_tok").alias("first"), F.col("r.last_tok").alias("last"),
+                    (F.col("r.last_tok") - F.col("r.first_tok") + 1).cast("long").alias("n"))
 
 
 def _char_runs_sql(cond, fmt):
@@ -202,12 +205,12 @@ from rws r left join runs using (pn_num, feature_num) group by r.pn_num, r.featu
 
 @query("decode_runs_shift1", _char_runs_sql("prob >= 0.5", "(a + 1) || ' ' || (b + 1)"))
 def decode_runs_shift1(fx):
-    return D.decode_char_runs(fx.pred_tok, ROW, F.col("prob") >= 0.5, shift_start=1)
+    return PK.decode_chars(fx.scored, lambda x: x["prob"] >= 0.5, start=1).select(*ROW, "location")
 
 
 @query("decode_runs_exact", _char_runs_sql("label > 0", "a || ' ' || (b + 1)"))
 def decode_runs_exact(fx):
-    return D.decode_char_runs(fx.pred_tok, ROW, F.col("label") > 0)
+    return PK.decode_chars(fx.scored, lambda x: x["label"] > 0).select(*ROW, "location")
 
 
 @query("runs_transition", with_ctes("pred_tok", "notes", extra=[
@@ -218,8 +221,10 @@ def decode_runs_exact(fx):
 select r.pn_num, r.feature_num, r.a::int start, (r.b + 1)::int "end" from runs r join notes n using (pn_num)
 where r.b + 1 < length(n.pn_history)""")
 def runs_transition(fx):
+    """Runs closed by a following char: one that touches the end of the text is never emitted."""
+    r = PK.char_runs(fx.scored, lambda x: x["prob"] >= 0.5, "runs").select(*ROW, PK.each("runs").alias("r")).filter("r is not null")
     tl = fx.notes.select("pn_num", F.length("pn_history").alias("text_len"))
-    return D.runs_transition(fx.pred_tok, ROW, F.col("prob") >= 0.5, tl)
+    return r.join(tl, "pn_num").filter(F.col("r.end") < F.col("text_len")).select(*ROW, "r.start", "r.end")
 
 
 TOKEN_RUNS_SQL = with_ctes("pred_tok", extra=[
@@ -240,7 +245,7 @@ from rws w"""
 
 @query("decode_token_runs", TOKEN_RUNS_SQL)
 def decode_token_runs(fx):
-    return D.decode_token_runs(fx.pred_tok, ROW, th=0.5)
+    return PK.decode_tokens(fx.scored, th=0.5).select(*ROW, "flush", "noflush")
 
 
 @query("decode_class_runs", with_ctes("pieces", "tokens", "train", extra=[
@@ -251,7 +256,7 @@ def decode_token_runs(fx):
 select t.id, coalesce(string_agg(c.a || ' ' || c.b, ';' order by c.a), '') location
 from train t left join cruns c on c.pn_num = t.pn_num and c.label = t.feature_num + 1 group by t.id""")
 def decode_class_runs(fx):
-    tc = L.label_feature_class(fx.rows_with_spans, fx.tokens)
+    tc = L.label_feature_class(fx.packed_with_spans)
     runs = D.class_runs(tc)
     req = fx.train.select("id", "pn_num", (F.col("feature_num") + 1).alias("label"))
     asked = runs.join(req.select("pn_num", "label").distinct(), ["pn_num", "label"], "left_semi")
@@ -269,7 +274,7 @@ CHAR_WIN = [("cw", """select pn_num, feature_num, c, arg_max(prob, tok_no) p, ma
 @query("char_probs", with_ctes("pred_tok", extra=CHAR_WIN) + """
 select pn_num, feature_num, min(c)::int start, (max(c) + 1)::int "end", min(p) p from cw group by pn_num, feature_num, w""")
 def char_probs(fx):
-    return D.char_probs(fx.pred_tok, ROW)
+    return D.paint_probs(fx.scored, ROW)
 
 
 @query("char_pred_3class", with_ctes("pred_tok", extra=CHAR_WIN) + """
@@ -278,8 +283,7 @@ select pn_num, feature_num, min(c)::int start, (max(c) + 1)::int "end", round(1
   round(case when min(c) = min(ws) then 0.7 * min(p) else least(0.3 * min(p), 0.7 * min(p)) end, 6) p2
 from cw group by pn_num, feature_num, w, (c = ws)""")
 def char_pred_3class(fx):
-    p = fx.pred_tok.withColumn("cls3", F.array(1 - F.col("prob"), 0.3 * F.col("prob"), 0.7 * F.col("prob")))
-    out = D.char_pred_3class(p, ROW)
+    out = D.paint_3class(fx.scored, ROW, lambda p: (1 - p, 0.3 * p, 0.7 * p))
     return out.select(*ROW, "start", "end", *[F.round(c, 6).alias(c) for c in ("p0", "p1", "p2")])
 
 
@@ -299,10 +303,7 @@ left join (select pn_num, feature_num, string_agg(s || ' ' || e, ';' order by s)
   select pn_num, feature_num, min(a) s, max(b) e from g group by pn_num, feature_num, grp)
   group by pn_num, feature_num) l using (pn_num, feature_num)""")
 def postprocess_spaces(fx):
-    rows = fx.train.select(*ROW).join(fx.notes.select("pn_num", clean_spaces("pn_history").alias("clean")), "pn_num")
-    pos = fx.pred_tok.filter(F.col("prob") >= 0.5).select(*ROW, "s", "e")
-    packed = D.char_runs(pos, ROW).groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
-    j = D.clean_blank_edges(rows.join(packed, ROW, "left"), "clean", "runs", "pp")
-    scored = fx.tokens.select("pn_num").distinct()  # a note without tokens has no scores
-    return j.join(scored, "pn_num", "left_semi").select(
-        *ROW, F.coalesce(S.format_spans("pp"), F.lit("")).alias("location"))
+    runs = PK.char_runs(fx.scored, lambda x: x["prob"] >= 0.5, "runs").select(*ROW, "runs")
+    texts = fx.notes.select("pn_num", clean_spaces("pn_history").alias("clean"))
+    j = D.clean_blank_edges(runs.join(texts, "pn_num"), "clean", "runs", "pp")
+    return j.select(*ROW, S.format_spans("pp").alias("location"))

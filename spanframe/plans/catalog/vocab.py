@@ -4,18 +4,19 @@ C13, C18, C19, E24-E27, H5-H7, A9)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ...functions.stopwords import sql_list
 from ...functions.text import norm_feature_text
 from ...operators import vocab as V
 from ...session import ensure_checkpoint_dir
+from ...sources import files as FS
 from ..fixtures import tokens_of
 from ..oracle_sql import with_ctes
 from ..registry import query
 
 K = 5000
 OOV = K
+MAX_LEN = 300  # the width of a truncated pair
 WORD = r"[\p{L}\p{N}]+"
 STOP = sql_list()
 
@@ -92,8 +93,8 @@ select count(*) n_tokens, count(fs.idx) n_encoded, count(*) - count(fs.idx) n_lo
 from tokens t left join fs using (token)""")
 def encode_vocab_strict(fx):
     full = V.first_seen_index(fx.tokens)
-    words = fx.tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # one row a word before the join
-    j = words.join(full, "token", "left")
+    words = fx.tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # one row a word before the lookup
+    j = V.encode_strict(words, full)  # fails on a word without an index
     known = F.coalesce(F.sum(F.when(F.col("idx").isNotNull(), F.col("n"))), F.lit(0))
     total = F.coalesce(F.sum("n"), F.lit(0))
     return j.agg(total.alias("n_tokens"), known.alias("n_encoded"), (total - known).alias("n_lost"))
@@ -131,12 +132,8 @@ def cached_vocab(fx):
     files = fx.t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     one = F.concat_ws("|", *[F.col(c).cast("string") for c in files.columns])
     key = files.agg(F.md5(F.array_join(F.array_sort(F.collect_list(F.md5(one))), ","))).first()[0]
-    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/cache/vocab_{K}_{key}"
-    try:
-        return fx.spark.read.parquet(path)
-    except AnalysisException:
-        _vocab(fx).write.mode("overwrite").parquet(path)
-        return fx.spark.read.parquet(path)
+    root = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/cache/vocab_{K}_{key}"
+    return FS.compute_or_load(fx.spark, root, lambda: _vocab(fx))
 
 
 SEQ_CTES = VOCAB_CTES + [
@@ -197,6 +194,40 @@ def encode_pair(fx):
                     (F.col("max_len") + 1 - F.size(two)).alias("n_pad_two_sep"))
 
 
+def _truncated_sql(sep: int, second_type: int) -> str:
+    n = MAX_LEN
+    head = "list_concat([1], fids, [" + ", ".join(["2"] * sep) + "])"
+    return f"""select id, len(list_concat(h, nids)[1:{n - 1}])::int + 1 n_real,
+  array_to_string(list_concat(list_concat(h, nids)[1:{n - 1}], [2], list_transform(range({n - 1} - len(list_concat(h, nids)[1:{n - 1}])), lambda x: 0)), ' ') input_ids,
+  array_to_string(list_transform(range({n}), lambda i: case when i >= len(h) and i < len(list_concat(h, nids)[1:{n - 1}]) + 1 then {second_type} else 0 end), ' ') token_type_ids,
+  array_to_string(list_concat(list_concat(list_transform(range(len(h)), lambda x: '0 0'),
+    list_transform(list_zip(ss, es), lambda x: x[1] || ' ' || x[2]))[1:{n - 1}],
+    list_transform(range({n} - len(list_concat(h, nids)[1:{n - 1}])), lambda x: '0 0')), ';') offset_mapping
+  from (select *, {head} h from pair)"""
+
+
+@query("encode_pair_truncated", with_ctes("tokens", "features", "train", extra=SEQ_CTES + [
+    ("one", _truncated_sql(1, 1)), ("two", _truncated_sql(2, 0))]) + """
+select id, one.n_real, one.input_ids, one.token_type_ids, one.offset_mapping, two.n_real n_real_two_sep,
+  two.input_ids input_ids_two_sep, two.token_type_ids token_type_ids_two_sep, two.offset_mapping offset_mapping_two_sep
+from one join two using (id)""")
+def encode_pair_truncated(fx):
+    """Fixed-width pairs of ``MAX_LEN``: ids, types and offsets cut together at
+    ``MAX_LEN - 1``, a closing separator, padding; with one and with two separators."""
+    p = _pairs(fx)
+    e = p.select("id", "fids", "nids", *[V.truncated_pair(F.col("fids"), F.col("nids"), F.col("ss"), F.col("es"), k, MAX_LEN)
+                                         .alias(f"e{k}") for k in (1, 2)])
+
+    def cols(k, suffix):
+        offs = F.transform(f"e{k}.offset_mapping", lambda x: F.concat_ws(" ", x["s"].cast("string"), x["e"].cast("string")))
+        return [F.least(F.size("fids") + F.size("nids") + 2 + k, F.lit(MAX_LEN)).alias(f"n_real{suffix}"),
+                V.ints_to_text(F.col(f"e{k}.input_ids")).alias(f"input_ids{suffix}"),
+                V.ints_to_text(F.col(f"e{k}.token_type_ids")).alias(f"token_type_ids{suffix}"),
+                F.array_join(offs, ";").alias(f"offset_mapping{suffix}")]
+
+    return e.select("id", *cols(1, ""), *cols(2, "_two_sep"))
+
+
 @query("ignore_mask", with_ctes("tokens", "features", "train", extra=SEQ_CTES) + """
 select id, array_to_string(list_concat(list_transform(range(len(fids) + 2), lambda x: -1), list_transform(range(len(nids)), lambda x: 0), [-1]), ' ') mask,
   array_to_string(list_concat(list_transform(range(len(fids) + 2), lambda x: -100), list_transform(range(len(nids)), lambda x: 0), [-100]), ' ') mask100,

@@ -13,8 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrow import running_starts
-from ..functions.text import WORD_START_PATTERN, segments
+from ..functions.spans import parse_loc_strip_split
+from ..functions.text import WORD_PATTERN
+from ..operators import packed as PK
 from ..sources.tables import Tables
 
 FEATURES_PER_CASE = 4
@@ -23,23 +24,71 @@ FEATURES_PER_CASE = 4
 def tokens_of(df: DataFrame, key_cols, text_col: str) -> DataFrame:
     """Explode a text column into word tokens with offsets (one row per token).
 
-    A map without an exchange: one JVM regex pass cuts the text into
-    alternating word and gap segments, an Arrow step turns their lengths into
-    start offsets, and only the words are exploded.  ``tok_no`` is the 1-based
-    word rank; ``pos`` is the word's index among all segments (2k, or 2k+1 when
-    the text starts with a gap).
+    A map without an exchange; see ``operators.packed``.  ``tok_no`` is the
+    1-based word rank; ``pos`` is the word's index among all segments (2k, or
+    2k+1 when the text starts with a gap).
     """
-    keys = [F.col(k) for k in key_cols]
-    first = F.col(text_col).rlike(WORD_START_PATTERN)
-    w = df.select(*keys, segments(text_col).alias("_g"), F.when(first, 0).otherwise(1).alias("_o"))
-    w = w.withColumn("_l", F.transform("_g", lambda x: F.length(x))).withColumn("_st", running_starts("_l"))
-    pairs = F.arrays_zip(F.col("_g").alias("w"), F.col("_st").alias("st"))
-    e = w.select(*keys, "_o", F.posexplode(F.filter(pairs, lambda x, i: i % 2 == F.col("_o"))).alias("i", "t"))
-    return e.select(*keys, (F.col("i") * 2 + F.col("_o")).cast("int").alias("pos"),
-                    F.lower(F.col("t.w")).alias("token"),
-                    F.col("t.st").alias("s"),
-                    (F.col("t.st") + F.length(F.col("t.w"))).cast("int").alias("e"),
-                    (F.col("i") + 1).alias("tok_no"))
+    return PK.explode_tokens(PK.pack_tokens(df, key_cols, text_col), key_cols)
+
+
+def token_draw(key):
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+
+
+def prob_of(label, h):
+    """Stand-in score of a token: its label, blurred by the hash draw of its key."""
+    draw = F.when(h % 1000 < 2, F.lit(549)).otherwise(h % 450)
+    return (label * 450 + draw) / F.lit(1000.0)
+
+
+def token_key(tok_no):
+    return F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string"), tok_no.cast("string"))
+
+
+def annotate(packed: DataFrame, features: DataFrame) -> DataFrame:
+    """Every packed note with every feature of its case, and the packed hits of
+    the feature's term; the only join is on the case, so it runs on streams."""
+    f = features.select("feature_num", F.col("case_num").alias("f_case"), "term")
+    return PK.term_hits(packed.join(f, F.col("case_num") == F.col("f_case")).drop("f_case"))
+
+
+def score(annotated: DataFrame) -> DataFrame:
+    """``annotated`` with ``toks``: array<struct<tok_no,s,e,label,prob>>."""
+    def tok(x, i):
+        label = F.when(x["words"] == F.col("term"), 1).otherwise(0)
+        return F.struct((i + 1).alias("tok_no"), x["s"].alias("s"), x["e"].alias("e"), label.alias("label"),
+                        prob_of(label, x["h"]).alias("prob"))
+
+    draws = F.transform("s", lambda _, i: token_draw(token_key(i + 1)))  # on their own, so that each is drawn once
+    return annotated.withColumn("toks", F.transform(F.arrays_zip("s", "e", "words", draws.alias("h")), tok))
+
+
+def row_id():
+    return F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string"))
+
+
+def literals(annotated: DataFrame) -> tuple:
+    """(annotation, location): hits in order as list literals, two to an annotation (its pieces)."""
+    n = F.size("hits")
+    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 2).cast("int")),
+                        lambda i: F.slice("hits", (i * 2 + 1).cast("int"), 2))
+
+    def literal(piece, sep):
+        item = F.transform(parts, lambda p: F.array_join(F.transform(p, piece), sep))
+        return F.when(n == 0, F.lit("[]")).otherwise(F.concat(F.lit("['"), F.array_join(item, "', '"), F.lit("']")))
+
+    return (literal(lambda h: h["token"], " "),
+            literal(lambda h: F.concat_ws(" ", h["s"].cast("string"), h["e"].cast("string")), ";"))
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt out by ``key`` if it lies in fewer files than the session has cores.
+
+    A small file often is one row group, which one task would read and work on
+    alone; a large table has files enough and is left as it lies, without an
+    exchange.  Only the number of files decides."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if not df.isStreaming and len(df.inputFiles()) < cores else df
 
 
 class Fixtures:
@@ -73,64 +122,71 @@ class Fixtures:
                      F.try_element_at(words, F.lit(3))).alias("feature_text"),
             F.lower(F.regexp_extract(F.col("text"), r"\p{L}+", 0)).alias("term"))
 
+    @cached_property
+    def packed(self) -> DataFrame:
+        """(pn_num, case_num, first, words, s, e): each note tokenised once."""
+        return PK.pack_tokens(dealt(self.notes, "pn_num"), ["pn_num", "case_num"], "pn_history")
+
+    @cached_property
+    def packed_with_words(self) -> DataFrame:
+        """``packed`` without the notes that have no word, told by their text before anything is made of it."""
+        worded = self.notes.filter(F.col("pn_history").rlike(WORD_PATTERN))
+        return PK.pack_tokens(dealt(worded, "pn_num"), ["pn_num", "case_num"], "pn_history")
+
     @cached_property
     def tokens_with_case(self) -> DataFrame:
-        return tokens_of(self.notes, ["pn_num", "case_num"], "pn_history")
+        return PK.explode_tokens(self.packed, ["pn_num", "case_num"])
 
     @cached_property
     def tokens(self) -> DataFrame:
-        return tokens_of(self.notes, ["pn_num"], "pn_history")
+        return PK.explode_tokens(self.packed, ["pn_num"])
 
     @cached_property
-    def hits(self) -> DataFrame:
-        """(pn_num, feature_num, hits array<struct<s,e,token>>): all tokens of
-        the note that equal the feature's term, in order."""
-        f = self.features.select("feature_num", "case_num", F.col("term"))
-        t = self.tokens_with_case
-        j = t.join(f, (t.case_num == f.case_num) & (t.token == f.term))
-        return j.groupBy("pn_num", "feature_num").agg(
-            F.sort_array(F.collect_list(F.struct(t.s, t.e, t.token))).alias("hits"))
+    def annotated(self) -> DataFrame:
+        """Every note with every feature of its case: token arrays and packed hits in one row."""
+        return annotate(self.packed, self.features)
 
     @cached_property
-    def _annotated(self) -> DataFrame:
-        """Every note with every feature of its case, and the packed hits."""
-        nf = self.notes.select("pn_num", "case_num").join(
-            self.features.select("feature_num", "case_num"), "case_num")
-        return nf.join(self.hits, ["pn_num", "feature_num"], "left")
+    def train(self) -> DataFrame:
+        """Annotation rows: (id, case_num, pn_num, feature_num, annotation, location)."""
+        annotation, location = literals(self.annotated)
+        return self.annotated.select(row_id().alias("id"), "case_num", "pn_num", "feature_num",
+                                     annotation.alias("annotation"), location.alias("location"))
 
     @cached_property
-    def train(self) -> DataFrame:
-        """Annotation rows: hits in order, two to an annotation (its pieces)."""
-        n = F.size("hits")
-        parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 2).cast("int")),
-                            lambda i: F.slice("hits", (i * 2 + 1).cast("int"), 2))
+    def annotated_rows(self) -> DataFrame:
+        """``train`` with the token arrays beside it and its parsed spans (``strip_split`` dialect)."""
+        return self._with_spans(self.annotated)
 
-        def literal(piece, sep):
-            item = F.transform(parts, lambda p: F.array_join(F.transform(p, piece), sep))
-            return F.when(F.col("hits").isNull(), F.lit("[]")) \
-                .otherwise(F.concat(F.lit("['"), F.array_join(item, "', '"), F.lit("']")))
+    def _with_spans(self, annotated: DataFrame) -> DataFrame:
+        a = annotated.withColumn("location", literals(annotated)[1])
+        return a.select(row_id().alias("id"), "pn_num", "feature_num", "case_num", "location", "words", "s", "e", "term",
+                        parse_loc_strip_split("location").alias("spans"))
 
-        return self._annotated.select(
-            F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string")).alias("id"),
-            "case_num", "pn_num", "feature_num",
-            literal(lambda h: h["token"], " ").alias("annotation"),
-            literal(lambda h: F.concat_ws(" ", h["s"].cast("string"), h["e"].cast("string")), ";").alias("location"))
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Every annotated row with its scored tokens packed in ``toks``, and its true spans.
+        A note without tokens has no scores."""
+        rows = self._with_spans(annotate(self.packed_with_words, self.features))
+        return score(rows).drop("words", "s", "e", "term")
 
     @cached_property
     def pred_tok(self) -> DataFrame:
-        """Every annotated row scored over every token of its note.  The label
-        comes from the row's packed hits, so the only join is on the note."""
-        starts = F.coalesce(F.transform("hits", lambda h: h["s"]), F.array().cast("array<int>"))
-        r = self._annotated.select("pn_num", "feature_num", starts.alias("starts"))
-        t = self.tokens.select("pn_num", "tok_no", "s", "e")
-        j = r.join(t, "pn_num").select("pn_num", "feature_num", "tok_no", "s", "e", F.when(
-            F.array_contains("starts", F.col("s")), 1).otherwise(0).alias("label"))
-        key = F.concat_ws("_", F.col("pn_num").cast("string"), F.col("feature_num").cast("string"),
-                          F.col("tok_no").cast("string"))
-        h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-        draw = F.when(h % 1000 < 2, F.lit(549)).otherwise(h % 450)
-        return j.select("pn_num", "feature_num", "tok_no", "s", "e", "label",
-                        ((F.col("label") * 450 + draw) / F.lit(1000.0)).alias("prob"))
+        """Every annotated row scored over every token of its note, one row a
+        token; the only join is that of notes and features on the case."""
+        return self.token_pairs.drop("word", "term").withColumn(
+            "prob", prob_of(F.col("label"), token_draw(token_key(F.col("tok_no")))))
+
+    @cached_property
+    def token_pairs(self) -> DataFrame:
+        """(pn_num, feature_num, tok_no, s, e, label, word, term): every token with every feature of its note's case."""
+        r = self.packed.join(self.features.select("feature_num", F.col("case_num").alias("f_case"), "term"),
+                             F.col("case_num") == F.col("f_case"))
+        t = r.select("pn_num", "feature_num", "term", F.posexplode_outer(F.arrays_zip("s", "e", "words")).alias("i", "t")) \
+            .filter(F.col("i").isNotNull())
+        label = F.when(F.col("t.words") == F.col("term"), 1).otherwise(0)
+        return t.select("pn_num", "feature_num", (F.col("i") + 1).alias("tok_no"), F.col("t.s").alias("s"),
+                        F.col("t.e").alias("e"), label.alias("label"), F.col("t.words").alias("word"), "term")
 
 
 def md5_unit(*cols) -> "F.Column":
@@ -213,19 +269,19 @@ class Bindings(Fixtures):
 
     @cached_property
     def note_tok_arrays(self) -> DataFrame:
-        """(pn_num, toks array<struct<s,e>>) in token order; one group is one note."""
-        lst = F.sort_array(F.collect_list(F.struct("tok_no", "s", "e")))
-        return self.tokens.groupBy("pn_num").agg(
-            F.transform(lst, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"))).alias("toks"))
+        """(pn_num, toks array<struct<s,e>>) in token order."""
+        return self.packed.select("pn_num", F.arrays_zip("s", "e").alias("toks"))
 
     @cached_property
     def train_spans(self) -> DataFrame:
         """train rows with their parsed span list (``strip_split`` dialect)."""
-        from ..functions.spans import parse_loc_strip_split
-
-        return self.train.select("id", "pn_num", "feature_num", "case_num", "location",
-                                 parse_loc_strip_split("location").alias("spans"))
+        return self.annotated_rows.select("id", "pn_num", "feature_num", "case_num", "location", "spans")
 
     @cached_property
     def rows_with_spans(self) -> DataFrame:
         return self.train_spans.filter(F.size("spans") > 0)
+
+    @cached_property
+    def packed_with_spans(self) -> DataFrame:
+        """``rows_with_spans`` with the note's token arrays beside them."""
+        return self.annotated_rows.filter(F.size("spans") > 0)

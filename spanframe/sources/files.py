@@ -9,7 +9,10 @@ machine-local path.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,42 @@ def write_keyed_lines(df: DataFrame, key: str, value: str, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Append-only metric log (parquet, one file set per append)."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def append_log(df: DataFrame, path: str, keys=("epoch",)) -> None:
+    """Append-only metric log, one row for each value of ``keys``.
+
+    Rows whose keys the log already holds are left out (null is a value like
+    any other), so a job that is run again adds nothing twice."""
+    log = _stored(df.sparkSession, path)
+    if log is not None:
+        old = log.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        df = df.join(old, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
     df.write.mode("append").parquet(path)
+
+
+def compute_or_load(spark: SparkSession, root: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table kept under ``root``; ``build`` is called and its result kept if there is none.
+
+    The table is written into a folder of its own, and only then is the
+    folder's name committed, as a one-row table that one task writes.  So a
+    folder that a lost job left half written is never read.  If two jobs
+    commit at a time, both read the folder with the lesser name."""
+    root = root.rstrip("/")
+    for attempt in (1, 2):
+        committed = _stored(spark, f"{root}/committed")
+        name = committed and committed.agg(F.min("name")).first()[0]
+        if name:
+            return spark.read.parquet(f"{root}/{name}")
+        if attempt == 1:
+            new = f"data-{uuid.uuid4().hex}"
+            build().write.parquet(f"{root}/{new}")
+            spark.range(1).select(F.lit(new).alias("name")).coalesce(1).write.mode("append").parquet(f"{root}/committed")
+    raise RuntimeError(f"nothing committed under {root}")
