@@ -208,6 +208,20 @@ def pr_curve_per_class(fx):
     return M.threshold_grid_counts(sm, "cls", "prob", F.when(F.col("label") == F.col("cls"), 1).otherwise(0))
 
 
+@query("pr_curve_by_score", with_ctes("class_scores", extra=[
+    ("sm", """select label, cls, round(ex / sum(ex) over (partition by vec_id), 4) score from (
+       select *, exp(score - max(score) over (partition by vec_id)) ex from class_scores)"""),
+    ("c", "select cls, score threshold, count(*) filter (where label = cls) p, count(*) filter (where label <> cls) n from sm group by all"),
+    ("w", """select *, sum(p) over (partition by cls order by threshold desc) tp,
+       sum(n) over (partition by cls order by threshold desc) fp, sum(p) over (partition by cls) a from c""")]) + """
+select cls, threshold, tp::bigint tp, fp::bigint fp, (a - tp)::bigint fn, round(tp / (tp + fp), 6) "precision",
+  round(case when a > 0 then tp / a end, 6) recall from w""")
+def pr_curve_by_score(fx):
+    """The whole curve: one point for each distinct score (4 digits) of a class."""
+    sm = _softmax_long(fx).withColumn("score", F.round("prob", 4))
+    return M.pr_curve(sm, "cls", "score", F.when(F.col("label") == F.col("cls"), 1).otherwise(0))
+
+
 @query("nonzero_outputs", with_ctes("pred_tok") + """
 select feature_num, count(*) filter (where round_even(prob, 0) <> 0) n_nonzero from pred_tok group by feature_num""")
 def nonzero_outputs(fx):
