@@ -1,6 +1,7 @@
 """Secret scans: candidate tokens judged by a random forest.
 
-Candidates are tokens that could be a secret by their characters: runs of
+Candidates are values assigned to a secret's name (``password = ...``), whatever
+their characters, and tokens that could be a secret by their shape: runs of
 ``MIN_LEN`` or more letters, digits and ``+/_-`` that hold a digit.  Each is
 described by its length, its character transitions, how much of it words of the
 corpus cover, whether it is part of a path, and the words beside it.
@@ -12,8 +13,11 @@ secrets; path parts, uuids, dates, words with a number and repeated characters
 are not; the rest teaches nothing.  Formats and shapes are not among the
 features, so the forest can judge tokens that no rule knows.
 
-Scanning is a map pass, as is the dictionary count of the corpus; fitting and
-scoring are Spark ML jobs over rows of numbers.
+The words of all documents are counted into a table, without a cap.  Letter
+transitions are summed from it, 26 x 26 of them, and the words that candidates
+ask for are looked up in it by a join, so nothing that grows with the corpus
+reaches the driver or a broadcast.  Fitting and scoring are Spark ML jobs over
+rows of numbers.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ from .common import bound_arrow_batches, materialise, packed, text_key, unpacked
 MIN_LEN = 12
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{MIN_LEN},}}=*(?![A-Za-z0-9+/_-])")
 ALPHA = re.compile(r"[a-z]{3,}")
+MIN_DOCS = 3  # a corpus word stands in so many documents at least
 
 # fixed values: public key formats, names that introduce a secret, and harmless shapes
 FORMATS = re.compile(
@@ -45,6 +50,10 @@ NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "a
 HARMLESS = re.compile(
     r"^([0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|\d{4}-\d\d-\d\d\S*|[\d+/_-]+|[a-z]+[-_/]?\d{1,4}|(.)\2{7,})$", re.I)
 
+# a value after a name that holds one of NAMES
+ASSIGNED = re.compile(rf"(?:{'|'.join(NAMES)})[\w-]{{0,40}}[\"']?[ \t]{{0,3}}(?::=|=>|[=:])[ \t]{{0,3}}[\"']?"
+                      r"([^\s\"'`,;()<>\[\]{}]{4,})", re.I)
+
 FEATURES = ("length", "digits", "uppers", "symbols", "entropy", "class_changes", "transition", "coverage", "in_path",
             "assigned", "named", "quoted", "left_words", "right_words")
 
@@ -53,20 +62,28 @@ def _char_class(c: str) -> str:
     return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s"
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Spans of the candidates of a text, in order and apart: assigned values first, then what has the shape."""
+    named = [m.span(1) for m in ASSIGNED.finditer(text)]
+    out, k = list(named), 0
+    for m in CANDIDATE.finditer(text):
+        while k < len(named) and named[k][1] <= m.start():
+            k += 1
+        if k == len(named) or named[k][0] >= m.end():
+            out.append(m.span())
+    return sorted(out)
+
+
 def transition_score(token: str, pairs: dict[str, float]) -> float:
-    """Mean log-probability of the token's letter pairs in words of the corpus."""
+    """Mean log-probability of the token's letters after the letters before them, as in words of the corpus."""
     low = token.lower()
     found = [pairs.get(low[i : i + 2], -9.0) for i in range(len(low) - 1)]
     return sum(found) / len(found) if found else -9.0
 
 
-def coverage(token: str, dictionary: frozenset[str]) -> float:
-    """Share of the token's characters inside parts that are corpus words."""
-    return sum(len(p) for p in ALPHA.findall(token.lower()) if p in dictionary) / len(token)
-
-
-def describe(text: str, m: re.Match, pairs: dict[str, float], dictionary: frozenset[str]) -> list[float]:
-    t, (b, e) = m.group(), m.span()
+def describe(text: str, b: int, e: int, pairs: dict[str, float]) -> tuple[list[float], list[str], list[str], list[str]]:
+    """(features that need no dictionary, letter parts of the token, three words before it, three words after it)."""
+    t = text[b:e]
     n = len(t)
     counts = Counter(t)
     kinds = [_char_class(c) for c in t]
@@ -77,23 +94,23 @@ def describe(text: str, m: re.Match, pairs: dict[str, float], dictionary: frozen
         float(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("s") / n,
         -sum(c / n * math.log2(c / n) for c in counts.values()),
         sum(x != y for x, y in zip(kinds, kinds[1:])) / max(1, n - 1),
-        transition_score(t, pairs), coverage(t, dictionary),
+        transition_score(t, pairs),
         float("/" in t or before.endswith(("/", ".", "\\")) or after.startswith(("/", "\\", "."))
               and after[1:2].isalnum()),
-        float(left.endswith(("=", ":", ":="))),
+        float(left.endswith(("=", ":", ":=", "=>"))),
         float(bool(words_left) and any(k in words_left[-1].lower() for k in NAMES)),
         float(before.endswith(('"', "'")) and after.startswith(('"', "'"))),
-        sum(w.lower() in dictionary for w in words_left[-3:]) / 3,
-        sum(w.lower() in dictionary for w in words_right[:3]) / 3,
-    ]
+    ], ALPHA.findall(t.lower()), [w.lower() for w in words_left[-3:]], [w.lower() for w in words_right[:3]]
 
 
-def corpus_words(docs: DataFrame, text_col: str = "text", max_words: int = 20_000, min_docs: int = 3) -> dict[str, int]:
-    """The ``max_words`` lower-case words held by most documents, with the number of these documents.
+def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n): every lower-case word of letters, under 30 of them, with the number of documents that hold it.
 
-    All documents are counted; each task emits the words of its batches once
-    for each, and the sums combine map-side.
+    All documents are counted; each task emits the words of a batch once, and
+    the sums combine map-side.
     """
+    bound_arrow_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
@@ -104,53 +121,67 @@ def corpus_words(docs: DataFrame, text_col: str = "text", max_words: int = 20_00
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.string()),
                                                   pa.array(list(seen.values()), type=pa.int64())], names=["word", "n"])
 
-    counts = docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= min_docs).orderBy(F.col("n").desc(), "word").limit(max_words)
-    return {r.word: r.n for r in top.collect()}
+    return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def letter_pairs(words: dict[str, int]) -> dict[str, float]:
-    """Log-probability of each letter pair, from the counted words."""
-    counts: Counter = Counter()
-    for w, n in words.items():
-        for i in range(len(w) - 1):
-            counts[w[i : i + 2]] += n
-    total = sum(counts.values())
-    return {p: math.log(n / total) for p, n in counts.items()}
+def letter_pairs(words: DataFrame) -> dict[str, float]:
+    """Log-probability of each letter a-z after each other one, from the counted words (one added to each count)."""
+    at = F.sequence(F.lit(1), F.length("word") - 1)
+    pairs = words.filter(F.length("word") > 1).select("n", F.explode(F.transform(
+        at, lambda i: F.substring("word", i, F.lit(2)))).alias("pair"))
+    found = pairs.filter(F.col("pair").rlike("^[a-z]{2}$")).groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    n = {r.pair: r.n for r in found}
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    total = {a: sum(n.get(a + b, 0) + 1 for b in letters) for a in letters}
+    return {a + b: math.log((n.get(a + b, 0) + 1) / total[a]) for a in letters for b in letters}
 
 
-def candidates(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def candidates(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               min_docs: int = MIN_DOCS) -> DataFrame:
     """(id, th, start, length, token, label, features): each candidate of every whole text.
 
-    ``label`` is 1.0, 0.0 or null by the rules of high precision.
+    ``label`` is 1.0, 0.0 or null by the rules of high precision.  ``words`` is
+    the table of ``corpus_words``; those in ``min_docs`` documents or more count
+    as words.
     """
     bound_arrow_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     schema = StructType([src.schema["id"], src.schema["th"], *StructType.fromDDL(
-        "start long, length long, token string, label double, features array<double>")])
+        "start long, length long, token string, x array<double>, parts array<string>, before array<string>, "
+        "after array<string>, format boolean, harmless boolean")])
     arrow = to_arrow_schema(schema)
-    model = docs.sparkSession.sparkContext.broadcast((letter_pairs(words), frozenset(words)))
+    model = docs.sparkSession.sparkContext.broadcast(letter_pairs(words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, dictionary = model.value
         for batch in batches:
             rows = []
             for doc, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for m in CANDIDATE.finditer(text) if text else ():
-                    x = describe(text, m, pairs, dictionary)
-                    token = m.group()
-                    known = dict(zip(FEATURES, x))
-                    if FORMATS.match(token) or (known["named"] and known["assigned"] and known["coverage"] < 0.3):
-                        label = 1.0
-                    elif HARMLESS.match(token) or known["in_path"] or known["coverage"] > 0.5:
-                        label = 0.0
-                    else:
-                        label = None
-                    rows.append((doc, th, m.start(), len(token), token, label, x))
+                for b, e in spans(text) if text else ():
+                    token = text[b:e]
+                    rows.append((doc, th, b, e - b, token, *describe(text, b, e, model.value),
+                                 bool(FORMATS.match(token)), bool(HARMLESS.match(token))))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    return src.mapInArrow(run, schema)
+    found = materialise(src.mapInArrow(run, schema))
+    # what a candidate asks the dictionary depends on its text alone: rows that repeat a text ask once
+    asked = found.groupBy("th", "start").agg(F.first(F.array_distinct(F.concat("parts", "before", "after"))).alias("w")) \
+        .select("th", "start", F.explode_outer("w").alias("word"))
+    known = asked.join(words.filter(F.col("n") >= min_docs).select("word"), "word") \
+        .groupBy(F.col("th").alias("k_th"), F.col("start").alias("k_start")).agg(F.collect_set("word").alias("known"))
+    d = found.join(materialise(known), (F.col("th") == F.col("k_th")) & (F.col("start") == F.col("k_start")), "left") \
+        .withColumn("known", F.coalesce("known", F.array().cast("array<string>")))
+    chars = F.aggregate("parts", F.lit(0), lambda a, p: a + F.when(F.array_contains("known", p), F.length(p)).otherwise(0))
+    of_three = lambda c: F.size(F.filter(c, lambda w: F.array_contains("known", w))) / F.lit(3.0)
+    d = d.withColumn("coverage", chars / F.col("length"))
+    x = lambda name: F.get("x", F.lit([f for f in FEATURES if f not in ("coverage", "left_words", "right_words")].index(name)))
+    secret = F.col("format") | ((x("named") == 1) & (x("assigned") == 1) & (F.col("coverage") < 0.3))
+    plain = F.col("harmless") | (x("in_path") == 1) | (F.col("coverage") > 0.5)
+    cut = FEATURES.index("coverage")
+    return d.select("id", "th", "start", "length", "token",
+                    F.when(secret, 1.0).when(plain, 0.0).alias("label"),
+                    F.concat(F.slice("x", 1, cut), F.array("coverage"), F.slice("x", cut + 1, len(FEATURES)),
+                             F.array(of_three("before"), of_three("after"))).alias("features"))
 
 
 def _draw():
@@ -205,12 +236,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     findings again; an empty table gives none.  Where the corpus has labelled
     findings of one class only, nothing can be learned and the rules decide.
     """
-    found = materialise(candidates(docs, corpus_words(docs, text_col), id_col, text_col))
+    words = materialise(corpus_words(docs, text_col))
+    found = materialise(candidates(docs, words, id_col, text_col))
     return judge(found, learn(label_findings(found, max_rows)), threshold)
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with each secret replaced by ``mark``; all columns stay."""
+    """``docs`` with each secret replaced by ``mark``; all columns stay.
+
+    Null and empty texts stay as they are, rows with a null id are matched by
+    their text, and rows repeated in full are all redacted.  Cuts of one text
+    do not overlap.  An empty table stays empty.
+    """
     found = scan_secrets(docs, id_col, text_col, **options).filter("is_secret").groupBy("id", "th").agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("cuts")) \
         .withColumnsRenamed({"id": "r_id", "th": "r_th"})
