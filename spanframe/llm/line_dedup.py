@@ -15,8 +15,9 @@ Deeper names could not cover another line, because each run of a longer match
 is itself a match.
 
 Only repeated prefixes stay in play: a prefix that ends in a line found once
-cannot repeat.  All joins are equi-joins on a name, which AQE can split when
-one line is very common, and first positions are aggregated map-side.
+cannot repeat.  All joins are equi-joins of two written tables on a name, which
+AQE can split when one line is very common, and first positions are aggregated
+map-side.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ def _named(prefixes: DataFrame, key: list[str]) -> DataFrame:
     prefix.  A repeated row of the same document is the same position.
     """
     at = F.struct("id", "th", "line")
-    names = (prefixes.groupBy(*key).agg(F.min(at).alias("first"), F.max(at).alias("last"))
-             .filter(F.col("first") != F.col("last")).drop("last"))
+    # a table of its own: both sides of the join are then plain exchanges, of which AQE splits a hot key's partition
+    names = materialise(prefixes.groupBy(*key).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+                        .filter(F.col("first") != F.col("last")).drop("last"))
     return prefixes.join(names, key).select("id", "th", "line", F.col("first").alias("name"))
 
 
