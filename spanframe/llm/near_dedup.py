@@ -1,14 +1,15 @@
 """Near-duplicates by Order MinHash, verified by banded alignment.
 
-A text is its sequence of five-word shingles.  Two texts are linked if the
-edit distance of their sequences is at most ``1 - min_similarity`` of the
+Two texts are linked if they have a five-word shingle in common and the edit
+distance of their word sequences is at most ``1 - min_similarity`` of the
 longer one; classes are the connected components of the links.
 
 * Order MinHash: a shingle is labelled by its occurrence number, so repeats
   count.  Each of many random orders picks the least labelled shingles, and
   the key keeps them in *text* order: it agrees with high probability only
-  where edit similarity is high.  Texts that merely share a passage rarely
-  agree on five shingles, so common passages make no large buckets.
+  where edit similarity is high.  One changed word costs up to five shingles,
+  so texts with a fifth of their words changed at even distances share about
+  a fifth of them; picks and tables are sized for that share.
 * Equal texts are one node from the start (one row per text, not per copy).
 * The least text of a bucket (texts with one key) leads it and is compared with
   all members, which is linear and joins most near copies.
@@ -16,8 +17,8 @@ longer one; classes are the connected components of the links.
   compared, each pair in the first bucket it shares.  A bucket is split into
   chunks of bounded size and each pair of chunks is one piece of work, so texts
   travel once a chunk pair, not once a pair; chunks of one component never
-  meet.  No pair is left out but by lossless bounds (lengths, shared shingles).
-* Candidates are verified by the exact banded edit distance.
+  meet.  No pair is left out but by lossless bounds (lengths, shared words).
+* Candidates are verified by the exact banded edit distance of their words.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from .components import components
 from .hashing import mix, shingles, word_hashes
 
 K = 5
-CHUNK_ROWS, CHUNK_SHINGLES = 512, 1 << 18  # bounds of the members of a bucket that one work unit takes for each side
+CHUNK_ROWS, CHUNK_WORDS = 512, 1 << 18  # bounds of the members of a bucket that one work unit takes for each side
 
 
 class Sketch(NamedTuple):
@@ -52,9 +53,9 @@ class Sketch(NamedTuple):
     most: float
 
 
-# Short texts have too few shingles to agree on five.  The ranges overlap so far that
+# Short texts have too few shingles to agree on two.  The ranges overlap so far that
 # two texts whose lengths may differ by a fifth always have one kind of key in common.
-SKETCHES = (Sketch(2, 16, 1, 40), Sketch(5, 40, 32, float("inf")))
+SKETCHES = (Sketch(1, 24, 1, 16), Sketch(2, 64, 12, float("inf")))
 
 
 def occurrence_labels(g: np.ndarray) -> np.ndarray:
@@ -76,7 +77,7 @@ def _orders(kind: Sketch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled(g: np.ndarray) -> np.ndarray:
-    """Shingle hashes told apart by their occurrence number: distinct within the text."""
+    """Hashes of shingles or words told apart by their occurrence number: distinct within the text."""
     return mix(g + occurrence_labels(g) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -159,10 +160,10 @@ def max_edits(na: int, nb: int, min_similarity: float) -> int:
 
 
 def close(a: np.ndarray, b: np.ndarray, min_similarity: float) -> bool:
-    """Whether two shingle sequences are linked.
+    """Whether the edit distance of two word sequences allows a link.
 
-    Their edit distance is at least the longer length less the shingles they
-    share, which rejects most false candidates before the alignment."""
+    It is at least the longer length less the words they share, which rejects
+    most false candidates before the alignment."""
     k = max_edits(len(a), len(b), min_similarity)
     if abs(len(a) - len(b)) > k:
         return False
@@ -171,7 +172,7 @@ def close(a: np.ndarray, b: np.ndarray, min_similarity: float) -> bool:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, node, n, keys): fingerprint of the text, digest of its words, number of its shingles, its keys;
+    """(id, th, node, n, keys): fingerprint of the text, digest and number of its words, its keys;
     node is null without words."""
     bound_arrow_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
@@ -187,10 +188,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not len(h):
                     nodes.append(None), sizes.append(0), keys.append(None)
                     continue
-                g = shingles(h, K)
                 nodes.append(xxhash.xxh3_128_digest(h.tobytes()))
-                sizes.append(len(g))
-                keys.append(order_minhash(g).view(np.int64))
+                sizes.append(len(h))
+                keys.append(order_minhash(shingles(h, K)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(
                 pa.array(c, type=f.type) for c, f in zip((nodes, sizes, keys), list(arrow)[2:]))], schema=arrow)
 
@@ -198,7 +198,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> DataFrame:
-    """The pairs (u, v) whose shingle sequences are close enough; ``texts`` has (node, text).
+    """The pairs (u, v) whose word sequences are close enough; ``texts`` has (node, text).
 
     Texts travel, not hashes: they compress, hashes do not."""
     a = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
@@ -209,7 +209,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [close(*(shingles(word_hashes(t.as_py().encode()), K) for t in two), min_similarity)
+            keep = [close(*(word_hashes(t.as_py().encode()) for t in two), min_similarity)
                     for two in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=arrow) \
                 .filter(pa.array(keep, type=pa.bool_()))
@@ -230,10 +230,10 @@ def _chunk_pairs(rest: DataFrame) -> DataFrame:
 
     A component too large for one chunk has chunks of its own, which do not meet
     one another; the small components of a bucket share chunks by a hash."""
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES)))
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_WORDS)))
     per = materialise(rest.groupBy("key", "root").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), parts.alias("parts")))
-    many = F.greatest(F.ceil(F.sum("rows") / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES)))
+    many = F.greatest(F.ceil(F.sum("rows") / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_WORDS)))
     large = per.filter(F.col("parts") > 1).select("key", F.col("root").alias("own"), "parts")
     small = per.filter(F.col("parts") == 1).groupBy("key").agg(many.alias("parts")) \
         .select("key", F.lit(b"").alias("own"), "parts")
@@ -258,8 +258,8 @@ def _chunk_pairs(rest: DataFrame) -> DataFrame:
 
 
 def key_slots(n: int) -> np.ndarray:
-    """Places of the keys of a text of ``n`` shingles among those of all tables of all kinds."""
-    at, out = 0, []
+    """Places of the keys of a text of ``n`` words among those of all tables of all kinds."""
+    n, at, out = max(1, n - K + 1), 0, []
     for kind in SKETCHES:
         if kind.least <= n <= kind.most:
             out.append(np.arange(at, at + kind.tables))
@@ -277,7 +277,7 @@ def chunk_links(key: int, sides: list[int], roots: list[bytes], keys: list[list[
     left, right = (np.flatnonzero(sides == s) for s in ((0, 1) if sides[0] < 2 else (2, 2)))
     if not len(left) or not len(right):
         return
-    seqs = [shingles(word_hashes(t.encode()), K) for t in texts]
+    seqs = [word_hashes(t.encode()) for t in texts]
     sizes = np.array([len(g) for g in seqs])
     held = np.zeros((len(seqs), sum(k.tables for k in SKETCHES)), dtype=np.int64)
     for i, k in enumerate(keys):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -109,8 +110,10 @@ def dedup_passages(docs, n=20):
 
 
 def near_classes(docs, similarity=0.8, k=5):
-    """{id: least id of its class}; edit distance of the sequences of five-word shingles."""
-    seqs = {d: [tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] for d, t in docs if (w := words(t))}
+    """{id: least id of its class}; edit distance of the words of texts that share a five-word shingle."""
+    seqs = {d: w for d, t in docs if (w := words(t))}
+    grams = {d: {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for d, w in seqs.items()}
+    bags = {d: Counter(w) for d, w in seqs.items()}
     ids = sorted(seqs)
     root = {d: d for d, _ in docs}
 
@@ -119,13 +122,14 @@ def near_classes(docs, similarity=0.8, k=5):
             x = root[x]
         return x
 
-    sets = {d: set(s) for d, s in seqs.items()}
     for i, a in enumerate(ids):
         for b in ids[:i]:
             longest = max(len(seqs[a]), len(seqs[b]))
-            if len(sets[a] & sets[b]) < 0.3 * min(len(sets[a]), len(sets[b])):
+            edits = int((1 - similarity) * longest + 1e-9)
+            # each word of the longer text that the other lacks costs an edit
+            if min(len(seqs[a]), len(seqs[b])) < longest - edits or sum((bags[a] & bags[b]).values()) < longest - edits:
                 continue
-            if edit_distance(seqs[a], seqs[b]) <= int((1 - similarity) * longest + 1e-9):
+            if grams[a] & grams[b] and edit_distance(seqs[a], seqs[b]) <= edits:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {d: find(d) for d, _ in docs}
