@@ -17,12 +17,13 @@ longer one; classes are the connected components of the links.
   compared, each pair in the first bucket it shares.  A bucket is split into
   chunks of bounded size and each pair of chunks is one piece of work, so texts
   travel once a chunk pair, not once a pair; chunks of one component never
-  meet.  No pair is left out but by lossless bounds (lengths, shared words).
+  meet, nor do chunks of lengths too far apart.  No pair is left out but by lossless bounds (lengths, shared words).
 * Candidates are verified by the exact banded edit distance of their words.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
@@ -31,7 +32,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
@@ -41,7 +42,8 @@ from .components import components
 from .hashing import mix, shingles, word_hashes
 
 K = 5
-CHUNK_ROWS, CHUNK_WORDS = 512, 1 << 18  # bounds of the members of a bucket that one work unit takes for each side
+CHUNK_ROWS, CHUNK_WORDS = 2048, 1 << 18  # bounds of the members of a bucket that one work unit takes for each side
+WIDE = 8  # buckets of more chunks are dealt by bands of lengths: a row then meets three bands instead of all chunks
 
 
 class Sketch(NamedTuple):
@@ -225,36 +227,50 @@ def _pairs(rows: DataFrame, min_similarity: float) -> DataFrame:
         .select(F.least("node", "l_node").alias("u"), F.greatest("node", "l_node").alias("v")).distinct()
 
 
+def _bands(n: Column, min_similarity: float) -> Column:
+    """Band of lengths; texts that may be linked are in the same or in neighbouring bands."""
+    ratio = -math.log(min(max(min_similarity, 1e-3), 1 - 1e-3)) * 1.001
+    return F.floor(F.log(n) / F.lit(ratio)).cast("int")
+
+
 def _chunk_pairs(rest: DataFrame) -> DataFrame:
-    """``rest`` (key, node, n, root) dealt to work units: (key, unit, side, node, root).
+    """``rest`` (key, node, band, n, root) dealt to work units: (key, unit, side, node, root).
 
-    A component too large for one chunk has chunks of its own, which do not meet
-    one another; the small components of a bucket share chunks by a hash."""
+    Chunks hold members of one band, and only chunks of the same or of
+    neighbouring bands meet.  A component too large for one chunk has chunks of
+    its own, which do not meet one another; the small components of a bucket
+    share chunks by a hash."""
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_WORDS)))
-    per = materialise(rest.groupBy("key", "root").agg(
+    per = materialise(rest.groupBy("key", "band", "root").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), parts.alias("parts")))
     many = F.greatest(F.ceil(F.sum("rows") / F.lit(CHUNK_ROWS)), F.ceil(F.sum("n") / F.lit(CHUNK_WORDS)))
-    large = per.filter(F.col("parts") > 1).select("key", F.col("root").alias("own"), "parts")
-    small = per.filter(F.col("parts") == 1).groupBy("key").agg(many.alias("parts")) \
-        .select("key", F.lit(b"").alias("own"), "parts")
+    large = per.filter(F.col("parts") > 1).select("key", "band", F.col("root").alias("own"), "parts")
+    small = per.filter(F.col("parts") == 1).groupBy("key", "band").agg(many.alias("parts")) \
+        .select("key", "band", F.lit(b"").alias("own"), "parts")
     chunks = materialise(large.unionByName(small))
     own = F.when(F.col("parts") > 1, F.col("root")).otherwise(F.lit(b""))
-    rows = rest.join(per.select("key", "root", "parts"), ["key", "root"]).select("key", "node", "root", own.alias("own"))
-    rows = rows.join(chunks, ["key", "own"]).select(
-        "key", "node", "root", "own", F.pmod(F.xxhash64(F.when(F.col("own") == b"", F.col("root")).otherwise(F.col("node"))),
-                                             F.col("parts")).alias("chunk"))
-    each = chunks.select("key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("chunk"))
-    a, b = each.toDF("key", "a_own", "a_chunk"), each.toDF("b_key", "b_own", "b_chunk")
-    units = a.join(b, (F.col("key") == F.col("b_key")) & (
-        (F.col("a_own") < F.col("b_own")) | ((F.col("a_own") == b"") & (F.col("b_own") == b"") & (F.col("a_chunk") <= F.col("b_chunk"))))) \
-        .drop("b_key").withColumn("unit", F.xxhash64("a_own", "a_chunk", "b_own", "b_chunk"))
+    rows = rest.join(per.select("key", "band", "root", "parts"), ["key", "band", "root"]) \
+        .select("key", "band", "node", "root", own.alias("own"))
+    rows = rows.join(chunks, ["key", "band", "own"]).select(
+        "key", "band", "node", "root", "own",
+        F.pmod(F.xxhash64(F.when(F.col("own") == b"", F.col("root")).otherwise(F.col("node"))), F.col("parts")).alias("chunk"))
+    each = chunks.select("key", "band", "own",
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("chunk"))
+    a = each.toDF("key", "a_band", "a_own", "a_chunk")
+    b = each.toDF("b_key", "b_band", "b_own", "b_chunk").withColumn("at", F.explode(F.array("b_band", F.col("b_band") - 1)))
+    within = (F.col("a_own") < F.col("b_own")) | (
+        (F.col("a_own") == b"") & (F.col("b_own") == b"") & (F.col("a_chunk") <= F.col("b_chunk")))
+    across = (F.col("a_own") != F.col("b_own")) | (F.col("a_own") == b"")
+    units = a.join(b, (F.col("key") == F.col("b_key")) & (F.col("a_band") == F.col("at"))
+                   & F.when(F.col("a_band") == F.col("b_band"), within).otherwise(across)) \
+        .drop("b_key", "at").withColumn("unit", F.xxhash64("a_band", "a_own", "a_chunk", "b_band", "b_own", "b_chunk"))
     units = materialise(units)
-    same = (F.col("a_own") == F.col("b_own")) & (F.col("a_chunk") == F.col("b_chunk"))
-    sides = units.select("key", F.col("a_own").alias("own"), F.col("a_chunk").alias("chunk"), "unit",
+    same = (F.col("a_band") == F.col("b_band")) & (F.col("a_own") == F.col("b_own")) & (F.col("a_chunk") == F.col("b_chunk"))
+    sides = units.select("key", F.col("a_band").alias("band"), F.col("a_own").alias("own"), F.col("a_chunk").alias("chunk"), "unit",
                          F.when(same, 2).otherwise(0).alias("side")) \
-        .unionByName(units.filter(~same).select("key", F.col("b_own").alias("own"), F.col("b_chunk").alias("chunk"), "unit",
-                                                F.lit(1).alias("side")))
-    return rows.join(sides, ["key", "own", "chunk"]).select("key", "unit", "side", "node", "root")
+        .unionByName(units.filter(~same).select("key", F.col("b_band").alias("band"), F.col("b_own").alias("own"),
+                                                F.col("b_chunk").alias("chunk"), "unit", F.lit(1).alias("side")))
+    return rows.join(sides, ["key", "band", "own", "chunk"]).select("key", "unit", "side", "node", "root")
 
 
 def key_slots(n: int) -> np.ndarray:
@@ -310,7 +326,7 @@ def chunk_links(key: int, sides: list[int], roots: list[bytes], keys: list[list[
 
 
 def _cross_links(rest: DataFrame, texts: DataFrame, min_similarity: float) -> DataFrame:
-    """Links (u, v) between members of one bucket in different components; ``rest`` has (key, node, n, root),
+    """Links (u, v) between members of one bucket in different components; ``rest`` has (key, node, band, n, root),
     ``texts`` (node, text, keys)."""
     bound_arrow_batches(rest.sparkSession)
     rows = _chunk_pairs(rest).join(texts, "node").repartition("key", "unit").sortWithinPartitions("key", "unit") \
@@ -363,8 +379,12 @@ def links(docs: DataFrame, min_similarity: float = 0.8, id_col: str = "doc_id",
     rest = bucket.filter(F.col("node") != F.col("l_node")).select("key", "node", "n") \
         .join(comp, F.col("node") == F.col("c_node"), "left") \
         .select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    apart = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi"))
-    rest = materialise(rest.join(apart.select("key"), "key", "left_semi"))
+    wide = (F.count(F.lit(1)) > WIDE * CHUNK_ROWS) | (F.sum("n") > WIDE * CHUNK_WORDS)
+    apart = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), wide.alias("wide")) \
+        .filter(F.col("lo") != F.col("hi")).select("key", "wide")
+    # a bucket of a few chunks stays whole
+    band = F.when(F.col("wide"), _bands(F.col("n"), min_similarity)).otherwise(0)
+    rest = materialise(rest.join(materialise(apart), "key").select("key", "node", "n", "root", band.alias("band")))
     if rest.isEmpty():
         return members.select("id", "th", "node"), found
     whole = texts.join(nodes.select("node", "keys"), "node")
