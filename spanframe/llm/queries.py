@@ -114,18 +114,23 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-OP4_SQL = """
+# a run counts from three lines or from 20 words on
+OP4_SQL = r"""
 WITH line AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
-         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+  SELECT doc_id, l, i, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
 run AS (
-  SELECT doc_id, i, l, lead(l, 1) OVER w AS l1, lead(l, 2) OVER w AS l2, lead(i, 2) OVER w AS last
+  SELECT doc_id, i, n, l, lead(l, 1) OVER w AS l1, lead(l, 2) OVER w AS l2, n + lead(n, 1) OVER w AS n1
   FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+copy AS (
+  SELECT doc_id, i, l2 IS NOT NULL AS three, n1 >= 20 AS two, n >= 20 AS one,
+         row_number() OVER (PARTITION BY l, l1, l2 ORDER BY doc_id, i) > 1 AS later3,
+         row_number() OVER (PARTITION BY l, l1 ORDER BY doc_id, i) > 1 AS later2,
+         row_number() OVER (PARTITION BY l ORDER BY doc_id, i) > 1 AS later1 FROM run),
 later AS (
-  SELECT doc_id, i FROM (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY l, l1, l2 ORDER BY doc_id, i) AS copy
-    FROM run WHERE last IS NOT NULL) WHERE copy > 1),
-cut AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM later),
+  SELECT doc_id, i, CASE WHEN three AND later3 THEN 3 WHEN two AND later2 THEN 2 WHEN one AND later1 THEN 1 END AS k FROM copy),
+cut AS (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS i FROM later WHERE k IS NOT NULL),
 rest AS (
   SELECT doc_id, count(*) AS n_lines, count(c.i) AS n_removed,
          string_agg(l, chr(10) ORDER BY i) FILTER (WHERE c.i IS NULL) AS kept

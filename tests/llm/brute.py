@@ -81,16 +81,19 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     return out
 
 
-def dedup_lines(docs, m=3):
+def dedup_lines(docs, m=3, words=20):
     """docs: (id, text) in order of id; {id: kept text}."""
     seen, out = set(), {}
     for d, text in docs:
         lines = text.split("\n")
+        n = [len(WORD.findall(x)) for x in lines]
         gone = set()
-        for i in range(len(lines) - m + 1):
-            k = tuple(lines[i : i + m])
-            gone |= set(range(i, i + m)) if k in seen else set()
-            seen.add(k)
+        for i in range(len(lines)):
+            for j in range(1, m + 1):
+                k = tuple(lines[i : i + j])
+                if len(k) == j and (j == m or (words is not None and sum(n[i : i + j]) >= words)):
+                    gone |= set(range(i, i + j)) if k in seen else set()
+                    seen.add(k)
         out[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 

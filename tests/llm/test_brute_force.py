@@ -128,6 +128,19 @@ def test_line_dedup_depths(spark, m):
     assert {r.doc_id: r.text for r in got} == want
 
 
+@pytest.mark.parametrize("m, words", [(1, 2), (2, 3), (3, 4), (3, None), (5, 6), (7, 5)])
+def test_line_dedup_of_few_lines_with_many_words(spark, m, words):
+    from spanframe.llm.line_dedup import dedup_lines
+    rng = random.Random(m)
+    line = lambda: " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 4)))
+    rows = [(d, "\n".join(line() for _ in range(rng.randrange(0, 25)))) for d in range(40)]
+    rows += [(40, "c d e f g h"), (41, "x\nc d e f g h\ny"), (42, "c d e\nf g h\nz"), (43, "q\nc d e\nf g h")]
+    want = brute.dedup_lines(rows, m, words)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_lines(d.unionByName(d.filter("doc_id % 7 = 0")), m, words).collect()  # a row repeated in full cuts nothing more
+    assert {r.doc_id: r.text for r in got} == want
+
+
 def test_licenses(spark, docs):
     want = {r.doc_id: brute.licence_base(r.text) for r in docs}
     for r in run(spark, "op5_license_scan"):
