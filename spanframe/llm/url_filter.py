@@ -13,9 +13,13 @@ distributed star contraction; urls, rules and components meet in equi-joins.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html import unescape
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import materialise, packed, unpacked
 from .components import components
@@ -64,33 +68,54 @@ def spelling(url: Column) -> Column:
         .otherwise(F.concat(host, F.regexp_replace(path_of(url), "/+$", ""), params))
 
 
-def _absolute(base: Column, link: Column) -> Column:
-    """``link`` as found on the page ``base``."""
-    link = F.replace(F.trim(link), F.lit("&amp;"), F.lit("&"))
-    scheme = F.regexp_extract(base, r"^(.*?)://", 1)
-    site = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_extract(path_of(base), r"^(.*/)", 1)
-    return (F.when(link == "", None).when(F.locate("://", link) > 0, link)
-            .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-            .when(link.startswith("/"), F.concat(site, link))
-            .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), link)))
+@F.pandas_udf(StringType())
+def absolute(base: pd.Series, link: pd.Series) -> pd.Series:
+    """``link`` as found on the page ``base``, resolved by RFC 3986; null unless the result is a web address."""
+    def joined(b: str | None, x: str | None) -> str | None:
+        if not b or not x:
+            return None
+        try:
+            found = urljoin(b, unescape(x).strip())
+        except ValueError:  # a malformed host names no page
+            return None
+        return found if found[:8].lower().startswith(("http://", "https://")) else None
+
+    return pd.Series([joined(b, x) for b, x in zip(base, link)], dtype=object)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, quoted either way or bare; empty where the tag has none."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
+
+
+def _tags(html: Column, name: str, attribute: str, word: str) -> Column:
+    """All tags ``name`` whose ``attribute`` holds ``word``."""
+    value = rf"""(?:"[^">]*\b{word}\b|'[^'>]*\b{word}\b|{word}\b)"""
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\s(?:[^>]*\s)?{attribute}\s*=\s*{value}[^>]*>"), F.lit(0))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(from_url, to_url): canonical links, og:url and refreshes that a page states."""
-    url, html = F.col(url_col), F.col(html_col)
+    """(from_url, to_url): canonical links, og:url and refreshes that a page states.
 
-    def attribute(tag: Column, name: str) -> Column:
-        return F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?([^\"'>]+)", 1)
-
-    link = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    og = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bproperty\s*=\s*[\"']?og:url\b[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    target = F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'>\s]+)", 1)
-    found = F.array(attribute(link, "href"), attribute(og, "content"), target)
-    return pages.filter(url.isNotNull() & html.isNotNull()) \
-        .select(url.alias("from_url"), F.explode(F.filter(found, lambda x: x != "")).alias("link")) \
-        .select("from_url", _absolute(F.col("from_url"), F.col("link")).alias("to_url"))
+    All such tags of a page count.  Relative links are resolved against the
+    page's first ``<base href>``, else its url.  Null urls and texts, texts
+    without such tags, empty targets and targets that are no web address state
+    nothing; repeated pages state their links again; an empty table has none.
+    """
+    url, html = F.col(url_col), F.col(html_col)
+    found = F.concat(
+        F.transform(_tags(html, "link", "rel", "canonical"), lambda t: _attribute(t, "href")),
+        F.transform(_tags(html, "meta", "property", "og:url"), lambda t: _attribute(t, "content")),
+        F.transform(_tags(html, "meta", "http-equiv", "refresh"), lambda t: F.regexp_extract(
+            _attribute(t, "content"), r"(?is)\burl\s*=\s*[\"']?([^\"'\s]+)", 1)))
+    base = _attribute(F.regexp_extract(html, r"(?is)<base\s[^>]*>", 0), "href")
+    d = pages.filter(url.isNotNull() & html.isNotNull()).select(url.alias("from_url"), base.alias("base"), F.explode(
+        F.array_distinct(F.filter(found, lambda x: x != ""))).alias("link"))
+    root = F.when(F.col("base") == "", F.col("from_url")).otherwise(
+        F.coalesce(absolute(F.col("from_url"), F.col("base")), F.col("from_url")))
+    return d.withColumn("root", root).select("from_url", absolute(F.col("root"), F.col("link")).alias("to_url")) \
+        .filter(F.col("to_url").isNotNull())
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
