@@ -5,7 +5,6 @@ A document leaks an item when one of its item-sized word windows is within
 item).  Words are runs of letters, digits and characters beyond ASCII, with A-Z
 lower-cased.  A text shorter than the item has one window: the whole text.
 
-
 * Every window position of every document is considered.  A window within k
   edits of an item shares at least ``L - q + 1 - q*k`` word q-grams with it
   (q-gram lemma), so positions that share fewer with all items of that length
@@ -15,7 +14,9 @@ lower-cased.  A text shorter than the item has one window: the whole text.
   its 3L steps the first 2L, within which the window ends on average, are kept.
   Edit distance becomes Hamming distance, and sampling a few positions of the
   embedding gives an LSH key.  Walks and samples are repeated until simulated
-  pairs *at* the edit bound are found with ``target_recall``.
+  pairs *at* the edit bound, by changed, inserted or deleted words, are found
+  with ``target_recall``.  Where ``MAX_WALKS`` walks do not reach it, every item
+  of a window's length is its candidate, which is exact.
 * Windows that share a key with an item are verified by the exact word edit
   distance.
 
@@ -91,10 +92,10 @@ class Matcher:
             self.least.append(max(1, n - q + 1 - q * k))
         self._masks()
         self.walks: list[tuple] = []
-        while self.lengths and len(self.walks) < MAX_WALKS:
+        self.sampled = False  # whether samples reach the target; if not, all items of a length are candidates
+        while self.lengths and not self.sampled and len(self.walks) < MAX_WALKS:
             self._add_walk()
-            if len(self.walks) % 4 == 0 and self.simulated_recall() >= target_recall:
-                break
+            self.sampled = len(self.walks) % 4 == 0 and self.simulated_recall() >= target_recall
 
     # ---- q-gram filter -------------------------------------------------
     def _gram(self, ids: np.ndarray) -> np.ndarray:
@@ -208,6 +209,14 @@ class Matcher:
 
     def candidates(self, windows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (window, item) of one length for which some repeated bit sample agrees."""
+        if not self.sampled:
+            first = np.searchsorted(self.class_of, cls, "left")
+            n = np.searchsorted(self.class_of, cls, "right") - first
+            w = np.repeat(np.arange(len(windows)), n)
+            return w, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        return self._colliding(windows, cls)
+
+    def _colliding(self, windows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = []
         for walk, tables in self.walks:
             keys = self._keys(windows, cls, walk, blank_key=2)
@@ -223,13 +232,30 @@ class Matcher:
         return w[same], i[same]
 
     def simulated_recall(self, pairs: int = 400) -> float:
-        """Share of simulated windows at the edit bound that collide with their item."""
+        """Least share, over kinds of edits, of simulated windows at the edit bound that collide with their item.
+
+        Changed, inserted and filled-in words are words no item has: nothing is
+        left to agree on.  A window keeps its item's length, so an inserted word
+        pushes one out and a deleted one lets one in; each costs two edits.
+        """
         rng = np.random.default_rng([self.seed, 99])
+        return min(self._recall_of(kind, pairs, rng) for kind in ("change", "insert", "delete"))
+
+    def _recall_of(self, kind: str, pairs: int, rng: np.random.Generator) -> float:
         of = rng.integers(0, len(self.items), size=pairs)
         wins = self.items[of].copy()
-        for r, c in enumerate(self.class_of[of]):  # substitutions by words no item has: nothing left to agree on
-            wins[r, rng.choice(self.lengths[c], size=self.bound[c], replace=False)] = 0
-        w, i = self.candidates(wins, self.class_of[of])
+        for r, c in enumerate(self.class_of[of]):
+            n, edits = self.lengths[c], self.bound[c]
+            words = wins[r, :n].copy()
+            if kind == "change":
+                words[rng.choice(n, size=edits, replace=False)] = 0
+            elif kind == "insert":
+                words = np.insert(words, rng.integers(0, n, size=edits // 2), 0)[:n]
+            else:
+                kept = np.delete(words, rng.choice(n, size=edits // 2, replace=False))
+                words = np.concatenate([kept, np.zeros(n - len(kept), dtype=words.dtype)])
+            wins[r, :n] = words
+        w, i = self._colliding(wins, self.class_of[of])
         return len(np.unique(w[i == of[w]])) / pairs
 
     # ---- scan -----------------------------------------------------------
@@ -239,11 +265,13 @@ class Matcher:
 
     def scan(self, texts: list[str | None], most_windows: int = 20_000) -> Iterator[tuple]:
         """(index of the text, item, windows found, first window start, least distance, similarity)."""
-        held, n_held = [], 0
+        held, n_held, found = [], 0, {}
         for r, text in enumerate(texts):
             ids = self.word_ids(text)
             for c, at in self.starts(ids):
                 n = self.lengths[c]
+                if not self.sampled:  # pairs of a piece stay bounded
+                    most_windows = max(1, 1_000_000 // len(self.ids))
                 for part in np.array_split(at, -(-len(at) // most_windows)):
                     grid = part[:, None] + np.arange(n)
                     wins = np.full((len(part), self.widest), self.pad, dtype=np.int64)
@@ -251,12 +279,18 @@ class Matcher:
                     held.append((np.full(len(part), r), np.full(len(part), c), part, np.minimum(n, len(ids) - part), wins))
                     n_held += len(part)
                     if n_held >= most_windows:
-                        yield from self._verified(held)
+                        self._verify(held, found)
                         held, n_held = [], 0
         if held:
-            yield from self._verified(held)
+            self._verify(held, found)
+        for (r, item), (n, first, best) in sorted(found.items()):
+            yield r, self.ids[item], n, first, best, 1 - best / self.lengths[self.class_of[item]]
+
+    def _verify(self, held: list[tuple], found: dict) -> None:
+        """Add to ``found``: (text, item) to (windows found, first window start, least distance).
 
-    def _verified(self, held: list[tuple]) -> Iterator[tuple]:
+        Windows of one long text may come in several pieces, so counts add up.
+        """
         row, cls, at, real, wins = (np.concatenate(x) for x in zip(*held))
         w, i = self.candidates(wins, cls)
         for c in np.unique(cls[w]):
@@ -264,10 +298,9 @@ class Matcher:
             cw, ci = w[own], i[own]
             d = edit_distances(self.items[ci][:, :n], wins[cw][:, :n], real[cw])
             ok = d <= self.bound[c]
-            for r, item in sorted(set(zip(row[cw[ok]].tolist(), ci[ok].tolist()))):
-                sel = ok & (row[cw] == r) & (ci == item)
-                best = int(d[sel].min())
-                yield r, self.ids[item], int(sel.sum()), int(at[cw[sel]].min()), best, 1 - best / n
+            for r, item, start, dist in zip(row[cw[ok]].tolist(), ci[ok].tolist(), at[cw[ok]].tolist(), d[ok].tolist()):
+                n_seen, first, best = found.get((r, item), (0, start, dist))
+                found[r, item] = (n_seen + 1, min(first, start), min(best, dist))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

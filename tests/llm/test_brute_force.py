@@ -50,6 +50,52 @@ def test_decontaminate_finds_edited_windows(spark):
     assert all(got[k] == want[k] for k in got)
 
 
+def _edited(kind, seed=5):
+    """(documents, items): each document holds an item with words changed, inserted or deleted up to the bound."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randrange(12, 50)))) for i in range(12)]
+    rows = []
+    for d in range(96):
+        x = items[d % 12][1].split()
+        k = int(0.2 * len(x)) // 2 if kind != "change" else int(0.2 * len(x))
+        for _ in range(k):
+            p = rng.randrange(1, len(x) - 1)
+            x[p : p + (kind != "insert")] = [] if kind == "delete" else [f"e{rng.randrange(99)}"]
+        w = rng.choices(vocab, k=80)
+        rows.append((d, " ".join(w[:40] + x + w[40:])))
+    return rows, items
+
+
+def _leaks(spark, rows, items, **options):
+    return {(r.doc_id, r.item_id): (r.n_windows, r.first_word, r.distance) for r in decontaminate.decontaminate(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), **options).collect()}
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete"])
+def test_decontaminate_finds_inserted_and_deleted_words(spark, kind):
+    rows, items = _edited(kind)
+    want = brute.leaks(rows, items)
+    got = _leaks(spark, rows, items)
+    assert set(got) <= set(want) and len(got) >= 0.98 * len(want) >= 90
+    assert all(got[k][2] >= want[k] for k in got)
+
+
+def test_decontaminate_is_exact_where_walks_do_not_reach_the_target(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_WALKS", 4)
+    rows, items = _edited("change")
+    assert {k: v[2] for k, v in _leaks(spark, rows, items, target_recall=1.1).items()} == brute.leaks(rows, items)
+
+
+def test_a_text_scanned_in_pieces_reports_an_item_once():
+    rows, items = _edited("change")
+    text = " ".join(t for _, t in rows)
+    m = decontaminate.Matcher([(i, decontaminate.words_of(t)) for i, t in items], 0.8, 0.99, 2, 7)
+    whole, pieces = list(m.scan([text, "", None])), list(m.scan([text, "", None], most_windows=7))
+    assert whole == pieces and len(whole) == len({(r, i) for r, i, *_ in whole}) == 12
+
+
 def test_benchmark_in_blocks_gives_the_same(spark):
     b, d = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("benchmark", "documents"))
     one = decontaminate.decontaminate(d, b).select("doc_id", "item_id", "distance").collect()
@@ -216,6 +262,25 @@ def test_url_aliases(spark):
                        9: "allow"}
 
 
+def test_page_links(spark):
+    page = "http://Site.com/a/b/c?x=1"
+    rows = [
+        (page, '<link rel="canonical" href="../d"><link href=./e rel=canonical>', {"http://Site.com/a/d", "http://Site.com/a/b/e"}),
+        (page, "<meta http-equiv=refresh content='0; url=?q=2'><META http-equiv='Refresh' content='5;URL=/f/../g'>",
+         {"http://Site.com/a/b/c?q=2", "http://Site.com/g"}),
+        (page, '<base href="/root/"><meta property="og:url" content="h&amp;i"><meta content="//o.net/j" property="og:url">',
+         {"http://Site.com/root/h&i", "http://o.net/j"}),
+        (page, '<link rel="nofollow canonical" href="https://p.net/x/">', {"https://p.net/x/"}),
+        (page, '<link rel=canonical href="javascript:void(0)"><link rel=canonical href="">'
+               '<link rel=canonical href="http://[x/"><link rel="canonicals" href="/no"><a href="/no">', set()),
+        (page, None, set()), (None, '<link rel=canonical href="/a">', set()), (page, "", set()),
+        (page, "<link " * 20_000, set()),
+    ]
+    for url, html, want in rows:
+        d = spark.createDataFrame([(url, html)], "url string, html string")
+        assert {r.to_url for r in url_filter.page_links(d).collect()} == want, html
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)] \
