@@ -56,12 +56,20 @@ def encoded_words(notes: DataFrame, vocab: DataFrame, oov: int) -> DataFrame:
         F.col("token").isin(ENGLISH).alias("is_stop"), F.col("shift").cast("int").alias("shift"), "n_clean")
 
 
-def run_to_parquet(spark: SparkSession, source_dir: str, file_glob: str, schema, build: Callable[[DataFrame], DataFrame],
+def table_glob(folder: str, name: str) -> str:
+    """A pattern that ``folder/name`` alone matches, for a file stream.
+
+    The table may be one file or a folder of part files.  A stream takes a plain
+    path for a folder to list; a pattern is resolved first, so either is read."""
+    return f"{folder.rstrip('/')}/{name[:-1]}[{name[-1]}]"
+
+
+def run_to_parquet(spark: SparkSession, source_dir: str, file_name: str, schema, build: Callable[[DataFrame], DataFrame],
                    out_dir: str, checkpoint_dir: str) -> DataFrame:
-    """``build`` over all files of a parquet stream into a parquet sink; the sink's table."""
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", 64) \
-        .parquet(source_dir)
-    q = build(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).outputMode("append") \
+    """``build`` over all files of the table ``file_name`` as a parquet stream into a parquet sink; the sink's table."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(table_glob(source_dir, file_name))
+    out = build(stream)
+    q = out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).outputMode("append") \
         .trigger(availableNow=True).start(out_dir)
     q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    return spark.read.schema(out.schema).parquet(out_dir)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.fixtures import tokens_of
+from .decode import run_to_parquet
 
 
 def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
@@ -24,14 +25,11 @@ def term_occurrences(notes: DataFrame, features: DataFrame) -> DataFrame:
     return j.select("pn_num", "feature_num", "s", "e")
 
 
-def run_available_now(spark: SparkSession, source_dir: str, file_glob: str, source_schema: str,
+def run_available_now(spark: SparkSession, source_dir: str, file_name: str, source_schema: str,
                       features: DataFrame, case_of, out_dir: str, checkpoint_dir: str) -> DataFrame:
-    stream = (spark.readStream.schema(source_schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", 64).parquet(source_dir))
-    notes = stream.select(F.col("doc_id").alias("pn_num"), case_of("doc_id").alias("case_num"),
-                          F.col("text").alias("pn_history"))
-    q = (term_occurrences(notes, features).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint_dir).outputMode("append")
-         .trigger(availableNow=True).start(out_dir))
-    q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    def occurrences(stream: DataFrame) -> DataFrame:
+        notes = stream.select(F.col("doc_id").alias("pn_num"), case_of("doc_id").alias("case_num"),
+                              F.col("text").alias("pn_history"))
+        return term_occurrences(notes, features)
+
+    return run_to_parquet(spark, source_dir, file_name, source_schema, occurrences, out_dir, checkpoint_dir)
