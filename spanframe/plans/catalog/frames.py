@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ...functions import spans as S
 from ...functions import text as X
 from ...operators import frames as FR
+from ...operators import packed as PK
 from ..oracle_sql import with_ctes
 from ..registry import query
 
@@ -48,7 +49,9 @@ def filter_nonempty_spans(fx):
 @query("filter_empty_spans", with_ctes("train", extra=[("p", PARSED)]) + """
 select id, location from p where n_spans = 0""")
 def filter_empty_spans(fx):
-    return fx.train.filter(F.size(S.parse_loc_strip_split("location")) == 0).select("id", "location")
+    t = fx.train.select("id", "location")
+    t = PK.once(t.withColumn("n_spans", F.size(S.parse_loc_strip_split("location"))), "location", "n_spans")
+    return t.filter(F.col("n_spans") == 0).select("id", "location")
 
 
 @query("filter_no_positive", with_ctes("pred_tok") + """
