@@ -58,7 +58,7 @@ def filter_empty_spans(fx):
 select pn_num, feature_num, count(*) n_tokens, sum(label)::bigint n_pos from pred_tok
 group by pn_num, feature_num having sum(label) > 0""")
 def filter_no_positive(fx):
-    return FR.rows_with_positive(fx.pred_tok, ["pn_num", "feature_num"], "label")
+    return FR.rows_with_positive(fx.token_pairs, ["pn_num", "feature_num"], "label")
 
 
 @query("lookup_patient", with_ctes("train") + """

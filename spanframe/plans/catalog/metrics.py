@@ -20,6 +20,7 @@ IDENTITIES = ["id_fr", "id_de", "id_es"]
 
 def row_counts(rows, pred, truth="spans"):
     """(pn_num, feature_num, tp, fp, fn): chars of two span lists of a packed row."""
+    rows = PK.once(rows.select(*ROW, pred, truth), pred, truth)  # starts and ends are read from each
     return rows.select(*ROW, PK.overlap_lengths(F.col(pred), F.col(truth)).alias("c")).select(*ROW, "c.tp", "c.fp", "c.fn")
 
 
@@ -250,14 +251,14 @@ def masked_mean_loss(fx):
 @query("neg_pos_ratio", with_ctes("pred_tok") + """
 select round(sum(1 - label) / sum(label), 6) ratio from pred_tok""")
 def neg_pos_ratio(fx):
-    return fx.pred_tok.agg(F.round(F.sum(1 - F.col("label")) / F.sum("label"), 6).alias("ratio"))
+    return fx.token_pairs.agg(F.round(F.sum(1 - F.col("label")) / F.sum("label"), 6).alias("ratio"))
 
 
 @query("neg_pos_ratio_rowmean", with_ctes("pred_tok") + """
 select round(avg(r), 6) ratio, count(*) n_rows from (
   select sum(1 - label) / sum(label) r from pred_tok group by pn_num, feature_num having sum(label) > 0)""")
 def neg_pos_ratio_rowmean(fx):
-    per = fx.pred_tok.groupBy(*ROW).agg((F.sum(1 - F.col("label")) / F.sum("label")).alias("r"),
+    per = fx.token_pairs.groupBy(*ROW).agg((F.sum(1 - F.col("label")) / F.sum("label")).alias("r"),
                                         F.sum("label").alias("_p")).filter(F.col("_p") > 0)
     return per.agg(F.round(F.avg("r"), 6).alias("ratio"), F.count(F.lit(1)).alias("n_rows"))
 
