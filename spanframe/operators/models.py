@@ -2,7 +2,7 @@
 
 The neural nets are out of scope; what remains are Spark ML pipelines
 (fit once on the training split, transform the rest) and batch scoring of
-long token tables with an injected scorer through ``mapInPandas``.
+the tokens of packed rows with an injected scorer on pandas frames.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import (CountVectorizer, Imputer, MinMaxScaler, OneHotEncoder, RegexTokenizer,
@@ -21,6 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow import in_slices
+
 
 def tabular_mlp(train: DataFrame, test: DataFrame, label: str, numeric, categorical,
                 hidden: int = 3, seed: int = 42, max_iter: int = 200) -> DataFrame:
@@ -96,16 +99,28 @@ def length_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-SCORED_SCHEMA = "pn_num bigint, feature_num bigint, tok_no int, s int, e int, prob double"
-
+def batch_score(rows: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame] = length_scorer, keys=("pn_num", "feature_num"),
+                name: str = "probs") -> DataFrame:
+    """``rows`` with ``name``: the scores of their tokens, in the order of the arrays ``s`` and ``e``.
 
-def batch_score(tokens: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame] = length_scorer,
-                schema: str = SCORED_SCHEMA) -> DataFrame:
-    """Score every token row with ``scorer`` on Arrow batches (no shuffle)."""
+    A map without a shuffle.  ``scorer`` takes a frame (keys, tok_no, s, e) of
+    tokens, those of many rows at a time, and returns it with ``prob``; neither
+    the keys nor the offsets of a token cross to Python more than once a row."""
+    keys = list(keys)
 
-    def run(batches):
-        for pdf in batches:
-            yield scorer(pdf)
+    def frame(s, e, *ids):
+        null = s.is_null()
+        s, e = s.fill_null([]), e.fill_null([])
+        off = s.offsets.to_numpy() - s.offsets[0].as_py()
+        size = np.diff(off)
+        tokens = pd.DataFrame({k: np.repeat(x.to_numpy(zero_copy_only=False), size) for k, x in zip(keys, ids)})
+        tokens["tok_no"] = (np.arange(1, off[-1] + 1) - np.repeat(off[:-1], size)).astype(np.int32)
+        tokens["s"], tokens["e"] = s.flatten().to_numpy(), e.flatten().to_numpy()
+        prob = scorer(tokens)["prob"].to_numpy(dtype="float64")
+        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(prob), mask=null)
 
-    return tokens.mapInPandas(run, schema)
+    @F.arrow_udf("array<double>")
+    def scores(s: pa.Array, e: pa.Array, *ids: pa.Array) -> pa.Array:
+        return in_slices(frame, s, e, *ids)
 
+    return rows.withColumn(name, scores("s", "e", *keys))
