@@ -60,3 +60,48 @@ def test_3class_of_notes_equals_3class_of_rows(spark, offsets):
     chars = {(f, c): p for _, f, start, end, *p in a for c in range(start, end)}
     assert a == b and {k: tuple(v) for k, v in chars.items()} == seen
     assert all(math.isfinite(x) for r in a for x in r)
+
+
+def test_sums_of_parts_round_like_the_sum_of_the_whole(spark):
+    import random
+
+    from spanframe.plans.catalog import vectors as X
+
+    rnd = random.Random(3)
+    vec = lambda n, scale: [rnd.uniform(-1, 1) * scale for _ in range(n)]
+    rows = [(vec(rnd.randint(0, 9), 10.0 ** rnd.randint(-8, 9)), vec(rnd.randint(0, 9), 10.0 ** rnd.randint(-8, 9))) for _ in range(400)]
+    rows += [([0.1, 0.2], [0.3, -0.5999995]), ([1e-6], [0.5e-6]), ([0.25e-6], [0.25e-6]), ([1e300], [1e300]), ([float("nan")], [1.0]),
+             ([float("inf")], [-1.0]), ([None, 1.0], [2.0]), ([], []), ([1e16, 1.0], [-1e16]), ([0.0] * 5, [-0.0])]
+    d = spark.createDataFrame(rows, "a array<double>, b array<double>").withColumn("cat", F.concat("a", "b"))
+    d = X._with_vsum(d, "cat", [N.vec_sum("a"), N.vec_sum("b")], [N.vec_abs_sum("a"), N.vec_abs_sum("b")])
+    for r in d.withColumn("want", X._vsum(F.col("cat"))).collect():
+        assert repr(r.vsum) == repr(r.want), r
+
+
+def test_a_text_is_not_matched_for_each_of_its_segments(spark):
+    """Inlined into the lambda that picks the words, the test of a text's first char would run once a segment."""
+    assert not re.search(r"lambdafunction\([^\n]*RLIKE", plan(spark, "concat_feature_token_vec"))
+
+
+def test_vectors_of_features_are_not_shuffled_with_rows(spark):
+    """Features get their vectors before they meet the notes."""
+    p = plan(spark, "concat_feature_token_vec")
+    assert re.search(r"Join LeftOuter, \(feature_num#\w+ = feature_num#\w+\)", p.split("Join Inner, (case_num", 1)[1])
+
+
+def test_notes_with_one_number_meet_each_other(spark, tmp_path):
+    """Every scored row meets every note of its number, over the tokens that both have."""
+    docs = [(1, "b a c d"), (1, "a b"), (2, None), (3, "..."), (None, "a b"), (5, "x a")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "a z"), (1, "b"), (None, "c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    emb = [(0, [1.0, 2.0]), (1, [4.0, 8.0]), (1, [16.0, 32.0]), (7, [64.0])]
+    spark.createDataFrame(emb, "vec_id long, embedding array<float>").withColumn("label", F.lit(0)).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r) for r in load_all()["concat_feature_token_vec"].build(spark, str(tmp_path)).collect())
+
+    words = [(1, ["b", "a", "c", "d"]), (1, ["a", "b"]), (5, ["x", "a"])]
+    count = {w: sum(x == w for _, ws in [*words, (None, ["a", "b"])] for x in ws) for w in "abcdx"}  # "a" is a stop word
+    ids = {w: k for k, w in enumerate(sorted((w for w in count if w != "a"), key=lambda w: (-count[w], w)))}
+    vectors = lambda k: [v for i, v in emb if i == k] or [[0.0, 0.0]]
+    want = [(pn, f, k + 1, len(v) + len(u), float(sum(v) + sum(u))) for pn, ws in words for other, row in words if other == pn
+            for f in (0, 1) for u in vectors(f) for k, w in enumerate(ws[:len(row)]) for v in vectors(ids.get(w, 5000))]
+    assert got == sorted(want)
