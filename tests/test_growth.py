@@ -127,3 +127,26 @@ def test_cross_entropy_of_columns_equals_that_of_an_array(spark, k):
 def test_the_fold_joins_the_note_not_its_tokens(spark):
     above = plan(spark, "union_oof").split("posexplode(")[0]
     assert "Join" not in above and "concat_ws(" not in above
+
+
+def test_a_folder_for_each_value_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from spanframe.sources import files as FS
+
+    before, seen = spark.conf.get(FS.WRITERS), []
+    one = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: seen.append(spark.conf.get(FS.WRITERS)) or one(self, *a, **k))
+    rows = [(k, None if k % 7 == 3 else k % 7) for k in range(500)]  # more values than files are kept open
+    FS.write_by(spark.createDataFrame(rows, "x long, v long").coalesce(2), f"{tmp_path}/t", "v", most=5)
+    assert seen == ["6"] and spark.conf.get(FS.WRITERS) == before
+    got = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted((r.x, r.v) for r in got.collect()) == rows
+
+    def fails(self, *a, **k):
+        raise OSError("full")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", fails)
+    with pytest.raises(OSError):
+        FS.write_by(spark.range(3), f"{tmp_path}/u", "id", most=5)
+    assert spark.conf.get(FS.WRITERS) == before
