@@ -150,3 +150,38 @@ def test_a_folder_for_each_value_is_written_without_a_sort(spark, tmp_path, monk
     with pytest.raises(OSError):
         FS.write_by(spark.range(3), f"{tmp_path}/u", "id", most=5)
     assert spark.conf.get(FS.WRITERS) == before
+
+
+def test_characters_are_found_in_pieces(spark):
+    """A run's edges are not looked up by a walk through the whole text."""
+    rnd = __import__("random").Random(7)
+    texts = ["".join(rnd.choice("ab \U0001F600é") for _ in range(n)) for n in (1, 255, 256, 257, 511, 512, 513, 2000)] + [" " * 700, "", None]
+    rows = []
+    for k, t in enumerate(texts):
+        cut = sorted(rnd.sample(range(0, 2100), 40))
+        rows += [(k, t, [(a, b) for a, b in zip(cut[j::2], cut[j + 1::2])]) for j in (0, 1)] + [(k, t, [(0, 5000)]), (k, t, []), (k, t, None)]
+        if t:
+            rows.append((k, t, [(a, a + 1) for a in range(0, len(t), 2)]))
+    d = spark.createDataFrame(rows, "k int, clean string, runs array<struct<start:int,end:int>>")
+
+    def want(t, runs):  # the rule on the whole text
+        n, out = len(t), []
+        clipped = [(max(a, 0), n - 1 if b >= n and t[-1:] == " " else min(b, n)) for a, b in runs]
+        for a, b in [x for x in clipped if x[0] < x[1]]:
+            if out and a - out[-1][-1] == 1 and t[a - 1] == " " and t[out[-1][-1] - 1] != " ":
+                out[-1][-1] = b
+            else:
+                out.append([a, b])
+        out = [(a + len(t[a:own]) - len(t[a:own].lstrip(" ")), b - (t[b - 1] == " ")) for (a, b), own in zip(out, _first_ends(out, clipped))]
+        return [x for x in out if x[0] < x[1]]
+
+    def _first_ends(out, clipped):
+        ends = dict(reversed([x for x in clipped if x[0] < x[1]]))
+        return [ends[a] for a, _ in out]
+
+    for r in D.clean_blank_edges(d, "clean", "runs", "pp").collect():
+        if r.runs is None:
+            assert r.pp is None
+        elif r.clean is not None:
+            assert [tuple(x) for x in r.pp] == want(r.clean, r.runs), r
+    assert "substring(clean" not in plan(spark, "postprocess_spaces")
