@@ -185,3 +185,31 @@ def test_characters_are_found_in_pieces(spark):
         elif r.clean is not None:
             assert [tuple(x) for x in r.pp] == want(r.clean, r.runs), r
     assert "substring(clean" not in plan(spark, "postprocess_spaces")
+
+
+def test_draws_are_md5_of_key_and_number():
+    import hashlib
+
+    import numpy as np
+
+    from spanframe.functions import arrow
+
+    keys = [b"12_3_", b"", b"x" * 60, b"-9223372036854775808_-9223372036854775808_", b"1_", b"y" * 53]
+    counts = np.array([1200, 3, 4, 20000, 0, 12])
+    want = [int(hashlib.md5(k + str(i).encode()).hexdigest()[:8], 16) for k, n in zip(keys, counts) for i in range(1, n + 1)]
+    assert arrow.numbered_draws(keys, counts, 777).tolist() == want
+
+
+def test_scores_by_batch_equal_scores(spark):
+    from spanframe.plans import fixtures as FX
+
+    rows = [(-7, 3, ["a", "b", "a"], "a"), (1 << 62, 1 << 61, ["b"] * 150, "b"), (1, 2, [], "a"), (1, 2, None, "a"), (5, 6, ["x", "y"], None)]
+    d = spark.createDataFrame(rows, "pn_num long, feature_num long, words array<string>, term string")
+    d = d.withColumns({"s": F.transform("words", lambda w, i: i * 3), "e": F.transform("words", lambda w, i: i * 3 + 2)}).coalesce(1)
+    a, b = (sorted((r.pn_num, repr(r.words), repr(r.toks)) for r in f(d).collect()) for f in (FX.score, FX.score_by_batch))
+    assert a == b and a[-1][2].count("tok_no") == 150
+
+
+@pytest.mark.parametrize("name", ["postprocess_spaces", "cv_scores_rollup"])
+def test_draws_of_a_batch_are_hashed_side_by_side(spark, name):
+    assert "drawn_tokens(" in plan(spark, name) and "md5(" not in plan(spark, name)
